@@ -1,0 +1,8 @@
+"""Every operator as a named query over the driver's tables, with its SQL check."""
+
+
+def load():
+    """Import all query modules and return the registry."""
+    from hetgraph.catalog import registry, tables_q  # noqa: F401
+
+    return registry
