@@ -91,12 +91,12 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "links_out": (
         ("edges",),
         """SELECT src_type AS near_type, rel, dst_type AS far_type, src AS near, dst AS far,
-        row_number() OVER (PARTITION BY src_type, rel, dst_type, src ORDER BY dst) - 1 AS at FROM edges""",
+        row_number() OVER (PARTITION BY src_type, rel, dst_type, src ORDER BY dst) - 1 AS at_pos FROM edges""",
     ),
     "links_in": (
         ("edges",),
         """SELECT dst_type AS near_type, rel, src_type AS far_type, dst AS near, src AS far,
-        row_number() OVER (PARTITION BY src_type, rel, dst_type, dst ORDER BY src) - 1 AS at FROM edges""",
+        row_number() OVER (PARTITION BY src_type, rel, dst_type, dst ORDER BY src) - 1 AS at_pos FROM edges""",
     ),
     "heads_out": (
         ("links_out",),

@@ -119,7 +119,7 @@ def _(t):
     "adjacency",
     oracle(
         ["links_out"],
-        """SELECT near_type, rel, far_type, near, (at // 1024)::BIGINT AS block,
+        """SELECT near_type, rel, far_type, near, (at_pos // 1024)::BIGINT AS block,
         string_agg(far::VARCHAR, ',' ORDER BY far) AS neighbors FROM links_out GROUP BY ALL""",
     ),
 )
