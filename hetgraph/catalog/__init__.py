@@ -3,6 +3,6 @@
 
 def load():
     """Import all query modules and return the registry."""
-    from hetgraph.catalog import models_q, registry, sampling_q, tables_q  # noqa: F401
+    from hetgraph.catalog import models_q, registry, sampling_q, serving_q, tables_q  # noqa: F401
 
     return registry

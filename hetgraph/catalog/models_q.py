@@ -280,9 +280,9 @@ HEAD = [formula_linear(6, OUT, 60), formula_linear(10, 6, 61)]
 def _mlp_sql(source: str, keys: str, width: int, slots=(60, 61), dims=(6, 10)) -> str:
     """``hid`` and ``logit`` of a two-layer network on ``source(keys, j, v)``."""
     return f"""hid AS (SELECT {keys}, p, greatest(sum(v * {wmat('p', 'j', str(slots[0]))}) + {wbias('p', str(slots[0]))}, 0) AS v
-      FROM {source}, range({dims[0]}) t(p) GROUP BY ALL),
+      FROM {source}, range({dims[0]}) t(p) GROUP BY {keys}, p),
     logit AS (SELECT {keys}, c, sum(v * {wmat('c', 'p', str(slots[1]))}) + {wbias('c', str(slots[1]))} AS v
-      FROM hid, range({dims[1]}) t(c) GROUP BY ALL),
+      FROM hid, range({dims[1]}) t(c) GROUP BY {keys}, c),
     top AS (SELECT {keys}, max(v) AS top FROM logit GROUP BY ALL),
     scored AS (SELECT {keys}, (min(c) FILTER (v = top))::INTEGER AS prediction,
       1 / sum(exp(v - top)) AS confidence FROM logit JOIN top USING ({keys}) GROUP BY ALL)"""

@@ -30,6 +30,11 @@ def _fold(vec: Column, step: Callable[[Column, Column], Column], start: float =
     return F.aggregate(vec, F.lit(start), step)
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """Bind a value so that a lambda inside ``f`` reads it instead of computing it per element."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def vec_sum(vec: str | Column) -> Column:
     return _fold(_double(vec), lambda a, x: a + x)
 
@@ -45,16 +50,19 @@ def add(left: str | Column, right: str | Column) -> Column:
 def l2_normalize(vec: str | Column) -> Column:
     """Scale to unit length; a zero vector stays as it is, null stays null."""
     v = _double(vec)
-    norm = F.sqrt(_fold(v, lambda a, x: a + x * x))
-    return F.when(norm > 0, F.transform(v, lambda x: x / norm)).otherwise(v)
+    scaled = let(
+        F.sqrt(_fold(v, lambda a, x: a + x * x)),
+        lambda norm: F.when(norm > 0, F.transform(v, lambda x: x / norm)).otherwise(v),
+    )
+    return F.when(_col(vec).isNotNull(), scaled)
 
 
 def softmax(vec: str | Column) -> Column:
     v = _double(vec)
-    top = F.array_max(v)
-    exps = F.transform(v, lambda x: F.exp(x - top))
-    total = vec_sum(exps)
-    return F.transform(exps, lambda x: x / total)
+    powers = let(F.array_max(v), lambda top: F.transform(v, lambda x: F.exp(x - top)))
+    return let(
+        powers, lambda p: let(vec_sum(p), lambda total: F.transform(p, lambda x: x / total))
+    )
 
 
 def argmax(vec: str | Column) -> Column:
@@ -92,9 +100,14 @@ def layer_norm(
     """Zero mean and unit (population) variance over the vector, then scale and shift."""
     v = _double(vec)
     n = F.size(v).cast("double")
-    mean = vec_sum(v) / n
-    var = _fold(v, lambda a, x: a + (x - mean) * (x - mean)) / n
-    scaled = F.transform(v, lambda x: (x - mean) / F.sqrt(var + eps))
+    centred = let(vec_sum(v) / n, lambda mean: F.transform(v, lambda x: x - mean))
+    scaled = let(
+        centred,
+        lambda c: let(
+            F.sqrt(_fold(c, lambda a, x: a + x * x) / F.size(c).cast("double") + eps),
+            lambda spread: F.transform(c, lambda x: x / spread),
+        ),
+    )
     if gamma is not None:
         scaled = F.zip_with(scaled, F.array(*[F.lit(float(g)) for g in gamma]), lambda a, b: a * b)
     if beta is not None:

@@ -333,7 +333,8 @@ def encode(model: GraphModel, edges: DataFrame, nodes: DataFrame, vec: str = "fe
 
 def classify(h: DataFrame, head: list[Linear], target_type: str) -> DataFrame:
     """Class probabilities for the target type; an error if it has no state at all."""
-    rows = h.where(F.col("node_type") == target_type)
+    # Written once, so that the check does not run the encoder a second time.
+    rows = materialize(h.where(F.col("node_type") == target_type), "head-input")
     if rows.isEmpty():
         raise ValueError(f"node type {target_type!r} has no output")
     return score_logits(
