@@ -80,7 +80,7 @@ def stream_of(t, name: str):
 def _(t):
     path = scratch(t, "log")
     feature_log.append_log(write_log(stream_of(t, "events")), path, scratch(t, "log-state")).awaitTermination()
-    return _state(feature_log.compact_log(feature_log.read_log(t.spark, path), scratch(t, "compact")))
+    return _state(feature_log.compact_log(feature_log.read_log(t.spark, path), scratch(t, "compact"), NOW))
 
 
 # --- requests -----------------------------------------------------------------------------

@@ -32,10 +32,16 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path)
 
 
-def compact_log(log: DataFrame, path: str) -> DataFrame:
-    """Write only the last event per key to a new path; deletes stay until they expire."""
-    last = log.groupBy("node_type", "node_id").agg(
+def compact_log(log: DataFrame, path: str, before: str) -> DataFrame:
+    """Write a new log that keeps, of the events up to ``before``, only the last one per key.
+
+    Later events stay as they are, so any state at ``before`` or after it reads the same.
+    """
+    cut = F.to_timestamp(F.lit(before))
+    old = log.where(F.col("ts") <= cut)
+    last = old.groupBy("node_type", "node_id").agg(
         F.max_by(F.struct("ts", "event_id", "value", "deleted"), F.struct("ts", "event_id")).alias("e")
     )
-    last.select("node_type", "node_id", "e.*").write.mode("errorifexists").parquet(path)
+    kept = last.select("node_type", "node_id", "e.*").unionByName(log.where(F.col("ts") > cut).select(*LOG_COLUMNS))
+    kept.write.mode("errorifexists").parquet(path)
     return read_log(log.sparkSession, path)
