@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: F401  (public)
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LEAKY_SLOPE = 0.2
@@ -115,14 +115,84 @@ def layer_norm(
     return scaled
 
 
-def sum_columns(vec: str, dim: int) -> list[Column]:
-    """One sum per dimension. Sums, not averages: an average would carry ``dim`` counts."""
-    return [F.sum(F.get(vec, F.lit(i)).cast("double")).alias(f"__s{i}") for i in range(dim)]
+# --- vectors per group --------------------------------------------------------------------
 
+# Dimensions that one aggregation handles side by side. Generated code stays small below it;
+# longer vectors are cut into pieces of this length, aggregated, and put together again.
+WIDTH = 64
 
-def sums_as_vector(dim: int, divide_by: str | None = None) -> Column:
-    parts = [F.col(f"__s{i}") for i in range(dim)]
-    return F.array(*[p / F.col(divide_by) if divide_by else p for p in parts])
+_REDUCERS = {"sum": F.sum, "mean": F.sum, "max": F.max, "min": F.min}
+
+
+def _join_pieces(pieces: DataFrame, keys: list[str], name: str, *more: Column) -> DataFrame:
+    """One vector per key out of its few pieces ``__p, __v``."""
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("__p", "__v"))), lambda x: x["__v"])
+    whole = F.filter(F.flatten(ordered), lambda x: x.isNotNull())
+    return pieces.groupBy(*keys).agg(*more, whole.alias(name))
+
+
+def reduce_by(
+    rows: DataFrame, keys: list[str], vec: str, dim: int, how: str = "sum", name: str = "m", width: int = WIDTH
+) -> DataFrame:
+    """Elementwise sum, mean, max or min of a vector column: ``keys, n, <name>``.
+
+    One aggregate per dimension, combined on the map side. A mean is a sum over a shared
+    count, since an average per dimension would shuffle ``dim`` counts.
+    """
+    if how not in _REDUCERS:
+        raise ValueError(f"unknown reduction {how!r}; known: {sorted(_REDUCERS)}")
+    count = F.count(F.lit(1)).alias("n")
+
+    def aggregates(column, length):
+        return [_REDUCERS[how](F.get(column, F.lit(i)).cast("double")).alias(f"__s{i}") for i in range(length)]
+
+    def as_vector(length):
+        parts = [F.col(f"__s{i}") for i in range(length)]
+        return F.array(*[p / F.col("n") if how == "mean" else p for p in parts])
+
+    if dim <= width:
+        return rows.groupBy(*keys).agg(count, *aggregates(vec, dim)).select(*keys, "n", as_vector(dim).alias(name))
+    cut = F.array(*[F.slice(vec, start + 1, width) for start in range(0, dim, width)])
+    pieces = (
+        rows.select(*keys, F.posexplode(cut).alias("__p", "__x"))
+        .groupBy(*keys, "__p")
+        .agg(count, *aggregates("__x", width))
+        .select(*keys, "n", "__p", as_vector(width).alias("__v"))
+    )
+    return _join_pieces(pieces, keys, name, F.max("n").alias("n"))
+
+
+def weighted_mean_by(
+    rows: DataFrame, keys: list[str], vec: str, weights: str, heads: int, dim: int, name: str = "m", width: int = WIDTH
+) -> DataFrame:
+    """Per head the weighted mean of ``dim`` entries of a vector: ``keys, <name>``.
+
+    ``vec`` holds the heads side by side and ``weights`` one number per head.
+    """
+    total = heads * dim
+    if total <= width:
+        sums = [F.sum(F.get(vec, F.lit(i)) * F.get(weights, F.lit(i // dim))).alias(f"__s{i}") for i in range(total)]
+        norms = [F.sum(F.get(weights, F.lit(k))).alias(f"__z{k}") for k in range(heads)]
+        means = F.array(*[F.col(f"__s{i}") / F.col(f"__z{i // dim}") for i in range(total)])
+        return rows.groupBy(*keys).agg(*sums, *norms).select(*keys, means.alias(name))
+    cuts = [(k, start, min(width, dim - start)) for k in range(heads) for start in range(0, dim, width)]
+    cut = F.array(
+        *[
+            F.struct(F.get(weights, F.lit(k)).alias("w"), F.slice(vec, k * dim + start + 1, n).alias("x"))
+            for k, start, n in cuts
+        ]
+    )
+    longest = min(width, dim)
+    pieces = (
+        rows.select(*keys, F.posexplode(cut).alias("__p", "__x"))
+        .groupBy(*keys, "__p")
+        .agg(
+            F.sum("__x.w").alias("__z"),
+            *[F.sum(F.get("__x.x", F.lit(i)) * F.col("__x.w")).alias(f"__s{i}") for i in range(longest)],
+        )
+        .select(*keys, "__p", F.array(*[F.col(f"__s{i}") / F.col("__z") for i in range(longest)]).alias("__v"))
+    )
+    return _join_pieces(pieces, keys, name)
 
 
 # --- matrix products ----------------------------------------------------------------------

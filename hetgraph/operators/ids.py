@@ -144,7 +144,7 @@ def rewrite_edges(edges: DataFrame, id_map: DataFrame) -> DataFrame:
 
 def dangling_edges(edges: DataFrame, id_map: DataFrame) -> DataFrame:
     """Edges that ``rewrite_edges`` drops, counted per edge type and missing end."""
-    known = id_map.select("node_type", "node_id").distinct()
+    known = id_map.select("node_type", "node_id")
     flagged = edges
     for end in ("src", "dst"):
         flag = known.select(

@@ -20,14 +20,14 @@ from hetgraph.functions.vectors import (
     dense,
     layer_norm,
     leaky_relu,
+    reduce_by,
     softmax,
-    sum_columns,
-    sums_as_vector,
+    weighted_mean_by,
 )
 from hetgraph.functions.weights import random_linear
 from hetgraph.operators.propagate import RELATION, TARGET, reduce_neighbors, sum_vectors
 from hetgraph.runtime import materialize
-from hetgraph.schema import EdgeType, TrainConfig, etype_name
+from hetgraph.schema import EdgeType, TrainConfig, etype_name, is_etype
 
 Norm = tuple[np.ndarray, np.ndarray]
 
@@ -143,8 +143,7 @@ def sage_layer(edges: DataFrame, h: DataFrame, layer: SageLayer) -> DataFrame:
     Own terms and neighbour terms are stacked and summed by node in one aggregation, so no
     join back to the nodes is needed.
     """
-    names = list(_name(layer.neighbor))
-    known = edges.where(etype_name().isin(names))
+    known = edges.where(is_etype(layer.neighbor))
     if layer.reducer == "pool":
         # The dense layer belongs to the edge type: one copy of the source state per edge type.
         pooled = _per_etype(h, layer.neighbor, "src").select(
@@ -152,13 +151,10 @@ def sage_layer(edges: DataFrame, h: DataFrame, layer: SageLayer) -> DataFrame:
             activate(dense({k: [v] for k, v in _name(layer.pool).items()}, etype_name(), "h"), "relu").alias("h"),
         )
         dim = next(iter(layer.pool.values()))[0].shape[0]
-        reduced = (
-            known.select("src_type", "rel", "dst_type", "src", "dst")
-            .join(pooled, ["src_type", "rel", "dst_type", "src"])
-            .groupBy(*RELATION)
-            .agg(*[F.max(F.get("h", F.lit(i))).alias(f"__s{i}") for i in range(dim)])
-            .select(*RELATION, sums_as_vector(dim).alias("m"))
+        met = known.select("src_type", "rel", "dst_type", "src", "dst").join(
+            pooled, ["src_type", "rel", "dst_type", "src"]
         )
+        reduced = reduce_by(met, RELATION, "h", dim, "max")
     else:
         reduced = reduce_neighbors(known, h, layer.in_dim, layer.reducer)
     neighbor = reduced.select(
@@ -223,19 +219,16 @@ def attention_scores(edges: DataFrame, h: DataFrame, layer: GatLayer) -> DataFra
 def _edge_exponents(edges: DataFrame, h: DataFrame, layer: GatLayer) -> DataFrame:
     """Edges with ``exp(score - max)`` per head, the maximum being that of target and edge type."""
     scores = materialize(attention_scores(edges, h, layer), "scores")
-    top = scores.groupBy(*RELATION).agg(*[F.max(F.get("e", F.lit(i))).alias(f"t{i}") for i in range(layer.heads)])
-    tops = F.array(*[F.col(f"t{i}") for i in range(layer.heads)])
+    top = reduce_by(scores, RELATION, "e", layer.heads, "max", "top")
     return scores.join(top, RELATION).select(
-        *RELATION[:3], "src", "dst", F.zip_with("e", tops, lambda a, t: F.exp(a - t)).alias("w")
+        *RELATION[:3], "src", "dst", F.zip_with("e", "top", lambda a, t: F.exp(a - t)).alias("w")
     )
 
 
 def attention_weights(edges: DataFrame, h: DataFrame, layer: GatLayer) -> DataFrame:
     """Per edge the softmax over the in-edges of its target and edge type, one value per head."""
     powers = materialize(_edge_exponents(edges, h, layer), "powers")
-    total = powers.groupBy(*RELATION).agg(*sum_columns("w", layer.heads)).select(
-        *RELATION, sums_as_vector(layer.heads).alias("z")
-    )
+    total = reduce_by(powers, RELATION, "w", layer.heads, "sum", "z")
     return powers.join(total, RELATION).select(
         *RELATION[:3], "src", "dst", F.zip_with("w", "z", lambda a, z: a / z).alias("alpha")
     )
@@ -253,13 +246,7 @@ def gat_layer(edges: DataFrame, h: DataFrame, layer: GatLayer) -> DataFrame:
         "src_type", "rel", "dst_type", "src", dense({k: [(w, None)] for k, w in names.items()}, etype_name(), "h").alias("p")
     )
     weighted = _edge_exponents(edges, h, layer).join(projected, ["src_type", "rel", "dst_type", "src"])
-    numerators = [
-        F.sum(F.get("p", F.lit(i)) * F.get("w", F.lit(i // dim))).alias(f"__s{i}") for i in range(width)
-    ]
-    denominators = [F.sum(F.get("w", F.lit(k))).alias(f"__z{k}") for k in range(heads)]
-    attended = weighted.groupBy(*RELATION).agg(*numerators, *denominators).select(
-        *RELATION, F.array(*[F.col(f"__s{i}") / F.col(f"__z{i // dim}") for i in range(width)]).alias("m")
-    )
+    attended = weighted_mean_by(weighted, RELATION, "p", "w", heads, dim)
     in_dim = next(iter(layer.project.values())).shape[1]
     own = {e: (layer.residual.get(e, np.zeros((width, in_dim))), layer.bias[e]) for e in layer.project}
     stacked = _own_terms(h, own, width).unionByName(_as_node(attended, "m"))
@@ -271,7 +258,7 @@ def rgcn_layer(edges: DataFrame, h: DataFrame, layer: RgcnLayer) -> DataFrame:
     names = _name(layer.relation)
     in_dim = layer.self_loop.shape[1]
     out_dim = layer.self_loop.shape[0]
-    summed = reduce_neighbors(edges.where(etype_name().isin(list(names))), h, in_dim, "sum")
+    summed = reduce_neighbors(edges.where(is_etype(layer.relation)), h, in_dim, "sum")
     related = summed.select(*RELATION, dense({k: [(w, None)] for k, w in names.items()}, etype_name(), "m").alias("h"))
     own = h.select(
         "node_type", "node_id", dense({"all": [(layer.self_loop, layer.bias)]}, F.lit("all"), "h").alias("h")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hetgraph.operators.ids import number_copies, with_row_index
@@ -17,8 +17,7 @@ def edge_index(edges: DataFrame, src_col: str = "src", dst_col: str = "dst") ->
     return edges.select(F.col(src_col).alias("src"), F.col(dst_col).alias("dst"))
 
 
-def reverse_edges(edges: DataFrame) -> DataFrame:
-    """Swap the ends and their types; the relation gets the prefix ``rev_``."""
+def _swapped(edges: DataFrame) -> list[Column]:
     swapped = {
         "src_type": F.col("dst_type"),
         "rel": F.concat(F.lit("rev_"), F.col("rel")),
@@ -26,12 +25,18 @@ def reverse_edges(edges: DataFrame) -> DataFrame:
         "src": F.col("dst"),
         "dst": F.col("src"),
     }
-    return edges.select(*[swapped.get(c, F.col(c)).alias(c) for c in edges.columns])
+    return [swapped.get(c, F.col(c)).alias(c) for c in edges.columns]
+
+
+def reverse_edges(edges: DataFrame) -> DataFrame:
+    """Swap the ends and their types; the relation gets the prefix ``rev_``."""
+    return edges.select(*_swapped(edges))
 
 
 def with_reverse(edges: DataFrame) -> DataFrame:
-    """Both directions in one table."""
-    return edges.unionByName(reverse_edges(edges))
+    """Both directions in one table, from one scan of the edges."""
+    plain = F.struct(*edges.columns)
+    return edges.select(F.inline(F.array(plain, F.struct(*_swapped(edges)))))
 
 
 def degrees(edges: DataFrame, direction: str = "out", by: tuple[str, ...] = ()) -> DataFrame:
@@ -89,7 +94,8 @@ def build_adjacency(edges: DataFrame, direction: str = "out") -> Adjacency:
         F.col(near).alias("near"),
         F.col(far).alias("far"),
     )
-    group = ["near_type", "rel", "far_type", "near"]
+    # The id comes first: it tells rows apart in one comparison of longs.
+    group = ["near", "near_type", "rel", "far_type"]
     unique = number_copies(ends, [*group, "far"])
     links = with_row_index(unique, [*group, "far", "copy"], "pos").drop("copy")
     heads = links.groupBy(*group).agg(F.min("pos").alias("start"), F.count(F.lit(1)).alias("degree"))

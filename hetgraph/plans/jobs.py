@@ -12,7 +12,7 @@ from hetgraph.operators import training as TR
 from hetgraph.operators.features import KEY_PREFIX, TTL_SECONDS, as_key_values
 from hetgraph.operators.ids import assign_global_ids, attach_global_id, id_ranges, rewrite_edges
 from hetgraph.operators.structure import with_reverse
-from hetgraph.runtime import materialize
+from hetgraph.runtime import materialize, tune
 from hetgraph.schema import GraphConfig, TrainConfig
 from hetgraph.sinks.keyvalue import Client, write_key_values
 from hetgraph.sinks.store import GraphStore, describe_graph
@@ -21,6 +21,7 @@ from hetgraph.sources.tables import TableReader, scan_graph
 
 def export_graph(spark: SparkSession, read: TableReader, config: GraphConfig, dt: str) -> dict:
     """Scan one snapshot, assign global ids, rewrite the edges, write the layout, return its sizes."""
+    tune(spark)
     nodes, edges = scan_graph(read, config, dt)
     edge_types = list(config.edge_types)
     if config.with_reverse:
@@ -59,6 +60,7 @@ def partition_graph(
     seed: int = 42,
 ) -> dict[str, DataFrame]:
     """Partition a stored graph, write it by partition, and report audit and placement."""
+    tune(store.spark)
     nodes, edges = store.read_nodes(), store.read_edges()
     if method == "balanced":
         owner = materialize(P.balanced_map(edges, nodes, num_partitions), "owner")
@@ -87,6 +89,7 @@ def train_classifier(
     nodes: DataFrame, edges: DataFrame, dim: int, config: TrainConfig, rounds: int = 2, seed: int = 42, **fit
 ) -> tuple[object, DataFrame]:
     """Fit on the training nodes of the target type and report all three splits."""
+    tune(nodes.sparkSession)
     data = TR.graph_features(nodes, edges, dim, rounds, config, seed)
     model = TR.fit_classifier(data.where("train_mask"), **fit)
     return model, TR.evaluate(TR.predict(model, data))

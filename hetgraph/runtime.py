@@ -1,4 +1,4 @@
-"""Session settings, durable intermediate tables and counts without a second job."""
+"""Session settings, and durable intermediate tables."""
 
 from __future__ import annotations
 
@@ -6,8 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -37,6 +36,9 @@ def tune(spark: SparkSession) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Split a hot join key even where that costs one more exchange after the join.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # Join through a hash table instead of a sort where, at run time, every partition of
+        # one side is found to be at most this large.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         "spark.sql.session.timeZone": "UTC",
     }.items():
         spark.conf.set(key, value)
@@ -77,7 +79,8 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     return spark.read.schema(df.schema).parquet(path)
 
 
-def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
-    """``df`` with a row count that fills in while the next action runs."""
-    seen = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete the tables this application has materialized. Call it when their readers are done."""
+    root = f"{checkpoint_root(spark)}/hetgraph/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

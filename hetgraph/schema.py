@@ -59,6 +59,14 @@ def etype_name(src_type="src_type", rel="rel", dst_type="dst_type") -> Column:
     return F.concat_ws("__", F.col(src_type), F.col(rel), F.col(dst_type))
 
 
+def is_etype(etypes) -> Column:
+    """Predicate for a list of edge types, one comparison per column."""
+    match = F.lit(False)
+    for e in map(EdgeType._make, etypes):
+        match = match | ((F.col("src_type") == e.src_type) & (F.col("rel") == e.rel) & (F.col("dst_type") == e.dst_type))
+    return match
+
+
 def parse_etype(name: str | Column) -> Column:
     """Struct of the three parts, null when the name has not exactly three."""
     parts = F.split(F.col(name) if isinstance(name, str) else name, "__")

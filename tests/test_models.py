@@ -278,3 +278,21 @@ def test_training_on_propagated_features(spark, graph):
     assert set(report) == {"train", "val", "test"} and report["train"].accuracy > 0.95
     mlp = TR.fit_mlp(data.where("train_mask"), [128, 4, 2], maxIter=5, seed=1)
     assert TR.predict(mlp, data).where("prediction is null").count() == 0
+
+
+@pytest.mark.parametrize("width", [3, 7, 64])
+def test_long_vectors_are_cut_and_joined(spark, width):
+    rng = np.random.default_rng(2)
+    rows = [(int(k), rng.normal(size=10).tolist(), rng.uniform(0.1, 1, 2).tolist()) for k in rng.integers(0, 4, 60)]
+    df = spark.createDataFrame(rows, "k int, v array<double>, w array<double>")
+    of = lambda k: (np.array([v for x, v, _ in rows if x == k]), np.array([w for x, _, w in rows if x == k]))
+    for how, f in (("sum", np.sum), ("mean", np.mean), ("max", np.max), ("min", np.min)):
+        got = V.reduce_by(df, ["k"], "v", 10, how, width=width).collect()
+        assert len(got) == 4
+        for r in got:
+            np.testing.assert_allclose(r.m, f(of(r.k)[0], axis=0))
+            assert r.n == len(of(r.k)[0])
+    for r in V.weighted_mean_by(df, ["k"], "v", "w", 2, 5, width=width).collect():
+        v, w = of(r.k)
+        want = (v.reshape(-1, 2, 5) * w[:, :, None]).sum(0) / w.sum(0)[:, None]
+        np.testing.assert_allclose(r.m, want.reshape(-1))
