@@ -103,6 +103,24 @@ def _(t):
     return I.relabel_subgraph(S.khop_nodes(user_seeds(t), _khop(t)), ["seed_type", "seed_id"])
 
 
+@query(
+    "relabel_edges",
+    oracle(
+        ["heads_out"],
+        f"""{KHOP}, lab AS (SELECT *, row_number() OVER (PARTITION BY seed_type, seed_id, node_type ORDER BY node_id) - 1 AS local_id FROM kn)
+        SELECT k.seed_type, k.seed_id, k.src_type, k.rel, k.dst_type, s.local_id AS src, d.local_id AS dst FROM k
+        JOIN lab s ON s.seed_type = k.seed_type AND s.seed_id = k.seed_id AND s.node_type = k.src_type AND s.node_id = k.src
+        JOIN lab d ON d.seed_type = k.seed_type AND d.seed_id = k.seed_id AND d.node_type = k.dst_type AND d.node_id = k.dst
+        UNION ALL SELECT seed_type, seed_id, node_type, 'self', node_type, local_id, local_id FROM lab
+        WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.seed_type = lab.seed_type AND k.seed_id = lab.seed_id)""",
+    ),
+)
+def _(t):
+    edges = _khop(t)
+    labels = I.relabel_subgraph(S.khop_nodes(user_seeds(t), edges), ["seed_type", "seed_id"])
+    return I.relabel_edges(edges.drop("hop"), labels, ["seed_type", "seed_id"])
+
+
 @query(
     "khop_full",
     oracle(

@@ -160,8 +160,8 @@ def _(t):
 
 
 _JSON_SQL = f"""+{_mlp_sql('x', 'node_type, node_id', 64, (64, 65), (16, 10))},
-  z AS (SELECT node_type, o AS j, 0.0 AS v FROM (VALUES ('item'), ('user')) t(node_type), range(64) r(o)),
-  parsed AS ({_PARSED})
+  parsed AS (SELECT * REPLACE (coalesce(error, CASE WHEN task_type <> 'node_classify' THEN 'needs link_scores' END) AS error)
+    FROM ({_PARSED}))
   SELECT event_id, p.node_id, p.node_type, CASE WHEN error IS NULL THEN coalesce(s.prediction, zero.prediction) END AS prediction,
     CASE WHEN error IS NULL THEN {q4('coalesce(s.confidence, zero.confidence)')} END AS confidence, error
   FROM parsed p LEFT JOIN scored s ON s.node_type = p.node_type AND s.node_id = p.node_id,

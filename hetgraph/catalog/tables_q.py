@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hetgraph.catalog.registry import entries, query, r4
@@ -295,12 +297,15 @@ def _(t):
     "partition_read",
     oracle(
         ["edges"],
-        """SELECT src_type, rel, dst_type, src, dst, edge_weight::DOUBLE AS edge_weight FROM edges WHERE src % 8 = 3""",
+        """SELECT (src % 8)::INTEGER AS partition_id, src_type, rel, dst_type, src, dst, edge_weight::DOUBLE AS edge_weight
+        FROM edges""",
     ),
 )
 def _(t):
-    e = _partitioned(t)[0].read_partition(3)[1]
-    return e.select("src_type", "rel", "dst_type", "src", "dst", F.col("edge_weight").cast("double").alias("edge_weight"))
+    # Each partition is read on its own, as its owner would.
+    store = _partitioned(t)[0]
+    e = reduce(DataFrame.unionByName, [store.read_partition(p)[1] for p in range(8)])
+    return e.withColumn("edge_weight", F.col("edge_weight").cast("double"))
 
 
 @query(
@@ -544,7 +549,7 @@ SELECT node_type, node_id, weight, (before * 8 // total)::INTEGER AS partition_i
 @query("partition_balanced", oracle(["nodes", "edges"], _BALANCED))
 def _(t):
     nodes, edges = t.graph()
-    return P.balanced_map(edges, nodes, 8, block=1000)
+    return P.balanced_map(edges, nodes, 8)
 
 
 @query(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from itertools import accumulate
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hetgraph.runtime import materialize
@@ -14,6 +16,33 @@ from hetgraph.runtime import materialize
 _LOCAL_BITS = 33
 
 
+class _Sorted(NamedTuple):
+    rows: DataFrame  # the sorted rows with ``__part`` and ``__place``
+    sizes: DataFrame  # one row per sort partition: ``__part``, ``__start``
+    total: int | float
+
+
+def _sorted_parts(df: DataFrame, keys: Sequence[str], weight: Column) -> _Sorted:
+    """Range-sort, write once, and find what each sort partition starts from.
+
+    Only the per-partition sums of ``weight`` come to the driver: as many numbers as the sort
+    has partitions, however many rows there are. The sorted rows are files by then, so a lost
+    executor cannot move a boundary.
+    """
+    stored = materialize(df.orderBy(*keys).withColumn("__mark", F.monotonically_increasing_id()), "sorted")
+    rows = stored.select(
+        *df.columns,
+        F.shiftright("__mark", _LOCAL_BITS).alias("__part"),
+        F.col("__mark").bitwiseAND((1 << _LOCAL_BITS) - 1).alias("__place"),
+    )
+    sums = sorted((r["__part"], r["w"]) for r in rows.groupBy("__part").agg(F.sum(weight).alias("w")).collect())
+    starts = [0, *accumulate(w for _, w in sums)]
+    sizes = df.sparkSession.createDataFrame(
+        [(p, start) for (p, _), start in zip(sums, starts)], "__part long, __start long"
+    )
+    return _Sorted(rows, sizes, starts[-1])
+
+
 def with_row_index(
     df: DataFrame,
     order_by: Sequence[str],
@@ -23,39 +52,32 @@ def with_row_index(
     """Dense 0-based position in the order of ``(group_by, order_by)``, restarting per group.
 
     Equals ``row_number() - 1`` but has no task that holds a whole group: one range sort
-    spreads the rows, each row keeps its place inside its range, and the only global step is
-    a running total with one entry per sort partition. The sorted rows are written once, so
-    a lost executor cannot move a boundary. Rows that tie on the full key must be told apart
-    by the caller (see ``number_copies``), or their common range cannot be split.
+    spreads the rows and each row keeps its place inside its range. Rows that tie on the full
+    key must be told apart by the caller (see ``number_copies``), or their common range
+    cannot be split.
     """
-    spark = df.sparkSession
-    keys = [*group_by, *order_by]
-    stored = materialize(
-        df.orderBy(*keys).withColumn("__mark", F.monotonically_increasing_id()), "row-index"
-    )
-    part = F.shiftright("__mark", _LOCAL_BITS)
-    local = F.col("__mark").bitwiseAND((1 << _LOCAL_BITS) - 1)
-    # One row per sort partition: bounded by the partition count, not by the data.
-    sizes = sorted(
-        (r["p"], r["n"])
-        for r in stored.groupBy(part.alias("p")).agg((F.max(local) + 1).alias("n")).collect()
-    )
-    starts = [0, *accumulate(n for _, n in sizes)]
-    offsets = spark.createDataFrame(
-        [(p, start) for (p, _), start in zip(sizes, starts)], "__part long, __start long"
-    )
-    placed = (
-        stored.withColumn("__part", part)
-        .join(F.broadcast(offsets), "__part")
-        .withColumn(index, F.col("__start") + local)
-        .drop("__part", "__start", "__mark")
+    parts = _sorted_parts(df, [*group_by, *order_by], F.lit(1))
+    placed = parts.rows.join(F.broadcast(parts.sizes), "__part").select(
+        *df.columns, (F.col("__start") + F.col("__place")).alias(index)
     )
     if not group_by:
         return placed
     heads = placed.groupBy(*group_by).agg(F.min(index).alias("__head"))
-    return (
-        placed.join(heads, list(group_by)).withColumn(index, F.col(index) - F.col("__head")).drop("__head")
+    return placed.join(heads, list(group_by)).select(*df.columns, (F.col(index) - F.col("__head")).alias(index))
+
+
+def with_running_total(df: DataFrame, order_by: Sequence[str], weight: str, before: str) -> tuple[DataFrame, int]:
+    """Sum of the whole-number ``weight`` over all earlier rows, and the sum over all rows.
+
+    The running sum is taken inside each sort partition and shifted by what the earlier
+    partitions hold.
+    """
+    parts = _sorted_parts(df, order_by, F.col(weight))
+    inside = F.sum(weight).over(
+        W.partitionBy("__part").orderBy("__place").rowsBetween(W.unboundedPreceding, W.currentRow)
     )
+    summed = parts.rows.withColumn("__sum", inside - F.col(weight)).join(F.broadcast(parts.sizes), "__part")
+    return summed.select(*df.columns, (F.col("__start") + F.col("__sum")).alias(before)), parts.total
 
 
 def number_copies(df: DataFrame, by: Sequence[str], copy: str = "copy", chunk: int = 65_536) -> DataFrame:
@@ -175,3 +197,30 @@ def relabel_subgraph(sub_nodes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     unique = sub_nodes.select(*keys, "node_type", "node_id").distinct()
     return with_row_index(unique, ["node_id"], "local_id", group_by=[*keys, "node_type"])
+
+
+def relabel_edges(sub_edges: DataFrame, labels: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Edges of each subgraph in local ids; a subgraph without edges gets a self loop per node."""
+    keys = list(keys)
+    out = sub_edges
+    for end in ("src", "dst"):
+        names = labels.select(
+            *keys,
+            F.col("node_type").alias(f"{end}_type"),
+            F.col("node_id").alias(end),
+            F.col("local_id").alias(f"__{end}"),
+        )
+        out = out.join(names, [*keys, f"{end}_type", end])
+    out = out.select(
+        *keys, "src_type", "rel", "dst_type", F.col("__src").alias("src"), F.col("__dst").alias("dst")
+    )
+    alone = labels.join(sub_edges.select(*keys).distinct(), keys, "left_anti")
+    loops = alone.select(
+        *keys,
+        F.col("node_type").alias("src_type"),
+        F.lit("self").alias("rel"),
+        F.col("node_type").alias("dst_type"),
+        F.col("local_id").alias("src"),
+        F.col("local_id").alias("dst"),
+    )
+    return out.unionByName(loops)

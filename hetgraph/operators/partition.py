@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hetgraph.functions.hashing import hash52
-from hetgraph.operators.ids import with_row_index
+from hetgraph.operators.ids import with_running_total
 
 
 def _by_hash(node_type: Column, node_id: Column, n: int, seed: int) -> Column:
@@ -50,12 +49,11 @@ def follow_source(edges: DataFrame, partition_map: DataFrame) -> DataFrame:
     return edges.join(owner, ["src_type", "src"])
 
 
-def balanced_map(edges: DataFrame, nodes: DataFrame, n: int, block: int = 100_000) -> DataFrame:
+def balanced_map(edges: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     """Partition map whose parts hold about the same number of edge ends.
 
     Nodes are taken in id order and cut where the running total of their degrees passes each
-    n-th part. The total is summed per block of ``block`` neighbouring nodes first; a node
-    without edges counts one so that it moves the cut as well.
+    n-th part. A node without edges counts one so that it moves the cut as well.
     """
     ends = edges.select(
         F.inline(
@@ -72,27 +70,9 @@ def balanced_map(edges: DataFrame, nodes: DataFrame, n: int, block: int = 100_00
         .join(weight, ["node_type", "node_id"], "left")
         .withColumn("weight", F.coalesce("weight", F.lit(1).cast("long")))
     )
-    ranked = with_row_index(weighted, ["node_type", "node_id"], "__rank").withColumn(
-        "__block", F.floor(F.col("__rank") / block).cast("long")
-    )
-
-    # One row per block, so the unpartitioned window sees nodes / block rows.
-    per_block = ranked.groupBy("__block").agg(F.sum("weight").alias("__w"))
-    before = per_block.select(
-        "__block",
-        (F.sum("__w").over(W.orderBy("__block")) - F.col("__w")).alias("__before"),
-        F.sum("__w").over(W.partitionBy()).alias("__total"),
-    )
-    inside = F.sum("weight").over(
-        W.partitionBy("__block").orderBy("__rank").rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    placed = ranked.withColumn("__inside", inside - F.col("weight")).join(before, "__block")
-    return placed.select(
-        "node_type",
-        "node_id",
-        "weight",
-        F.floor((F.col("__before") + F.col("__inside")) * n / F.col("__total")).cast("int").alias("partition_id"),
-    )
+    placed, total = with_running_total(weighted, ["node_type", "node_id"], "weight", "__before")
+    part = F.floor(F.col("__before") * n / F.lit(max(total, 1))).cast("int")
+    return placed.select("node_type", "node_id", "weight", part.alias("partition_id"))
 
 
 def partition_sizes(nodes: DataFrame, edges: DataFrame) -> DataFrame:

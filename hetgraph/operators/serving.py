@@ -103,18 +103,20 @@ def score_seeds(
 
 def answer(requests: DataFrame, scores: DataFrame) -> DataFrame:
     """Parsed requests with the score of their node, or the reason why there is none."""
-    scored = requests.join(scores, ["node_type", "node_id"], "left")
+    return with_errors(requests.join(scores, ["node_type", "node_id"], "left"))
+
+
+def with_errors(scored: DataFrame) -> DataFrame:
+    """State why a request has no class, and blank the score fields of such a request."""
     error = F.coalesce(
         "error",
         F.when(F.col("task_type") != CLASSIFY, F.lit("needs link_scores")),
         F.when(F.col("prediction").isNull(), F.lit("unknown node")),
     )
-    blank = lambda c: F.when(error.isNull(), F.col(c))
+    fields = ["prediction", "confidence", "probabilities"]
     return scored.select(
-        *requests.drop("error").columns,
-        blank("prediction").alias("prediction"),
-        blank("confidence").alias("confidence"),
-        blank("probabilities").alias("probabilities"),
+        *[c for c in scored.columns if c not in (*fields, "error")],
+        *[F.when(error.isNull(), F.col(c)).alias(c) for c in fields],
         error.alias("error"),
     )
 

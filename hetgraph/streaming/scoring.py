@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hetgraph.functions.vectors import Linear, dense
 from hetgraph.operators.features import get_features
 from hetgraph.operators.layers import score_logits
-from hetgraph.operators.serving import as_responses, parse_requests
+from hetgraph.operators.serving import as_responses, parse_requests, with_errors
 
 
 def score_requests(requests: DataFrame, features: DataFrame, chain: list[Linear], body: str = "body") -> DataFrame:
@@ -20,11 +20,7 @@ def score_requests(requests: DataFrame, features: DataFrame, chain: list[Linear]
     dim = chain[0][0].shape[1]
     looked_up = get_features(parse_requests(requests, body), features, default_dim=dim)
     logits = looked_up.withColumn("logits", dense({"all": chain}, F.lit("all"), "feature_vec")).drop("feature_vec")
-    scored = score_logits(logits)
-    fine = F.col("error").isNull()
-    return as_responses(
-        scored.withColumns({c: F.when(fine, F.col(c)) for c in ("prediction", "confidence", "probabilities")})
-    )
+    return as_responses(with_errors(score_logits(logits)))
 
 
 def write_responses(responses: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

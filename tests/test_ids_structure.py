@@ -132,3 +132,57 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         runtime.checkpoint_root(Session())
+
+
+def test_running_total(spark):
+    rows = [(i * 17 % 101, i % 5 + 1) for i in range(101)]
+    got, total = I.with_running_total(spark.createDataFrame(rows, "k long, w long").repartition(6), ["k"], "w", "before")
+    want, acc = [], 0
+    for k, w in sorted(rows):
+        want.append((k, acc))
+        acc += w
+    assert pairs(got, "k", "before") == want and total == acc
+
+
+def test_relabelled_edges(spark):
+    labels = spark.createDataFrame(
+        [(1, "n", 7, 0), (1, "n", 9, 1), (2, "n", 7, 0)], "seed int, node_type string, node_id long, local_id long"
+    )
+    e = spark.createDataFrame([(1, "n", "r", "n", 9, 7)], "seed int, src_type string, rel string, dst_type string, src long, dst long")
+    got = pairs(I.relabel_edges(e, labels, ["seed"]), "seed", "rel", "src", "dst")
+    assert got == [(1, "r", 1, 0), (2, "self", 0, 0)]
+
+
+def test_a_hot_source_is_split(spark):
+    """A third of all edges leave one node: the join with its features is split at run time."""
+    from hetgraph.operators.propagate import neighbor_mean
+
+    n = 60_000
+    # More than one map task, since a split follows the map outputs.
+    edges = spark.range(n, numPartitions=8).select(
+        F.lit("u").alias("src_type"), F.lit("r").alias("rel"), F.lit("i").alias("dst_type"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("src"), (F.col("id") % 50).alias("dst"),
+    )
+    h = spark.range(n).select(F.lit("u").alias("node_type"), F.col("id").alias("node_id"), F.array(F.col("id") * 1.0).alias("h"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = neighbor_mean(edges, h, 1)
+        got = {r.dst: r.m[0] for r in df.collect()}
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan
+    want = {}
+    for i in range(n):
+        want.setdefault(i % 50, []).append(0 if i % 3 == 0 else i)
+    assert all(abs(got[d] - sum(v) / len(v)) < 1e-6 for d, v in want.items())

@@ -168,7 +168,7 @@ def test_partition_ids_stay_positive(spark):
 
 def test_balanced_parts_hold_equal_shares(spark, graph):
     nodes, edges = graph
-    parts = P.balanced_map(edges, nodes, 4, block=50)
+    parts = P.balanced_map(edges, nodes, 4)
     total = Counter()
     for r in parts.collect():
         total[r.partition_id] += r.weight
