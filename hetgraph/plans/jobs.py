@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,3 +95,33 @@ def train_classifier(
     data = TR.graph_features(nodes, edges, dim, rounds, config, seed)
     model = TR.fit_classifier(data.where("train_mask"), **fit)
     return model, TR.evaluate(TR.predict(model, data))
+
+
+class Trained(NamedTuple):
+    model: object
+    best_rounds: int
+    report: DataFrame  # ``rounds, split`` and the metrics
+
+
+def train_best(
+    nodes: DataFrame, edges: DataFrame, dim: int, config: TrainConfig, max_rounds: int = 2, seed: int = 42, **fit
+) -> Trained:
+    """Fit with 0..``max_rounds`` rounds of propagation and keep the one best on the validation split.
+
+    The features are built once: those of fewer rounds are their first part.
+    """
+    tune(nodes.sparkSession)
+    data = TR.graph_features(nodes, edges, dim, max_rounds, config, seed)
+    models, reports = [], []
+    for rounds in range(max_rounds + 1):
+        part = data.withColumn("features", F.slice("features", 1, dim * (rounds + 1)))
+        model = TR.fit_classifier(part.where("train_mask"), **fit)
+        models.append(model)
+        reports.append(TR.evaluate(TR.predict(model, part)).select(F.lit(rounds).alias("rounds"), "*"))
+    report = materialize(reduce(DataFrame.unionByName, reports), "report")
+    scores = report.where("split = 'val'").select(
+        F.lit(0).alias("run_id"), F.col("rounds").alias("epoch"), F.col("accuracy").alias("score")
+    )
+    chosen = TR.best_epoch(scores).first()
+    best = chosen.best_epoch if chosen and chosen.best_epoch is not None else 0
+    return Trained(models[best], best, report)
