@@ -199,6 +199,55 @@ def _(t):
     return entries(sage_out(t), "h", "node_type", "node_id")
 
 
+ENCODER = L.GraphModel(
+    "sage",
+    INPUTS,
+    [
+        L.SageLayer(
+            own={e: formula_matrix(HID, HID, s + 110) for e, s in SLOT.items()},
+            neighbor={e: formula_matrix(HID, HID, s + 100) for e, s in SLOT.items()},
+            bias={e: formula_bias(HID, s + 100) for e, s in SLOT.items()},
+        ),
+        SAGE,
+    ],
+    [(1 + np.arange(HID) / 8.0, formula_bias(HID, 120)), None],
+)
+
+
+def _sage_sql(h: str, out: str, width: int, own: int, neighbor: int) -> str:
+    """One layer over a state ``h(node_type, node_id, o, v)``, giving ``out`` of the same shape."""
+    return f"""{out}_m AS (SELECT e.dst_type, e.dst, et.slot, o, avg(v) AS v FROM edges e JOIN et USING (src_type, rel, dst_type)
+    JOIN {h} ON node_type = e.src_type AND node_id = e.src GROUP BY ALL),
+  {out}_n AS (SELECT DISTINCT node_type, node_id FROM {h}),
+  {out}_p AS (
+    SELECT dst_type AS node_type, dst AS node_id, p, sum(v * {wmat('p', 'o', f'slot + {neighbor}')}) AS v
+      FROM {out}_m, range({width}) t(p) GROUP BY dst_type, dst, p
+    UNION ALL SELECT s.node_type, s.node_id, p, sum(v * {wmat('p', 'o', f'slot + {own}')}) FROM {h} s
+      JOIN et ON et.dst_type = s.node_type, range({width}) t(p) GROUP BY s.node_type, s.node_id, p
+    UNION ALL SELECT n.node_type, n.node_id, p, sum({wbias('p', f'slot + {neighbor}')}) FROM {out}_n n
+      JOIN et ON et.dst_type = n.node_type, range({width}) t(p) GROUP BY n.node_type, n.node_id, p
+    UNION ALL SELECT node_type, node_id, p, 0.0 FROM {out}_n, range({width}) t(p)),
+  {out} AS (SELECT node_type, node_id, p AS o, sum(v) AS v FROM {out}_p GROUP BY node_type, node_id, p)"""
+
+
+@query(
+    "sage_encoder",
+    oracle(
+        ["h", "edges", "et"],
+        f"""+{_sage_sql('h', 'one', HID, 110, 100)},
+        spread AS (SELECT node_type, node_id, avg(v) AS mean, var_pop(v) AS var FROM one GROUP BY node_type, node_id),
+        mid AS (SELECT node_type, node_id, o,
+            greatest((v - mean) / sqrt(var + 1e-5) * (1 + o / 8.0) + {wbias('o', '120')}, 0) AS v
+          FROM one JOIN spread USING (node_type, node_id)),
+        {_sage_sql('mid', 'two', OUT, 10, 0)}
+        SELECT node_type, node_id, o AS dim, {q4('v')} AS value FROM two""",
+    ),
+)
+def _(t):
+    nodes, edges = t.graph()
+    return entries(L.encode(ENCODER, edges, nodes), "h", "node_type", "node_id")
+
+
 GAT = L.GatLayer(
     project={e: formula_matrix(HEADS * OUT, HID, s) for e, s in SLOT.items()},
     attn_src={e: formula_matrix(HEADS, OUT, s + 20) for e, s in SLOT.items()},

@@ -54,7 +54,7 @@ def with_row_index(
     Equals ``row_number() - 1`` but has no task that holds a whole group: one range sort
     spreads the rows and each row keeps its place inside its range. Rows that tie on the full
     key must be told apart by the caller (see ``number_copies``), or their common range
-    cannot be split.
+    cannot be split. The ``group_by`` columns must not be null.
     """
     parts = _sorted_parts(df, [*group_by, *order_by], F.lit(1))
     placed = parts.rows.join(F.broadcast(parts.sizes), "__part").select(

@@ -47,31 +47,31 @@ def sample_edges(edges: DataFrame, ratio: float = 0.1, seed: int = 42, key: Sequ
 
 # --- neighbours ---------------------------------------------------------------------------
 
-_ETYPE = ["near_type", "rel", "far_type"]
-
 
 def draw_links(frontier: DataFrame, adjacency: Adjacency, fanout: int | None, seed: int, salt: Sequence[str]) -> DataFrame:
-    """For each frontier row and edge type, up to ``fanout`` links without replacement.
+    """For each frontier row and edge type, up to ``fanout`` links without replacement; all for ``None``.
 
     ``frontier`` has ``node_type, node_id`` and the columns in ``salt``, which enter the draw.
     A row is first expanded to its few drawn positions and then fetches exactly those links,
     so a super node in the frontier never meets its full neighbour list.
     """
-    heads = adjacency.heads.withColumnsRenamed({"near_type": "node_type", "near": "node_id"})
-    met = frontier.join(heads, ["node_type", "node_id"])
+    near = {"near_type": "node_type", "near": "node_id"}
     if fanout is None:
-        positions = F.sequence(F.lit(0).cast("long"), F.col("degree") - 1)
-    else:
-        positions = draw_positions(
-            F.col("degree"),
-            fanout,
-            seed,
-            *[F.col(c) for c in salt],
-            F.col("node_type"),
-            F.col("node_id"),
-            F.col("rel"),
-            F.col("far_type"),
+        # Everything is wanted: meet the links by node, no positions are listed.
+        return frontier.join(adjacency.links.drop("pos").withColumnsRenamed(near), ["node_type", "node_id"]).select(
+            *frontier.columns, "rel", "far_type", "far"
         )
+    met = frontier.join(adjacency.heads.withColumnsRenamed(near), ["node_type", "node_id"])
+    positions = draw_positions(
+        F.col("degree"),
+        fanout,
+        seed,
+        *[F.col(c) for c in salt],
+        F.col("node_type"),
+        F.col("node_id"),
+        F.col("rel"),
+        F.col("far_type"),
+    )
     wanted = met.withColumn("__at", F.explode(positions)).select(
         *frontier.columns, (F.col("start") + F.col("__at")).alias("pos")
     )

@@ -99,7 +99,7 @@ class GraphConfig:
         EdgeType("item", "similar", "item"),
     )
     database: str = "graph_db"
-    output_path: str = "/data/cgdf"
+    output_path: str = "/data/graph"
     num_partitions: int = 32
     graph_name: str = "hetero_graph"
     num_classes: int | None = None

@@ -11,6 +11,7 @@ from check import rows_of
 from conftest import SF
 
 ORACLES = entry.oracle_sql()
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +31,8 @@ def test_query(spark, duck, name):
         cur = duck.execute(ORACLES[name])
         cols = [d[0] for d in cur.description]
         assert sorted(df.columns) == sorted(cols)
+        types = {d[0]: TYPES.get(str(d[1]), str(d[1])) for d in cur.description}
+        assert dict(df.dtypes) == types
         assert rows_of(df.columns, got) == rows_of(cols, cur.fetchall())
 
 
