@@ -561,6 +561,30 @@ def _(t):
     return P.assign_nodes(ids.select("node_type", F.col("global_id").alias("node_id")), 32)
 
 
+@query(
+    "partition_config",
+    oracle(
+        ["nodes", "edges"],
+        f"""SELECT 8 AS num_parts, 'mod' AS part_method, partition_id, kind, name, rows,
+        (SELECT count(*) FROM nodes) AS total_nodes FROM ({_PARTS})""",
+    ),
+)
+def _(t):
+    nodes, edges = t.graph()
+    sizes = P.partition_sizes(P.assign_nodes(nodes, 8, "mod"), P.assign_edges(edges, 8, "mod"))
+    config = P.partition_config(sizes, 8, "mod", "parts").select(F.from_json("config", P.PARTITION_CONFIG).alias("c"))
+    total = F.aggregate(F.map_values("c.num_nodes"), F.lit(0).cast("long"), lambda a, x: a + x)
+    stats = config.select("c.num_parts", "c.part_method", total.alias("total_nodes"), F.explode("c.partition_stats").alias("s"))
+    sides = [
+        stats.select(
+            "num_parts", "part_method", "s.partition_id", F.lit(kind).alias("kind"),
+            F.explode(f"s.num_{kind}s").alias("name", "rows"), "total_nodes",
+        )
+        for kind in ("node", "edge")
+    ]
+    return sides[0].unionByName(sides[1])
+
+
 @query(
     "placement",
     oracle(

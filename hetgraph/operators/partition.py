@@ -86,6 +86,56 @@ def partition_sizes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return node_part.unionByName(edge_part)
 
 
+PARTITION_CONFIG = (
+    "graph_name string, num_parts int, part_method string, part_path string, "
+    "num_nodes map<string,bigint>, partition_stats array<struct<partition_id:int,"
+    "num_nodes:map<string,bigint>,num_edges:map<string,bigint>>>"
+)
+
+
+def partition_config(sizes: DataFrame, num_parts: int, method: str, path: str, graph_name: str = "hetero_graph") -> DataFrame:
+    """One JSON text that describes a partitioning, out of its ``partition_sizes``.
+
+    ``sizes`` has a row per partition and type, so all of it fits one row.
+    """
+
+    def per_name(kind):
+        entry = F.struct(F.col("name").alias("key"), F.col("rows").alias("value"))
+        return F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("kind") == kind, entry))))
+
+    parts = sizes.groupBy("partition_id").agg(per_name("node").alias("num_nodes"), per_name("edge").alias("num_edges"))
+    stats = parts.groupBy().agg(
+        F.array_sort(
+            F.collect_list(F.struct("partition_id", "num_nodes", "num_edges")),
+            lambda a, b: a["partition_id"] - b["partition_id"],
+        ).alias("partition_stats")
+    )
+    totals = (
+        sizes.where("kind = 'node'")
+        .groupBy("name")
+        .agg(F.sum("rows").alias("rows"))
+        .groupBy()
+        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "rows")))).alias("num_nodes"))
+    )
+    key = F.lit(1).alias("__k")
+    return (
+        stats.select(key, "*")
+        .join(totals.select(key, "*"), "__k")
+        .select(
+            F.to_json(
+                F.struct(
+                    F.lit(graph_name).alias("graph_name"),
+                    F.lit(num_parts).alias("num_parts"),
+                    F.lit(method).alias("part_method"),
+                    F.lit(path).alias("part_path"),
+                    "num_nodes",
+                    "partition_stats",
+                )
+            ).alias("config")
+        )
+    )
+
+
 def halo_nodes(edges: DataFrame, n: int, method: str = "random", seed: int = 42) -> DataFrame:
     """Per partition, the ends of its edges that another partition owns."""
     with_owner = assign_edges(edges, n, method, seed).withColumn(

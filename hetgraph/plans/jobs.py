@@ -74,6 +74,7 @@ def partition_graph(
     store.write_partitions(placed_nodes, placed_edges)
     found = store.partition_sizes()
     out = {"audit": P.partition_audit(P.partition_sizes(placed_nodes, placed_edges), found), "sizes": found}
+    out["config"] = P.partition_config(found, num_partitions, method, f"{store.root}/parts")
     if hosts is not None:
         parts = found.groupBy("partition_id").agg(F.sum("rows").alias("rows"))
         out["placement"] = P.placement(parts, hosts, per_host)
