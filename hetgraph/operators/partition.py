@@ -117,22 +117,17 @@ def partition_config(sizes: DataFrame, num_parts: int, method: str, path: str, g
         .groupBy()
         .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "rows")))).alias("num_nodes"))
     )
-    key = F.lit(1).alias("__k")
-    return (
-        stats.select(key, "*")
-        .join(totals.select(key, "*"), "__k")
-        .select(
-            F.to_json(
-                F.struct(
-                    F.lit(graph_name).alias("graph_name"),
-                    F.lit(num_parts).alias("num_parts"),
-                    F.lit(method).alias("part_method"),
-                    F.lit(path).alias("part_path"),
-                    "num_nodes",
-                    "partition_stats",
-                )
-            ).alias("config")
-        )
+    return stats.select(
+        F.to_json(
+            F.struct(
+                F.lit(graph_name).alias("graph_name"),
+                F.lit(num_parts).alias("num_parts"),
+                F.lit(method).alias("part_method"),
+                F.lit(path).alias("part_path"),
+                totals.scalar().alias("num_nodes"),
+                "partition_stats",
+            )
+        ).alias("config")
     )
 
 

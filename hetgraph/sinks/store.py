@@ -255,17 +255,13 @@ def describe_graph(
         ).alias("edge_types"),
         F.sum("num_edges").alias("total_edges"),
     )
-    key = F.lit(1).alias("__k")
-    return (
-        n.select(key, "*")
-        .join(e.select(key, "*"), "__k")
-        .select(
-            F.lit(graph_name).alias("graph_name"),
-            "node_types",
-            "edge_types",
-            "total_nodes",
-            "total_edges",
-            F.lit(num_partitions).alias("num_partitions"),
-            F.lit(num_classes).cast("int").alias("num_classes"),
-        )
+    edge_side = e.select(F.struct("*")).scalar()
+    return n.select(
+        F.lit(graph_name).alias("graph_name"),
+        "node_types",
+        edge_side["edge_types"].alias("edge_types"),
+        "total_nodes",
+        edge_side["total_edges"].alias("total_edges"),
+        F.lit(num_partitions).alias("num_partitions"),
+        F.lit(num_classes).cast("int").alias("num_classes"),
     )

@@ -27,6 +27,8 @@ def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     got = df.collect()
     assert got
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     if name in ORACLES:
         cur = duck.execute(ORACLES[name])
         cols = [d[0] for d in cur.description]
