@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hetgraph.llm.common import table
+from hetgraph.llm.sql import mixing_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +28,19 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hetgraph.llm import minhash
 
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@query("op4_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hetgraph.llm import rules
+
+    return rules.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@query("op8_mixture", mixing_sql())
+def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hetgraph.llm import mixing
+
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
