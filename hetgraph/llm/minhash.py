@@ -14,8 +14,8 @@ one that fills the last bin cannot change it, so a set of n shingles costs about
 Equal sets are one class and sketched coordinates are compared between classes only. With 32 bands
 of 5 coordinates two sets at 0.8 share no band with a probability of 3e-6.
 
-Within a bucket pairs are not expanded. First every class is compared with one class per bucket,
-the smallest; what turns out similar is contracted. Then only classes that share a bucket *and*
+Within a bucket pairs are not expanded. In rounds every class is compared with one class that it
+shares a bucket with; what turns out similar is contracted. Then only classes that share a bucket *and*
 still lie in different components are compared, each against the members of the other components,
 so a bucket that holds a large group of copies costs its size once per outsider. Every pair that
 shares a bucket is therefore either linked by a path of verified links or was verified itself.
@@ -38,6 +38,8 @@ BANDS, ROWS = 32, 5
 #: Candidates whose sketches agree in less than this share are not verified: six standard
 #: deviations below 0.8 at 160 coordinates.
 SKETCH_FLOOR = 0.61
+#: Rounds of single comparisons go on while more than this share of them finds a link.
+WORTH = 0.05
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -157,6 +159,62 @@ def _with_both(pairs: DataFrame, nodes: DataFrame, column: str, x: str, y: str)
     )
 
 
+def _placed(shared: DataFrame, groups: DataFrame) -> DataFrame:
+    return shared.join(groups, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component")
+    )
+
+
+def _merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups (node, component)`` after new links between nodes."""
+    ends = [
+        groups.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in ("a", "b")
+    ]
+    between = links.join(ends[0], "a", "left").join(ends[1], "b", "left").select(
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")
+    )
+    moved = components(between).toDF("component", "to")
+    # A node without a row in ``groups`` is a component of its own.
+    known = groups.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    new = moved.join(groups.select(F.col("node").alias("component")), "component", "left_anti").select(
+        F.col("component").alias("node"), F.col("to").alias("component")
+    )
+    return materialize(known.unionByName(new), "groups")
+
+
+def _by_stars(shared: DataFrame, verified) -> DataFrame:
+    """``(node, component)`` after rounds in which every class is compared with one other class.
+
+    A round draws one class per bucket; a class that lies in another component than one it shares a
+    bucket with is compared with it, with one of them if there are several. Rounds go on while they
+    find links often enough: a group of copies of any size is one component after a few of them.
+    """
+    spark = shared.sparkSession
+    groups, turn, met = spark.createDataFrame([], "node long, component long"), 0, True
+    while met:
+        turn += 1
+        now = _placed(shared, groups)
+        order = lambda c: F.xxhash64(F.col(c), F.lit(turn))
+        heads = (
+            now.groupBy("key")
+            .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min_by("node", order("node")).alias("head"))
+            .where("lo < hi").select("key", "head")
+        )
+        of_head = groups.select(F.col("node").alias("head"), F.col("component").alias("ch"))
+        pairs = (
+            now.join(heads, "key").where("node <> head").join(of_head, "head", "left")
+            .where("component <> coalesce(ch, head)")
+            .groupBy(F.col("node").alias("b")).agg(F.min_by("head", order("head")).alias("a"))
+        )
+        pairs = materialize(pairs.select("a", "b"), "pairs")
+        links = materialize(verified(pairs), "stars")
+        found = links.count()
+        if found:
+            groups = _merged(groups, links)
+        met = found > WORTH * pairs.count()
+    return groups
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -178,13 +236,12 @@ def near_duplicates(
     reps = materialize(named.join(classes, ["node", "doc_id"]).select("node", "doc_id", "keys", "marks"), "classes")
 
     placed = reps.select("node", F.explode("keys").alias("key")).distinct()
-    heads = placed.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last")
-    shared = materialize(placed.join(heads.select("key", "head"), "key"), "buckets")
+    several = placed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
+    shared = materialize(placed.join(several.select("key"), "key", "left_semi"), "buckets")
 
     wanted = shared.select("node").distinct().join(reps.select("node", "doc_id"), "node").select("doc_id").distinct()
     sets = materialize(
-        arrow_map(docs.join(wanted, "doc_id", "left_semi").select("text"), _sets(words), "node long, shingles binary")
-        .dropDuplicates(["node"]),
+        arrow_map(docs.join(wanted, "doc_id", "left_semi").select("text"), _sets(words), "node long, shingles binary"),
         "sets",
     )
 
@@ -193,17 +250,10 @@ def near_duplicates(
             _with_both(pairs, sets, "shingles", "sx", "sy"), _similar(percent), "a long, b long"
         )
 
-    # One comparison per class: with the smallest class of any of its buckets.
-    first = shared.groupBy("node").agg(F.min("head").alias("a")).where("a < node").select("a", F.col("node").alias("b"))
-    stars = materialize(verified(first), "stars")
-    groups = components(stars)
+    groups = _by_stars(shared, verified)
 
-    # What shares a bucket across components.
-    now = materialize(
-        shared.select("key", "node").join(groups, "node", "left")
-        .select("key", "node", F.coalesce("component", "node").alias("component")),
-        "placed",
-    )
+    # What still shares a bucket across components.
+    now = materialize(_placed(shared, groups), "placed")
     mixed = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     members = now.join(mixed.select("key"), "key", "left_semi")
     sizes = members.groupBy("key", "component").agg(F.count("*").alias("m"))
@@ -217,11 +267,9 @@ def near_duplicates(
         .where("ca <> cb AND (cb = largest OR a < b)")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
-        .join(first, ["a", "b"], "left_anti")
     )
     close = arrow_map(_with_both(across, reps, "marks", "mx", "my"), _alike(floor), "a long, b long")
-    links = stars.unionByName(materialize(verified(close), "across"))
-    final = components(links)
+    final = _merged(groups, materialize(verified(close), "across"))
 
     # Classes are named by their hash: give each component its smallest document.
     named_sets = classes.join(final, "node", "left").select(
