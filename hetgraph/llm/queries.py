@@ -44,3 +44,10 @@ def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hetgraph.llm import mixing
 
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op7_repeated_passages")
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hetgraph.llm import suffix_dedup
+
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
