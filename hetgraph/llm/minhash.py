@@ -16,9 +16,9 @@ of 5 coordinates two sets at 0.8 share no band with a probability of 3e-6.
 
 Within a bucket pairs are not expanded. In rounds every class is compared with one class that it
 shares a bucket with; what turns out similar is contracted. Then only classes that share a bucket *and*
-still lie in different components are compared, each against the members of the other components,
-so a bucket that holds a large group of copies costs its size once per outsider. Every pair that
-shares a bucket is therefore either linked by a path of verified links or was verified itself.
+still lie in different components are compared, whole components in blocks, so a bucket that
+holds a large group of copies costs its size once per outsider. Every pair that shares a bucket
+is therefore either linked by a path of verified links or was compared itself.
 """
 
 from __future__ import annotations
@@ -35,9 +35,11 @@ from hetgraph.llm.common import arrow_map, components, list_array, mix64, utf8
 from hetgraph.runtime import materialize
 
 BANDS, ROWS = 32, 5
-#: Candidates whose sketches agree in less than this share are not verified: six standard
-#: deviations below 0.8 at 160 coordinates.
-SKETCH_FLOOR = 0.61
+#: Candidates whose sketches agree in less than this share are not verified: four and a half
+#: standard deviations below 0.8 at 160 coordinates, about as rare as sharing no band.
+SKETCH_FLOOR = 0.66
+#: Members of a component and guests that are compared in one block.
+HOSTS, GUESTS = 256, 64
 #: Rounds of single comparisons go on while more than this share of them finds a link.
 WORTH = 0.05
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -142,16 +144,94 @@ def _similar(percent: int):
     return run
 
 
-def _alike(floor: float):
+def _blocks_linked(percent: int, floor: float):
+    """Verified links between the two blocks of a row; one per node of the second block is enough."""
+
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
-            x, y = (np.frombuffer(b"".join(b[c].to_pylist()), np.uint8).reshape(len(b[c]), -1) for c in ("mx", "my"))
-            keep = pa.array((x == y).mean(axis=1) >= floor)
-            yield {"a": b["a"].filter(keep), "b": b["b"].filter(keep)}
+            a_out, b_out = [], []
+            for hosts, guests in zip(b["hosts"], b["guests"]):
+                hosts, guests = hosts.values, guests.values
+                names = hosts.field("node").to_numpy()
+                marks = np.frombuffer(b"".join(hosts.field("marks").to_pylist()), np.uint8).reshape(len(names), -1)
+                sets = [np.frombuffer(x, np.uint64) for x in hosts.field("shingles").to_pylist()]
+                for node, mark, own in zip(*(guests.field(c).to_pylist() for c in ("node", "marks", "shingles"))):
+                    alike = (marks == np.frombuffer(mark, np.uint8)).mean(axis=1)
+                    close = np.flatnonzero(alike >= floor)
+                    close = close[np.argsort(-alike[close], kind="stable")]
+                    own = np.frombuffer(own, np.uint64)
+                    for at in range(0, len(close), 64):
+                        some = close[at : at + 64]
+                        sizes = np.array([len(sets[i]) for i in some])
+                        every = np.concatenate([sets[i] for i in some])
+                        where = np.searchsorted(own, every)
+                        where[where == len(own)] = 0
+                        both = np.add.reduceat(own[where] == every, np.cumsum(sizes) - sizes, dtype=np.int64)
+                        hit = np.flatnonzero(100 * both >= percent * (len(own) + sizes - both))
+                        if len(hit):
+                            a_out.append(int(names[some[hit[0]]]))
+                            b_out.append(node)
+                            break
+            yield {"a": a_out, "b": b_out}
 
     return run
 
 
+def _across(shared: DataFrame, groups: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Verified links ``(a, b)`` between any two components that share a bucket.
+
+    The larger component is the host, the members of the smaller ones are its guests. Hosts and guests
+    are compared in blocks, whole sets at hand, so that no row stands for a pair: sketches first, then the
+    sets of those that are near enough, best first, until a guest is linked to the block.
+    """
+    spark = shared.sparkSession
+    now = materialize(_placed(shared, groups), "placed")
+    mixed = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    parts = now.join(mixed.select("key"), "key", "left_semi").groupBy("key", "component").agg(F.count("*").alias("m"))
+    largest = parts.groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("largest"))
+    others = parts.join(largest, "key").where("component <> largest").select("key", F.col("component").alias("x"), "largest")
+    met = (
+        others.select("x", F.col("largest").alias("y"))
+        .unionByName(others.join(others.select("key", F.col("x").alias("y")), "key").where("x < y").select("x", "y"))
+        .distinct()
+    )
+    nodes = now.select("node", "component").distinct()
+    sizes = nodes.groupBy("component").agg(F.count("*").alias("n"))
+    two = met.join(sizes.toDF("x", "nx"), "x").join(sizes.toDF("y", "ny"), "y")
+    larger = F.struct("nx", "x") > F.struct(F.col("ny").alias("nx"), F.col("y").alias("x"))
+    pairs = materialize(
+        two.select(
+            F.when(larger, F.col("x")).otherwise(F.col("y")).alias("host"),
+            F.when(larger, F.col("y")).otherwise(F.col("x")).alias("component"),
+        ),
+        "met",
+    )
+    full = nodes.join(reps.select("node", "marks"), "node").join(sets, "node")
+    item = F.struct("node", "marks", "shingles").alias("item")
+    n_hosts = sizes.join(pairs.select(F.col("host").alias("component")).distinct(), "component")
+    hosts = (
+        full.join(n_hosts, "component")
+        .groupBy(F.col("component").alias("host"), F.expr(f"pmod(xxhash64(node), ceil(n / {HOSTS}))").alias("hb"))
+        .agg(F.collect_list(item).alias("hosts"))
+    )
+    n_guests = pairs.join(sizes, "component").groupBy("host").agg(F.sum("n").alias("n_guests"))
+    guests = (
+        full.join(pairs, "component").join(n_guests, "host")
+        .groupBy("host", F.expr(f"pmod(xxhash64(node), ceil(n_guests / {GUESTS}))").alias("gb"))
+        .agg(F.collect_list(item).alias("guests"))
+    )
+    blocks = hosts.join(guests, "host").select("hosts", "guests")
+    # A row holds up to some hundred sets, so few rows at a time go to Python.
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(rows)
+    spark.conf.set(rows, 16)
+    try:
+        run = _blocks_linked(percent, SKETCH_FLOOR * percent / 80)
+        return materialize(arrow_map(blocks, run, "a long, b long"), "across")
+    finally:
+        spark.conf.set(rows, usual)
+
+
 def _with_both(pairs: DataFrame, nodes: DataFrame, column: str, x: str, y: str) -> DataFrame:
     """The pairs with one column of either end."""
     return pairs.join(nodes.select(F.col("node").alias("a"), F.col(column).alias(x)), "a").join(
@@ -226,7 +306,6 @@ def near_duplicates(
     Repeated rows give repeated rows. Other columns are ignored; an empty table gives no rows.
     """
     docs = docs.select("doc_id", utf8().alias("text"))
-    floor = SKETCH_FLOOR * percent / 80
     sketched = materialize(
         arrow_map(docs, _sketches(words, bands, rows), "doc_id long, n long, node long, keys array<long>, marks binary"),
         "sketches",
@@ -252,24 +331,7 @@ def near_duplicates(
 
     groups = _by_stars(shared, verified)
 
-    # What still shares a bucket across components.
-    now = materialize(_placed(shared, groups), "placed")
-    mixed = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    members = now.join(mixed.select("key"), "key", "left_semi")
-    sizes = members.groupBy("key", "component").agg(F.count("*").alias("m"))
-    largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("largest"))
-    outside = members.join(largest, "key").where("component <> largest").select(
-        "key", F.col("node").alias("a"), F.col("component").alias("ca"), "largest"
-    )
-    # A pair of two outsiders comes up twice, once is enough.
-    across = (
-        outside.join(members.select("key", F.col("node").alias("b"), F.col("component").alias("cb")), "key")
-        .where("ca <> cb AND (cb = largest OR a < b)")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
-    close = arrow_map(_with_both(across, reps, "marks", "mx", "my"), _alike(floor), "a long, b long")
-    final = _merged(groups, materialize(verified(close), "across"))
+    final = _merged(groups, _across(shared, groups, reps, sets, percent))
 
     # Classes are named by their hash: give each component its smallest document.
     named_sets = classes.join(final, "node", "left").select(
