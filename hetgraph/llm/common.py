@@ -105,3 +105,12 @@ def components(links: DataFrame) -> DataFrame:
         return links.select(F.col("a").alias("node"), F.col("a").alias("component"))
     smallest = names.groupBy("component").agg(F.min("node").alias("smallest"))
     return names.join(smallest, "component").select("node", F.col("smallest").alias("component"))
+
+
+def process_store(name: str) -> dict:
+    """A dict that lives as long as the worker process, so that tasks share what they have loaded."""
+    import sys
+    import types
+
+    module = sys.modules.setdefault("_training_data_store", types.ModuleType("_training_data_store"))
+    return module.__dict__.setdefault(name, {})

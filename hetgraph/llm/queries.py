@@ -51,3 +51,14 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hetgraph.llm import suffix_dedup
 
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op6_sentencepiece")
+def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from hetgraph.llm import sentencepiece_codec
+
+    return sentencepiece_codec.encoded(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
