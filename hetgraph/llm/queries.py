@@ -62,3 +62,12 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encoded(
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
     )
+
+
+@query("op3_token_files")
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from hetgraph.llm import tokenfile
+
+    return tokenfile.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
