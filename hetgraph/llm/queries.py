@@ -71,3 +71,10 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hetgraph.llm import tokenfile
 
     return tokenfile.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op5_shards")
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hetgraph.llm import sharding
+
+    return sharding.sharded(table(spark, sf_dir, "documents"))
