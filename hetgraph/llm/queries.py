@@ -78,3 +78,10 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hetgraph.llm import sharding
 
     return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+@query("op9_main_text")
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hetgraph.llm import html_text
+
+    return html_text.extract(table(spark, sf_dir, "pages"))
