@@ -85,3 +85,11 @@ def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hetgraph.llm import html_text
 
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op10_quality")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hetgraph.llm import quality_mil
+
+    docs = table(spark, sf_dir, "documents")
+    return quality_mil.score(docs, quality_mil.fit(docs, table(spark, sf_dir, "labels")))
