@@ -93,3 +93,10 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return quality_mil.score(docs, quality_mil.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op2_nearest")
+def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hetgraph.llm import ann
+
+    return ann.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
