@@ -149,9 +149,11 @@ def _(t):
     "neighbor_gcn",
     oracle(
         ["h", "edges"],
-        f"""SELECT rel, dst, n, s.o AS dim, {q4('(s.v + own.v) / (n + 1)')} AS value FROM (
-          SELECT rel, dst_type, dst, o, sum(v) AS v, count(*) AS n FROM h JOIN edges ON node_type = src_type AND node_id = src
-          GROUP BY ALL) s JOIN h own ON own.node_type = dst_type AND own.node_id = dst AND own.o = s.o""",
+        f"""SELECT r.rel, own.node_id AS dst, coalesce(s.n, 0)::BIGINT AS n, own.o AS dim,
+          {q4('(coalesce(s.v, 0) + own.v) / (coalesce(s.n, 0) + 1)')} AS value
+        FROM (SELECT DISTINCT rel, dst_type FROM edges) r JOIN h own ON own.node_type = r.dst_type
+        LEFT JOIN (SELECT rel, dst_type, dst, o, sum(v) AS v, count(*) AS n FROM h JOIN edges ON node_type = src_type AND node_id = src
+          GROUP BY ALL) s ON s.rel = r.rel AND s.dst_type = r.dst_type AND s.dst = own.node_id AND s.o = own.o""",
     ),
 )
 def _(t):
@@ -359,15 +361,16 @@ LINK = [formula_linear(6, 2 * HID, 62), formula_linear(1, 6, 63)]
         ["h", "edges"],
         f"""+lr AS (SELECT node_type, node_id, p, sum(v * {wmat('p', 'o', '62')}) AS l, sum(v * {wmat('p', f'o + {HID}', '62')}) AS r
             FROM h, range(6) t(p) GROUP BY ALL),
-        pairs AS (SELECT DISTINCT src_type, rel, dst_type, src, dst FROM edges)
+        pairs AS (SELECT row_number() OVER () AS place, src_type, rel, dst_type, src, dst FROM edges)
         SELECT e.src_type, e.rel, e.dst_type, e.src, e.dst,
           {q4(f"sum(greatest(a.l + b.r + {wbias('a.p', '62')}, 0) * {wmat('0', 'a.p', '63')}) + {wbias('0', '63')}")} AS score
         FROM pairs e JOIN lr a ON a.node_type = e.src_type AND a.node_id = e.src
-        JOIN lr b ON b.node_type = e.dst_type AND b.node_id = e.dst AND b.p = a.p GROUP BY ALL""",
+        JOIN lr b ON b.node_type = e.dst_type AND b.node_id = e.dst AND b.p = a.p
+        GROUP BY e.place, e.src_type, e.rel, e.dst_type, e.src, e.dst""",
     ),
 )
 def _(t):
-    pairs = t.graph()[1].drop("edge_weight").distinct()
+    pairs = t.graph()[1].drop("edge_weight")
     scores = L.link_scores(pairs, projected(t), LINK)
     return scores.withColumn("score", r4("score"))
 
@@ -569,10 +572,26 @@ def _(t):
     return TR.lr_schedule(runs(t))
 
 
+@query(
+    "propagated_features",
+    oracle(
+        ["h", "edges"],
+        f"""+m AS (SELECT rel, src_type, dst_type, dst, o, avg(v) AS v FROM h JOIN edges ON node_type = src_type AND node_id = src GROUP BY ALL),
+        p AS (SELECT dst_type, dst, o, avg(v) AS v FROM m GROUP BY ALL)
+        SELECT node_type, node_id, o AS dim, {q4('v')} AS value FROM h
+        UNION ALL SELECT h.node_type, h.node_id, h.o + {HID}, {q4('coalesce(p.v, 0)')} FROM h
+        LEFT JOIN p ON p.dst_type = h.node_type AND p.dst = h.node_id AND p.o = h.o""",
+    ),
+)
+def _(t):
+    nodes = projected(t).withColumnRenamed("h", "feature_vec")
+    return entries(PR.propagated_features(nodes, t.graph()[1], HID, 1), "features", "node_type", "node_id")
+
+
 @query("fit_propagated")
 def _(t):
     nodes, edges = t.graph()
     config = TrainConfig(target_node_type="item")
     data = TR.graph_features(nodes, edges, 64, 1, config)
-    model = TR.fit_classifier(data.where("train_mask"), maxIter=10)
+    model = TR.fit_classifier(data.where("train_mask"))
     return rounded_metrics(TR.evaluate(TR.predict(model, data)), "split")

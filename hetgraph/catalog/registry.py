@@ -19,6 +19,7 @@ def query(name: str, sql: str | None = None):
 
     def wrap(f: Callable[[DriverTables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")  # as the SQL reads timestamps
             return f(DriverTables(tune(spark), sf_dir))
 
         run.__name__ = name

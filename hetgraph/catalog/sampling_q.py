@@ -186,12 +186,11 @@ def _(t):
     "negative_edges",
     oracle(
         ["gedges"],
-        f"""+known AS (SELECT DISTINCT src_type, rel, dst_type, src, dst FROM gedges),
+        f"""+known AS MATERIALIZED (SELECT DISTINCT src_type, rel, dst_type, src, dst FROM gedges),
         spans AS (SELECT node_type AS dst_type, min(global_id) AS start_id, count(*) AS num_ids FROM gid GROUP BY 1),
-        drawn AS (SELECT src_type, rel, dst_type, src, start_id + {h52(42, 'rel', 'src', 'dst', 'i')} % num_ids AS dst
+        drawn AS MATERIALIZED (SELECT src_type, rel, dst_type, src, start_id + {h52(42, 'rel', 'src', 'dst', 'i')} % num_ids AS dst
           FROM known JOIN spans USING (dst_type), range(1, 3) r(i))
-        SELECT * FROM drawn d WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.src_type = d.src_type AND k.rel = d.rel
-          AND k.dst_type = d.dst_type AND k.src = d.src AND k.dst = d.dst)""",
+        SELECT * FROM drawn ANTI JOIN known USING (src_type, rel, dst_type, src, dst)""",
     ),
 )
 def _(t):

@@ -117,10 +117,6 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         + {wbias('o', "CASE node_type WHEN 'user' THEN 1 ELSE 2 END")} AS v
         FROM x, range(8) t(o) GROUP BY node_type, node_id, o""",
     ),
-    "hs": (
-        ("h",),
-        "SELECT node_type, node_id, list(v ORDER BY o) AS h FROM h GROUP BY node_type, node_id",
-    ),
     # Edge types numbered as the model numbers them.
     "et": (
         (),

@@ -473,7 +473,29 @@ def _(t):
     return P.assign_nodes(t.graph()[0].select("node_type", "node_id"), 8, "random")
 
 
-@query("partition_hash")
+def _murmur(k: str) -> list[str]:
+    """Steps of the public 32-bit Murmur3 for one word ``k``, as columns over ``h``."""
+    times = lambda x, c: f"(({x})::HUGEINT * {c} % 4294967296)::BIGINT"
+    turn = lambda x, n: f"((({x} << {n}) | ({x} >> {32 - n})) & 4294967295)"
+    return [times(k, 3432918353), times(turn("a", 15), 461845907), turn("xor(h, a)", 13), "(a * 5 + 3864292196) & 4294967295"]
+
+
+def _hash_sql(n: int) -> str:
+    """Spark's hash of a long: both halves, the length, the final mixing."""
+    sql = "SELECT node_type, node_id, 42::BIGINT AS h, 0::BIGINT AS a FROM nodes"
+    for half in ("node_id & 4294967295", "(node_id >> 32) & 4294967295"):
+        for step in _murmur(half):
+            sql = f"SELECT node_type, node_id, h, {step} AS a FROM ({sql})"
+        sql = f"SELECT node_type, node_id, a AS h, a FROM ({sql})"
+    mixed = "xor(h, 8)"
+    for shift, factor in ((16, 2246822507), (13, 3266489909), (16, 1)):
+        sql = f"SELECT node_type, node_id, ({mixed})::BIGINT AS h FROM ({sql})"
+        mixed = f"(xor(h, h >> {shift})::HUGEINT * {factor} % 4294967296)::BIGINT"
+    # The number of partitions divides 2 ** 32, so the sign does not matter.
+    return f"SELECT node_type, node_id, ({mixed} % {n})::INTEGER AS partition_id FROM ({sql})"
+
+
+@query("partition_hash", oracle(["nodes"], _hash_sql(8)))
 def _(t):
     return P.assign_nodes(t.graph()[0].select("node_type", "node_id"), 8, "hash")
 
@@ -491,13 +513,19 @@ def _(t):
     oracle(
         ["edges"],
         """SELECT e.src_type, e.rel, e.dst_type, e.src, e.dst, (c_nationkey)::INTEGER AS partition_id
-        FROM edges e JOIN customer ON c_custkey = src WHERE src_type = 'user'""",
+        FROM edges e JOIN customer ON c_custkey = src WHERE src_type = 'user'
+        UNION ALL SELECT e.src_type, e.rel, e.dst_type, e.src, e.dst, (p_partkey % 25)::INTEGER
+        FROM edges e JOIN part ON p_partkey = src WHERE src_type = 'item'""",
     ),
 )
 def _(t):
     owner = t.raw("customer").select(
-        F.lit("user").alias("node_type"), F.col("c_custkey").alias("node_id"), F.col("c_nationkey").alias("partition_id")
+        F.lit("user").alias("node_type"), F.col("c_custkey").alias("node_id"), F.col("c_nationkey").cast("int").alias("partition_id")
     )
+    items = t.raw("part").select(
+        F.lit("item").alias("node_type"), F.col("p_partkey").alias("node_id"), (F.col("p_partkey") % 25).cast("int").alias("partition_id")
+    )
+    owner = owner.unionByName(items)
     e = P.follow_source(t.graph()[1], owner)
     return e.select("src_type", "rel", "dst_type", "src", "dst", "partition_id")
 

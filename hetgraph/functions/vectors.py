@@ -39,14 +39,6 @@ def vec_sum(vec: str | Column) -> Column:
     return _fold(_double(vec), lambda a, x: a + x)
 
 
-def dot(left: str | Column, right: str | Column) -> Column:
-    return vec_sum(F.zip_with(_double(left), _double(right), lambda a, b: a * b))
-
-
-def add(left: str | Column, right: str | Column) -> Column:
-    return F.zip_with(_double(left), _double(right), lambda a, b: a + b)
-
-
 def l2_normalize(vec: str | Column) -> Column:
     """Scale to unit length; a zero vector stays as it is, null stays null."""
     v = _double(vec)
@@ -124,11 +116,21 @@ WIDTH = 64
 _REDUCERS = {"sum": F.sum, "mean": F.sum, "max": F.max, "min": F.min}
 
 
+def _entry(vec: str, i: int) -> Column:
+    """Entry ``i``, which must be there."""
+    return F.coalesce(F.get(vec, F.lit(i)).cast("double"), F.raise_error(F.lit("a vector has a null entry or is too short")))
+
+
+def of_length(vec: str | Column, dim: int) -> Column:
+    """The vector, if it has ``dim`` entries; any other vector, null included, ends the job with an error."""
+    wrong = F.concat(F.lit(f"a vector does not have {dim} entries but "), F.coalesce(F.size(_col(vec)), F.lit(-1)).cast("string"))
+    return F.when(F.size(_col(vec)) == dim, _col(vec)).otherwise(F.raise_error(wrong))
+
+
 def _join_pieces(pieces: DataFrame, keys: list[str], name: str, *more: Column) -> DataFrame:
-    """One vector per key out of its few pieces ``__p, __v``."""
+    """One vector per key out of its few pieces ``__p, __v``, each of its true length."""
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("__p", "__v"))), lambda x: x["__v"])
-    whole = F.filter(F.flatten(ordered), lambda x: x.isNotNull())
-    return pieces.groupBy(*keys).agg(*more, whole.alias(name))
+    return pieces.groupBy(*keys).agg(*more, F.flatten(ordered).alias(name))
 
 
 def reduce_by(
@@ -137,27 +139,29 @@ def reduce_by(
     """Elementwise sum, mean, max or min of a vector column: ``keys, n, <name>``.
 
     One aggregate per dimension, combined on the map side. A mean is a sum over a shared
-    count, since an average per dimension would shuffle ``dim`` counts.
+    count, since an average per dimension would shuffle ``dim`` counts. Every vector must have
+    exactly ``dim`` entries and none of them null; anything else is an error, never a cut.
     """
     if how not in _REDUCERS:
         raise ValueError(f"unknown reduction {how!r}; known: {sorted(_REDUCERS)}")
     count = F.count(F.lit(1)).alias("n")
-
-    def aggregates(column, length):
-        return [_REDUCERS[how](F.get(column, F.lit(i)).cast("double")).alias(f"__s{i}") for i in range(length)]
+    rows = rows.select(*keys, of_length(vec, dim).alias("__x"))
 
     def as_vector(length):
         parts = [F.col(f"__s{i}") for i in range(length)]
         return F.array(*[p / F.col("n") if how == "mean" else p for p in parts])
 
     if dim <= width:
-        return rows.groupBy(*keys).agg(count, *aggregates(vec, dim)).select(*keys, "n", as_vector(dim).alias(name))
-    cut = F.array(*[F.slice(vec, start + 1, width) for start in range(0, dim, width)])
+        sums = [_REDUCERS[how](_entry("__x", i)).alias(f"__s{i}") for i in range(dim)]
+        return rows.groupBy(*keys).agg(count, *sums).select(*keys, "n", as_vector(dim).alias(name))
+    cut = F.array(*[F.slice("__x", start + 1, width) for start in range(0, dim, width)])
+    # The last piece is shorter: what it does not have is null here and cut off by its length.
+    sums = [_REDUCERS[how](F.when(F.size("__x") > i, _entry("__x", i))).alias(f"__s{i}") for i in range(width)]
     pieces = (
         rows.select(*keys, F.posexplode(cut).alias("__p", "__x"))
         .groupBy(*keys, "__p")
-        .agg(count, *aggregates("__x", width))
-        .select(*keys, "n", "__p", as_vector(width).alias("__v"))
+        .agg(count, *sums)
+        .select(*keys, "n", "__p", F.slice(as_vector(width), 1, F.least(F.lit(width), dim - F.col("__p") * width)).alias("__v"))
     )
     return _join_pieces(pieces, keys, name, F.max("n").alias("n"))
 
@@ -167,30 +171,38 @@ def weighted_mean_by(
 ) -> DataFrame:
     """Per head the weighted mean of ``dim`` entries of a vector: ``keys, <name>``.
 
-    ``vec`` holds the heads side by side and ``weights`` one number per head.
+    ``vec`` holds the heads side by side and ``weights`` one number per head; other lengths and
+    null entries are errors.
     """
     total = heads * dim
+    rows = rows.select(*keys, of_length(vec, total).alias("__v"), of_length(weights, heads).alias("__w"))
     if total <= width:
-        sums = [F.sum(F.get(vec, F.lit(i)) * F.get(weights, F.lit(i // dim))).alias(f"__s{i}") for i in range(total)]
-        norms = [F.sum(F.get(weights, F.lit(k))).alias(f"__z{k}") for k in range(heads)]
+        sums = [F.sum(_entry("__v", i) * _entry("__w", i // dim)).alias(f"__s{i}") for i in range(total)]
+        norms = [F.sum(_entry("__w", k)).alias(f"__z{k}") for k in range(heads)]
         means = F.array(*[F.col(f"__s{i}") / F.col(f"__z{i // dim}") for i in range(total)])
         return rows.groupBy(*keys).agg(*sums, *norms).select(*keys, means.alias(name))
     cuts = [(k, start, min(width, dim - start)) for k in range(heads) for start in range(0, dim, width)]
     cut = F.array(
         *[
-            F.struct(F.get(weights, F.lit(k)).alias("w"), F.slice(vec, k * dim + start + 1, n).alias("x"))
+            F.struct(_entry("__w", k).alias("w"), F.slice("__v", k * dim + start + 1, n).alias("x"))
             for k, start, n in cuts
         ]
     )
     longest = min(width, dim)
+    length = F.get(F.array(*[F.lit(n) for _, _, n in cuts]), F.col("__p"))
     pieces = (
         rows.select(*keys, F.posexplode(cut).alias("__p", "__x"))
         .groupBy(*keys, "__p")
         .agg(
             F.sum("__x.w").alias("__z"),
-            *[F.sum(F.get("__x.x", F.lit(i)) * F.col("__x.w")).alias(f"__s{i}") for i in range(longest)],
+            *[
+                F.sum(F.when(F.size("__x.x") > i, _entry("__x.x", i) * F.col("__x.w"))).alias(f"__s{i}")
+                for i in range(longest)
+            ],
+        )
+        .select(
+            *keys, "__p", F.slice(F.array(*[F.col(f"__s{i}") / F.col("__z") for i in range(longest)]), 1, length).alias("__v")
         )
-        .select(*keys, "__p", F.array(*[F.col(f"__s{i}") / F.col("__z") for i in range(longest)]).alias("__v"))
     )
     return _join_pieces(pieces, keys, name)
 

@@ -31,8 +31,15 @@ def as_key_values(features: DataFrame, prefix: str = KEY_PREFIX, ttl: int = TTL_
 
 
 def get_feature(requests: DataFrame, features: DataFrame) -> DataFrame:
-    """Requests with their vector, null when there is none; order columns and duplicates stay."""
-    known = features.select("node_type", "node_id", "feature_vec")
+    """Requests with their vector, null when there is none; order columns and duplicates stay.
+
+    The features are first reduced to the requested keys: however large the table of vectors is,
+    only those rows are shuffled, and none but the keys if Spark finds these small enough to send.
+    """
+    keys = ["node_type", "node_id"]
+    known = features.select(*keys, "feature_vec")
+    if not requests.isStreaming:
+        known = known.join(requests.select(*keys).distinct(), keys, "left_semi")
     return requests.join(known, ["node_type", "node_id"], "left")
 
 
@@ -47,12 +54,14 @@ def latest_features(log: DataFrame, now: str | Column, ttl: int = TTL_SECONDS) -
 
     ``log`` has ``node_type, node_id, ts, event_id, value`` and optionally ``deleted``. Event
     time decides, so late rows lose however they arrive. Writes after ``now`` are not seen.
-    Every event is combined on the map side: a hot key costs one row per task.
+    Every event is combined on the map side: a hot key costs one row per task. A write that is
+    older than the TTL is dead whether or not others follow, so both bounds on ``ts`` reach the scan.
     """
     at = F.to_timestamp(F.lit(now)) if isinstance(now, str) else now
     deleted = F.col("deleted") if "deleted" in log.columns else F.lit(False)
+    alive = F.col("ts") > at - F.make_interval(secs=F.lit(ttl))
     last = (
-        log.where(F.col("ts") <= at)
+        log.where((F.col("ts") <= at) & alive)
         .groupBy("node_type", "node_id")
         .agg(
             F.max_by(
@@ -61,8 +70,7 @@ def latest_features(log: DataFrame, now: str | Column, ttl: int = TTL_SECONDS) -
         )
         .select("node_type", "node_id", "e.*")
     )
-    alive = F.col("ts") > at - F.make_interval(secs=F.lit(ttl))
-    return last.where(alive & ~F.col("deleted")).select(
+    return last.where(~F.col("deleted")).select(
         "node_type",
         "node_id",
         "value",

@@ -299,21 +299,25 @@ _FAMILIES = {
 }
 
 
+def layer_step(kind: str, edges: DataFrame, h: DataFrame, layer, norm: Norm | None, last: bool) -> DataFrame:
+    """One layer of a family with what stands between two layers, or after the last one."""
+    apply, activation, norm_last = _FAMILIES[kind]
+    out = apply(edges, h, layer)
+    if not last:
+        return norm_and_activate(out, norm, activation)
+    return norm_and_activate(out, norm, None) if norm_last else out
+
+
 def encode(model: GraphModel, edges: DataFrame, nodes: DataFrame, vec: str = "feature_vec") -> DataFrame:
     """Full-graph inference, layer by layer: ``node_type, node_id, h``.
 
     Each layer is written once, since the next one reads it for own states and for messages.
     """
-    apply, activation, norm_last = _FAMILIES[model.kind]
     h = input_projection(nodes.where(F.col(vec).isNotNull()), model.inputs, vec)
     h = materialize(h, "input")
     for i, layer in enumerate(model.layers):
         last = i + 1 == len(model.layers)
-        out = apply(edges, h, layer)
-        if not last:
-            out = norm_and_activate(out, model.norms[i], activation)
-        elif norm_last:
-            out = norm_and_activate(out, model.norms[i], None)
+        out = layer_step(model.kind, edges, h, layer, model.norms[i], last)
         h = out if last else materialize(out, f"state{i}")
     return h
 

@@ -42,13 +42,23 @@ def assign_edges(edges: DataFrame, n: int, method: str = "random", seed: int = 4
 
 
 def follow_source(edges: DataFrame, partition_map: DataFrame) -> DataFrame:
-    """Edges go with their source under a given ``node_type, node_id, partition_id`` map."""
+    """Edges go with their source under a given ``node_type, node_id, partition_id`` map.
+
+    An edge whose source the map does not hold has no place; ``unplaced_edges`` counts those.
+    """
     owner = partition_map.select(
         F.col("node_type").alias("src_type"), F.col("node_id").alias("src"), "partition_id"
     )
     return edges.join(owner, ["src_type", "src"])
 
 
+def unplaced_edges(edges: DataFrame, partition_map: DataFrame) -> DataFrame:
+    """Edges per type whose source is not in the map."""
+    known = partition_map.select(F.col("node_type").alias("src_type"), F.col("node_id").alias("src"))
+    lost = edges.join(known, ["src_type", "src"], "left_anti")
+    return lost.groupBy("src_type", "rel", "dst_type").agg(F.count(F.lit(1)).alias("edges"))
+
+
 def balanced_map(edges: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     """Partition map whose parts hold about the same number of edge ends.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hetgraph.functions.vectors import Linear, dense
-from hetgraph.operators.layers import SageLayer, norm_and_activate, sage_layer, score_logits
+from hetgraph.operators.layers import Norm, layer_step, score_logits
 from hetgraph.operators.sampling import neighbor_blocks
 from hetgraph.operators.structure import Adjacency
 from hetgraph.runtime import materialize
@@ -48,18 +48,21 @@ def score_seeds(
     features: DataFrame,
     edges: DataFrame | Adjacency,
     inputs: dict[str, Linear],
-    layers: list[SageLayer],
+    layers: list,
     head: list[Linear],
     fanouts: list[int | None],
     seed: int = 42,
     direction: str = "out",
     default_dim: int | None = None,
+    kind: str = "sage",
+    norms: list[Norm | None] | None = None,
 ) -> DataFrame:
     """Class probabilities of seed nodes from their sampled neighbourhood.
 
     The neighbourhood is sampled once per layer for all seeds together. Requests follow
     out-edges, so by default messages run against the edges; the layers must then be keyed by
-    the types as seen from the seed (reversed edge types).
+    the types as seen from the seed (reversed edge types). ``kind`` and ``norms`` are those of the
+    ``GraphModel``: between layers a seed's state goes the same way as in ``encode``.
     """
     blocks = materialize(neighbor_blocks(seeds, edges, fanouts, seed, direction), "blocks")
     needed = seeds.select("node_type", "node_id").unionByName(
@@ -92,9 +95,10 @@ def score_seeds(
                 F.col("dst").alias("src"),
                 F.col("src").alias("dst"),
             )
-        h = sage_layer(drawn, h, layer)
-        if i + 1 < len(layers):
-            h = materialize(norm_and_activate(h, None, "relu"), f"seed-state{i}")
+        last = i + 1 == len(layers)
+        h = layer_step(kind, drawn, h, layer, norms[i] if norms else None, last)
+        if not last:
+            h = materialize(h, f"seed-state{i}")
     wanted = h.join(seeds.select("node_type", "node_id").distinct(), ["node_type", "node_id"], "left_semi")
     return score_logits(
         wanted.select("node_type", "node_id", dense({"all": head}, F.lit("all"), "h").alias("logits"))

@@ -30,7 +30,7 @@ def export_graph(spark: SparkSession, read: TableReader, config: GraphConfig, dt
         edges = with_reverse(edges)
         edge_types += [e.reverse() for e in config.edge_types]
     id_map = assign_global_ids(nodes, config.node_types)
-    store = GraphStore(spark, config.output_path, config.num_partitions)
+    store = GraphStore(spark, config.output_path)
     store.write_nodes(attach_global_id(nodes, id_map), config.node_types)
     store.write_edges(rewrite_edges(edges, id_map), edge_types)
     stats = store.get_stats()

@@ -39,7 +39,6 @@ def tune(spark: SparkSession) -> SparkSession:
         # Join through a hash table instead of a sort where, at run time, every partition of
         # one side is found to be at most this large.
         "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
-        "spark.sql.session.timeZone": "UTC",
     }.items():
         spark.conf.set(key, value)
     return spark
@@ -57,14 +56,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     sc = spark.sparkContext
-    if not sc.master.startswith("local"):
+    if sc.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if sc.applicationId not in _local_roots:
         _local_roots[sc.applicationId] = tempfile.mkdtemp(prefix="hetgraph-")
     return _local_roots[sc.applicationId]
 
 
-def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once under the checkpoint folder and return the table read back.
 
     Cuts the lineage with files that outlive any executor. Being Parquet, later reads prune
@@ -72,10 +71,7 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/hetgraph/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

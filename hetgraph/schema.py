@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -122,12 +122,3 @@ class TrainConfig:
     num_heads: int = 4
     num_classes: int = 10
     target_node_type: str = "user"
-    num_epochs: int = 100
-    batch_size: int = 1024
-    fanouts: tuple[int, ...] = (15, 10, 5)
-    patience: int = 15
-    min_delta: float = 0.001
-    lr: float = 0.001
-    lr_factor: float = 0.5
-    lr_patience: int = 5
-    extra: dict = field(default_factory=dict)

@@ -17,7 +17,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hetgraph.operators.partition import partition_sizes
@@ -28,24 +28,39 @@ STORED_EDGES = "src_id long, dst_id long, weight float, etype string"
 
 
 class GraphStore:
-    def __init__(self, spark: SparkSession, root: str, num_chunks: int = 32):
+    def __init__(self, spark: SparkSession, root: str, num_chunks: int | None = None, max_rows: int = 10_000_000):
+        """``num_chunks`` fixes the number of write tasks; without it Spark chooses by size."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.num_chunks = num_chunks
+        self.max_rows = max_rows
         self._stats: dict = {"node_types": {}, "edge_types": {}, "feature_dims": {}}
 
     # --- writing --------------------------------------------------------------------------
 
-    def _write(self, df: DataFrame, name: str, by: Sequence[str]) -> None:
-        # Round robin: chunks are even whatever type or node dominates. Only the types
-        # present in ``df`` are replaced.
+    def _write(self, df: DataFrame, name: str, key: str, metrics: Sequence[Column]) -> dict:
+        """Replace the types of ``df``: what is observed is what the write's own tasks have written.
+
+        Partitions are evened out at run time, whatever type or node dominates, to at least
+        ``num_chunks`` files; large tables get more files and not larger ones. Counting after
+        that exchange keeps a stage that runs again from counting twice.
+        """
+        seen = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        even = df.hint("rebalance") if self.num_chunks is None else df.repartition(self.num_chunks)
         (
-            df.repartition(self.num_chunks)
+            even.observe(seen, *metrics)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*by)
+            .option("maxRecordsPerFile", self.max_rows)
+            .partitionBy(*key.split(","))
             .parquet(f"{self.root}/{name}")
         )
+        return seen.get
+
+    def _drop(self, folder: str) -> None:
+        """Remove what an earlier export wrote for a type that has no rows now."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def write_nodes(
         self,
@@ -65,20 +80,21 @@ class GraphStore:
         if label_col in nodes.columns:
             columns.append(F.col(label_col).alias("label"))
         out = nodes.where(F.col("node_type").isin(list(node_types))).select(*columns, "node_type")
-        seen = Observation(f"nodes-{uuid.uuid4().hex[:8]}")
         metrics = []
         for i, t in enumerate(node_types):
             mine = F.col("node_type") == t
             metrics.append(F.count_if(mine).alias(f"rows{i}"))
             if "feat" in out.columns:
                 metrics.append(F.max(F.when(mine, F.size("feat"))).alias(f"dim{i}"))
-        self._write(out.observe(seen, *metrics), "node_data", ["node_type"])
-        found = seen.get
+        found = self._write(out, "node_data", "node_type", metrics)
         counts = {t: found[f"rows{i}"] for i, t in enumerate(node_types)}
         self._stats["node_types"].update(counts)
         for i, t in enumerate(node_types):
+            self._stats["feature_dims"].pop(t, None)
             if found.get(f"dim{i}"):
                 self._stats["feature_dims"][t] = found[f"dim{i}"]
+            if not counts[t]:
+                self._drop(f"node_data/node_type={t}")
         return counts
 
     def write_edges(
@@ -95,25 +111,27 @@ class GraphStore:
             columns.append(F.col(weight_col).alias("weight"))
         names = [EdgeType(*e).name for e in edge_types]
         out = edges.select(*columns, etype_name().alias("etype")).where(F.col("etype").isin(names))
-        seen = Observation(f"edges-{uuid.uuid4().hex[:8]}")
         metrics = [F.count_if(F.col("etype") == n).alias(f"rows{i}") for i, n in enumerate(names)]
-        self._write(out.observe(seen, *metrics), "edge_data", ["etype"])
-        counts = {n: seen.get[f"rows{i}"] for i, n in enumerate(names)}
+        found = self._write(out, "edge_data", "etype", metrics)
+        counts = {n: found[f"rows{i}"] for i, n in enumerate(names)}
         self._stats["edge_types"].update(counts)
+        for n in names:
+            if not counts[n]:
+                self._drop(f"edge_data/etype={n}")
         return counts
 
     def write_split(self, masks: DataFrame, split: str) -> int:
         """Write the ids whose ``<split>_mask`` is true, away from the node files."""
-        seen = Observation(f"split-{uuid.uuid4().hex[:8]}")
         rows = mask_index(masks, split).withColumn("split", F.lit(split))
-        (
-            rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("node_type", "split")
-            .parquet(f"{self.root}/split_data")
-        )
-        return seen.get["rows"]
+        types = [r["node_type"] for r in masks.select("node_type").distinct().collect()]
+        metrics = [F.count_if(F.col("node_type") == t).alias(f"rows{i}") for i, t in enumerate(types)]
+        if not types:
+            return 0
+        found = self._write(rows, "split_data", "node_type,split", metrics)
+        for i, t in enumerate(types):
+            if not found[f"rows{i}"]:
+                self._drop(f"split_data/node_type={t}/split={split}")
+        return sum(found[f"rows{i}"] for i in range(len(types)))
 
     def get_stats(self) -> dict:
         nodes, edges = self._stats["node_types"], self._stats["edge_types"]
@@ -146,8 +164,10 @@ class GraphStore:
     def _read(self, name: str, schema: str) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
-        except AnalysisException:
-            # Not written: an empty table of that shape.
+        except AnalysisException as e:
+            # Not written: an empty table of that shape. Any other fault is one.
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
 
     def read_nodes(self) -> DataFrame:

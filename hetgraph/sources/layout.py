@@ -15,12 +15,19 @@ _NODE_COLUMNS = {"node_id": ("node_id", "global_node_id"), "feature_vec": ("feat
 _EDGE_COLUMNS = {"src": ("src_id", "src"), "dst": ("dst_id", "dst"), "edge_weight": ("weight", "edge_weight")}
 
 
+def _only_missing(fault: AnalysisException) -> None:
+    """A folder that is not there may be skipped; any other fault is one."""
+    if fault.getCondition() != "PATH_NOT_FOUND":
+        raise fault
+
+
 def read_metadata_text(spark: SparkSession, root: str) -> DataFrame:
     """``metadata.json``, else the parts of ``metadata_temp``, as one text row ``value``."""
     for path in (f"{root}/metadata.json", f"{root}/metadata_temp/part-*"):
         try:
             text = spark.read.text(path, wholetext=True)
-        except AnalysisException:
+        except AnalysisException as e:
+            _only_missing(e)
             continue
         return text.where(F.length(F.trim("value")) > 0)
     raise FileNotFoundError(f"no metadata under {root}")
@@ -64,7 +71,8 @@ def read_type_dirs(spark: SparkSession, root: str) -> tuple[DataFrame | None, Da
     for r in metadata_node_types(text).collect():
         try:
             df = spark.read.parquet(f"{root}/node_data/{r.node_type}")
-        except AnalysisException:
+        except AnalysisException as e:
+            _only_missing(e)
             continue
         nodes.append(df.select(F.lit(r.node_type).alias("node_type"), *_pick(df, _NODE_COLUMNS)))
     for r in metadata_edge_types(text).collect():
@@ -72,7 +80,8 @@ def read_type_dirs(spark: SparkSession, root: str) -> tuple[DataFrame | None, Da
         for name in (etype.name, "_".join(etype)):
             try:
                 df = spark.read.parquet(f"{root}/edge_data/{name}")
-            except AnalysisException:
+            except AnalysisException as e:
+                _only_missing(e)
                 continue
             ends = [F.lit(v).alias(c) for c, v in zip(("src_type", "rel", "dst_type"), etype)]
             edges.append(df.select(*ends, *_pick(df, _EDGE_COLUMNS)))

@@ -151,10 +151,31 @@ def test_pool_and_gcn_reducers(small):
     for r in PR.neighbor_gcn(edges, h, 3).collect():
         near = [state[(r.src_type, s)] for s in in_neighbors(pairs, (r.src_type, r.rel, r.dst_type), r.dst)]
         np.testing.assert_allclose(r.m, (np.sum(near, axis=0) + state[(r.dst_type, r.dst)]) / (len(near) + 1), rtol=1e-6)
+    rows = PR.neighbor_gcn(edges, h, 3).collect()
+    assert len(rows) == sum(len([1 for t, _ in state if t == e.dst_type]) for e in ETYPES)
     with pytest.raises(ValueError):
         PR.reduce_neighbors(edges, h, 3, "lstm")
 
 
+@pytest.mark.parametrize("dim", [5, 65])
+def test_vectors_are_never_cut_or_shifted(spark, dim):
+    rng = np.random.default_rng(dim)
+    rows = [(i % 3, rng.normal(size=dim).tolist(), [0.5 + i, 1.0]) for i in range(12)]
+    df = spark.createDataFrame(rows, "k int, v array<double>, w array<double>")
+    for how, f in (("sum", np.sum), ("mean", np.mean), ("max", np.max), ("min", np.min)):
+        want = {k: f([v for j, v, _ in rows if j == k], axis=0) for k in range(3)}
+        for width in (3, 7, 64, 512):
+            for r in V.reduce_by(df, ["k"], "v", dim, how, width=width).collect():
+                np.testing.assert_allclose(r.m, want[r.k], rtol=1e-9)
+    from pyspark.errors import PySparkException
+
+    for bad in ([1.0] * (dim - 1), [1.0] * (dim + 1), None, [1.0] * (dim - 1) + [None]):
+        wrong = df.unionByName(spark.createDataFrame([(1, bad, [1.0, 1.0])], df.schema))
+        for width in (3, 512):
+            with pytest.raises(PySparkException):
+                V.reduce_by(wrong, ["k"], "v", dim, width=width).collect()
+
+
 def test_block_diagonal_relation():
     parts = np.arange(12, dtype=float).reshape(2, 2, 3)
     layer = L.RgcnLayer.from_blocks({ETYPES[0]: parts}, np.zeros((4, 6)), np.zeros(4))

@@ -1,3 +1,4 @@
+import dataclasses
 import json
 import os
 from datetime import datetime
@@ -8,11 +9,12 @@ from pyspark.sql import functions as F
 
 from hetgraph.functions.weights import formula_linear
 from hetgraph.operators import features as FE
+from hetgraph.operators import layers as L
 from hetgraph.operators import partition as P
 from hetgraph.operators import sampling as S
 from hetgraph.operators import serving as SV
 from hetgraph.plans import jobs
-from hetgraph.schema import EdgeType, GraphConfig, conform, NODE_SCHEMA, parse_etype
+from hetgraph.schema import EdgeType, GraphConfig, TrainConfig, conform, NODE_SCHEMA, parse_etype
 from hetgraph.sinks.store import GraphStore
 from hetgraph.sources import layout
 from hetgraph.sources.fixtures import CONFIG, SNAPSHOT, DriverTables
@@ -285,3 +287,45 @@ def test_two_layer_scoring(spark, graph):
     seeds = graph[0].where("node_type = 'user'").select("node_type", "node_id")
     got = SV.score_seeds(seeds, graph[0], graph[1], INPUTS, [mk(8, 8), mk(4, 8)], HEAD, [3, 2]).collect()
     assert len(got) == 150 and all(abs(sum(r.probabilities) - 1) < 1e-9 for r in got)
+
+
+@pytest.mark.parametrize("kind", ["sage", "gat", "rgcn"])
+def test_full_fanout_scoring_equals_the_encoder(small, kind):
+    nodes, edges, _, _ = small
+    types = [EdgeType("user", "click", "item"), EdgeType("item", "similar", "item"), EdgeType("item", "sold_to", "user")]
+    config = TrainConfig(model_type=kind, hidden_channels=4, num_layers=2, num_heads=2, num_classes=3, target_node_type="item")
+    model = L.build_model(config, {"user": 5, "item": 7}, types)
+    rng = np.random.default_rng(1)
+    norms = [(rng.normal(size=len(g)), rng.normal(size=len(b))) for g, b in model.norms]
+    model = dataclasses.replace(model, norms=norms)
+    # The blocks hold each link once.
+    once = edges.dropDuplicates(["src_type", "rel", "dst_type", "src", "dst"])
+    want = {(r.node_type, r.node_id): r.probabilities for r in L.classify(L.encode(model, once, nodes), model.head, "item").collect()}
+    seeds = nodes.where("node_type = 'item'").select("node_type", "node_id")
+    got = SV.score_seeds(
+        seeds, nodes, once, model.inputs, model.layers, model.head, [None, None], direction="in", kind=kind, norms=norms
+    ).collect()
+    assert {(r.node_type, r.node_id) for r in got} == set(want)
+    for r in got:
+        np.testing.assert_allclose(r.probabilities, want[r.node_type, r.node_id], rtol=1e-6)
+
+
+def test_overwrite_drops_types_without_rows(spark, tmp_path):
+    store = GraphStore(spark, str(tmp_path / "g"))
+    schema = "node_type string, global_id long, feature_vec array<float>, label int"
+    store.write_nodes(spark.createDataFrame([("user", 1, [1.0], 1), ("item", 2, [1.0], 1)], schema), ["user", "item"])
+    assert store.write_nodes(spark.createDataFrame([("user", 3, [1.0], 1)], schema), ["user", "item"]) == {"user": 1, "item": 0}
+    assert [(r.node_type, r.node_id) for r in store.read_nodes().collect()] == [("user", 3)]
+    masks = "node_type string, node_id long, train_mask boolean"
+    assert store.write_split(spark.createDataFrame([("user", 1, True), ("item", 2, True)], masks), "train") == 2
+    assert store.write_split(spark.createDataFrame([("user", 1, True), ("item", 2, False)], masks), "train") == 1
+    assert [(r.node_type, r.node_id) for r in store.read_split("train").collect()] == [("user", 1)]
+    assert GraphStore(spark, str(tmp_path / "none")).read_nodes().collect() == []
+
+
+def test_both_time_bounds_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "log")
+    spark.sql("SELECT 'user' node_type, 1L node_id, timestamp'2024-01-01' ts, 1L event_id, 'v' value, false deleted").write.parquet(path)
+    plan = FE.latest_features(spark.read.parquet(path), "2024-01-02 00:00:00")._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :].split("]")[0]
+    assert "LessThanOrEqual(ts" in pushed and "GreaterThan(ts" in pushed
