@@ -67,44 +67,45 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def components(links: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of the undirected links ``(a, b)``, both long.
 
-    Each round gives the nodes a new hashed order; every node moves to the first of itself and its
-    neighbours, and the links are contracted. As the order is random, a constant share of the nodes
-    that still have links goes away, also on chains: the number of rounds is logarithmic. A hub
-    costs one partial aggregation and joins whose hot side Spark may split. Null ends and loops are
-    ignored; no links give no rows. The component's name is its smallest node.
+    The nodes have a hashed order. Each round every node moves to the first of itself and its neighbours,
+    then to where that one moves, and the links are contracted. As the order is random, a constant share of the nodes
+    that still have links goes away, also on chains: the number of rounds is logarithmic, and two
+    for a hub. A hub costs one partial aggregation and joins whose hot side Spark may split. Null
+    ends and loops are ignored; no links give no rows. The component's name is its smallest node.
     """
+    order = lambda c: F.xxhash64(F.col(c))
     links = materialize(
         links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
         "links",
     )
-    names, turn = None, 0
+    empty = links.select(F.col("a").alias("node"), F.col("a").alias("component"))
+    rounds = []
     while not links.isEmpty():
-        turn += 1
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        order = lambda c: F.xxhash64(F.col(c), F.lit(turn))
+        once = both.groupBy(F.col("a").alias("node")).agg(F.min_by("b", order("b")).alias("first")).select(
+            "node", F.when(order("first") < order("node"), F.col("first")).otherwise(F.col("node")).alias("to")
+        )
         moves = materialize(
-            both.groupBy(F.col("a").alias("node")).agg(F.min_by("b", order("b")).alias("first"))
-            .select("node", F.when(order("first") < order("node"), F.col("first")).otherwise(F.col("node")).alias("to")),
-            "moves",
-        )
-        if names is None:
-            names = moves.select("node", F.col("to").alias("component"))
-        else:
-            step = moves.select(F.col("node").alias("component"), "to")
-            names = materialize(
-                names.join(step, "component", "left").select("node", F.coalesce("to", "component").alias("component")),
-                "names",
-            )
+            once.join(once.toDF("to", "further"), "to").select("node", F.col("further").alias("to")), "moves"
+        )
+        rounds.append(moves)
         end_a, end_b = moves.toDF("a", "ra"), moves.toDF("b", "rb")
         links = materialize(
             links.join(end_a, "a").join(end_b, "b").where("ra <> rb")
             .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(),
             "links",
         )
-    if names is None:
-        return links.select(F.col("a").alias("node"), F.col("a").alias("component"))
+    if not rounds:
+        return empty
+    names = rounds[0].toDF("node", "component")
+    for moves in rounds[1:]:
+        names = names.join(moves.toDF("component", "to"), "component", "left").select(
+            "node", F.coalesce("to", "component").alias("component")
+        )
     smallest = names.groupBy("component").agg(F.min("node").alias("smallest"))
-    return names.join(smallest, "component").select("node", F.col("smallest").alias("component"))
+    return materialize(
+        names.join(smallest, "component").select("node", F.col("smallest").alias("component")), "components"
+    )
 
 
 def process_store(name: str) -> dict:

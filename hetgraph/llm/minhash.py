@@ -38,10 +38,10 @@ BANDS, ROWS = 32, 5
 #: Candidates whose sketches agree in less than this share are not verified: four and a half
 #: standard deviations below 0.8 at 160 coordinates, about as rare as sharing no band.
 SKETCH_FLOOR = 0.66
-#: Members of a component and guests that are compared in one block.
-HOSTS, GUESTS = 256, 64
+#: So many classes are compared with so many others at a time.
+BLOCK = 128
 #: Rounds of single comparisons go on while more than this share of them finds a link.
-WORTH = 0.05
+WORTH = 0.25
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -145,33 +145,46 @@ def _similar(percent: int):
 
 
 def _blocks_linked(percent: int, floor: float):
-    """Verified links between the two blocks of a row; one per node of the second block is enough."""
+    """Verified links between the two blocks of a row: enough to connect all components that are linked."""
+
+    def parts(block):
+        block = block.values
+        return [block.field(c).to_pylist() for c in ("node", "component", "marks", "shingles")]
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
             a_out, b_out = [], []
             for hosts, guests in zip(b["hosts"], b["guests"]):
-                hosts, guests = hosts.values, guests.values
-                names = hosts.field("node").to_numpy()
-                marks = np.frombuffer(b"".join(hosts.field("marks").to_pylist()), np.uint8).reshape(len(names), -1)
-                sets = [np.frombuffer(x, np.uint64) for x in hosts.field("shingles").to_pylist()]
-                for node, mark, own in zip(*(guests.field(c).to_pylist() for c in ("node", "marks", "shingles"))):
+                names, owners, marks, sets = parts(hosts)
+                marks = np.frombuffer(b"".join(marks), np.uint8).reshape(len(names), -1)
+                sets = [np.frombuffer(x, np.uint64) for x in sets]
+                group: dict[int, int] = {}
+
+                def find(x):
+                    while group.get(x, x) != x:
+                        x = group[x]
+                    return x
+
+                for node, owner, mark, own in zip(*parts(guests)):
                     alike = (marks == np.frombuffer(mark, np.uint8)).mean(axis=1)
                     close = np.flatnonzero(alike >= floor)
                     close = close[np.argsort(-alike[close], kind="stable")]
                     own = np.frombuffer(own, np.uint64)
                     for at in range(0, len(close), 64):
-                        some = close[at : at + 64]
+                        some = [i for i in close[at : at + 64] if find(owners[i]) != find(owner)]
+                        if not some:
+                            continue
                         sizes = np.array([len(sets[i]) for i in some])
                         every = np.concatenate([sets[i] for i in some])
                         where = np.searchsorted(own, every)
                         where[where == len(own)] = 0
                         both = np.add.reduceat(own[where] == every, np.cumsum(sizes) - sizes, dtype=np.int64)
-                        hit = np.flatnonzero(100 * both >= percent * (len(own) + sizes - both))
-                        if len(hit):
-                            a_out.append(int(names[some[hit[0]]]))
-                            b_out.append(node)
-                            break
+                        for hit in np.flatnonzero(100 * both >= percent * (len(own) + sizes - both)):
+                            x, y = find(owners[some[hit]]), find(owner)
+                            if x != y:
+                                group[x] = y
+                                a_out.append(names[some[hit]])
+                                b_out.append(node)
             yield {"a": a_out, "b": b_out}
 
     return run
@@ -180,47 +193,40 @@ def _blocks_linked(percent: int, floor: float):
 def _across(shared: DataFrame, groups: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Verified links ``(a, b)`` between any two components that share a bucket.
 
-    The larger component is the host, the members of the smaller ones are its guests. Hosts and guests
-    are compared in blocks, whole sets at hand, so that no row stands for a pair: sketches first, then the
-    sets of those that are near enough, best first, until a guest is linked to the block.
+    The component with most members in a bucket is its host, the other members are the host's guests.
+    Guests are compared with the host's members and with each other in blocks, whole sets at hand, so
+    that no row stands for a pair: sketches first, then the sets of those that are near enough.
     """
     spark = shared.sparkSession
     now = materialize(_placed(shared, groups), "placed")
     mixed = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    parts = now.join(mixed.select("key"), "key", "left_semi").groupBy("key", "component").agg(F.count("*").alias("m"))
-    largest = parts.groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("largest"))
-    others = parts.join(largest, "key").where("component <> largest").select("key", F.col("component").alias("x"), "largest")
-    met = (
-        others.select("x", F.col("largest").alias("y"))
-        .unionByName(others.join(others.select("key", F.col("x").alias("y")), "key").where("x < y").select("x", "y"))
-        .distinct()
+    members = now.join(mixed.select("key"), "key", "left_semi")
+    parts = members.groupBy("key", "component").agg(F.count("*").alias("m"))
+    largest = parts.groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("host"))
+    visits = materialize(
+        members.join(largest, "key").where("component <> host").select("host", "node").distinct(), "guests"
     )
     nodes = now.select("node", "component").distinct()
+    full = materialize(nodes.join(reps.select("node", "marks"), "node").join(sets, "node").dropDuplicates(["node"]), "members")
+    item = F.struct("node", "component", "marks", "shingles")
+    hosting = visits.select(F.col("host").alias("component")).distinct()
     sizes = nodes.groupBy("component").agg(F.count("*").alias("n"))
-    two = met.join(sizes.toDF("x", "nx"), "x").join(sizes.toDF("y", "ny"), "y")
-    larger = F.struct("nx", "x") > F.struct(F.col("ny").alias("nx"), F.col("y").alias("x"))
-    pairs = materialize(
-        two.select(
-            F.when(larger, F.col("x")).otherwise(F.col("y")).alias("host"),
-            F.when(larger, F.col("y")).otherwise(F.col("x")).alias("component"),
-        ),
-        "met",
-    )
-    full = nodes.join(reps.select("node", "marks"), "node").join(sets, "node")
-    item = F.struct("node", "marks", "shingles").alias("item")
-    n_hosts = sizes.join(pairs.select(F.col("host").alias("component")).distinct(), "component")
     hosts = (
-        full.join(n_hosts, "component")
-        .groupBy(F.col("component").alias("host"), F.expr(f"pmod(xxhash64(node), ceil(n / {HOSTS}))").alias("hb"))
+        full.join(hosting.join(sizes, "component"), "component")
+        .groupBy(F.col("component").alias("host"), F.expr(f"pmod(xxhash64(node), ceil(n / {BLOCK}))").alias("hb"))
         .agg(F.collect_list(item).alias("hosts"))
     )
-    n_guests = pairs.join(sizes, "component").groupBy("host").agg(F.sum("n").alias("n_guests"))
-    guests = (
-        full.join(pairs, "component").join(n_guests, "host")
-        .groupBy("host", F.expr(f"pmod(xxhash64(node), ceil(n_guests / {GUESTS}))").alias("gb"))
-        .agg(F.collect_list(item).alias("guests"))
+    guests = materialize(
+        full.join(visits, "node").join(visits.groupBy("host").agg(F.count("*").alias("n")), "host")
+        .groupBy("host", F.expr(f"pmod(xxhash64(node), ceil(n / {BLOCK}))").alias("gb"))
+        .agg(F.collect_list(item).alias("guests")),
+        "guest_blocks",
+    )
+    others = guests.select("host", F.col("gb").alias("hb"), F.col("guests").alias("hosts"))
+    blocks = (
+        hosts.join(guests, "host").select("hosts", "guests")
+        .unionByName(others.join(guests, "host").where("hb <= gb AND (hb < gb OR size(guests) > 1)").select("hosts", "guests"))
     )
-    blocks = hosts.join(guests, "host").select("hosts", "guests")
     # A row holds up to some hundred sets, so few rows at a time go to Python.
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     usual = spark.conf.get(rows)
