@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hetgraph.llm.common import table
-from hetgraph.llm.sql import mixing_sql
+from hetgraph.llm.sql import mixing_sql, near_duplicates_sql, rules_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,14 +23,14 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
-@query("op1_near_duplicates")
+@query("op1_near_duplicates", near_duplicates_sql())
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hetgraph.llm import minhash
 
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
-@query("op4_quality_rules")
+@query("op4_quality_rules", rules_sql())
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hetgraph.llm import rules
 

@@ -41,3 +41,85 @@ x AS (
 SELECT doc_id, size, source_size, target,
        (size * (copies + CASE WHEN upto <= rest OR (upto - same <= rest AND upto - rest < rest - (upto - same)) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM x"""
+
+
+def near_duplicates_sql(words: int = 2, percent: int = 80) -> str:
+    """Pairs by shared shingles, components by walking the links."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{WORD}') AS w FROM documents),
+sh AS MATERIALIZED (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i : i + {words - 1}], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {words} + 2, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+met AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+pairs AS MATERIALIZED (
+  SELECT x, y FROM met JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * m >= {percent} * (a.n + b.n - m)),
+links AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+c AS (SELECT x AS doc_id, min(y) AS y FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(c.y, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(c.y, d.doc_id) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id"""
+
+
+def rules_sql() -> str:
+    """The counts by windows over words; the estimation as one step per pair of tables."""
+    from hetgraph.llm import rules as R
+
+    listed = ", ".join(f"'{w}'" for w in dict.fromkeys(R.FUNCTION_WORDS))
+    votes = ", ".join(
+        f"CASE WHEN {bad} THEN 0 WHEN {good} THEN 2 ELSE 1 END AS v_{r}" for r, (good, bad) in R.RULES.items()
+    )
+    columns = ", ".join(f"v_{r}" for r in R.RULES)
+    start = " UNION ALL ".join(
+        f"SELECT '{r}' AS rule, {v} AS vote, {R.GOOD_START[v]}::DOUBLE AS good, {R.BAD_START[v]}::DOUBLE AS bad"
+        for r in R.RULES
+        for v in range(3)
+    )
+    long = " UNION ALL ".join(f"SELECT {columns}, '{r}' AS rule, v_{r} AS vote, n FROM patterns" for r in R.RULES)
+    steps = [f"r0 AS MATERIALIZED (SELECT rule, vote, ln(good / bad) AS w, {R.PRIOR_START}::DOUBLE AS prior FROM start)"]
+    for k in range(R.STEPS):
+        steps.append(f"""g{k} AS MATERIALIZED (
+  SELECT {columns}, n, n / (1 + exp(-(sum(w) + ln(any_value(prior) / (1 - any_value(prior)))))) AS g
+  FROM votes JOIN r{k} USING (rule, vote) GROUP BY {columns}, n),
+t{k} AS MATERIALIZED (SELECT sum(n) AS n, sum(g) AS g, {R.BELIEF} * sum(n) AS held FROM g{k}),
+r{k + 1} AS MATERIALIZED (
+  SELECT s.rule, s.vote, ln((coalesce(x.g, 0) + t.held * s.good) / (t.g + t.held)
+    / ((coalesce(x.n - x.g, 0) + t.held * s.bad) / (t.n - t.g + t.held))) AS w, (t.g + t.held * {R.PRIOR_START}) / (t.n + t.held) AS prior
+  FROM start s CROSS JOIN t{k} t
+  LEFT JOIN (SELECT rule, vote, sum(g{k}.n) AS n, sum(g) AS g FROM votes JOIN g{k} USING ({columns}) GROUP BY rule, vote) x
+    USING (rule, vote))""")
+    last = ", ".join(steps)
+    odds = " + ".join(f"(SELECT w FROM r{R.STEPS} WHERE rule = '{r}' AND vote = v_{r})" for r in R.RULES)
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS MATERIALIZED (
+  SELECT rid, unnest(w) AS w, unnest(range(len(w))) AS i FROM (SELECT rid, regexp_extract_all(t, '{WORD}') AS w FROM d)),
+h AS (
+  SELECT rid, i, w, CASE WHEN lead(w, 2) OVER o IS NOT NULL THEN w || ' ' || lead(w) OVER o || ' ' || lead(w, 2) OVER o END AS h
+  FROM w WINDOW o AS (PARTITION BY rid ORDER BY i)),
+f AS (SELECT rid, i, w, h IS NOT NULL AND count(*) OVER (PARTITION BY rid, h) > 1 AS f FROM h),
+c AS (SELECT rid, w, max(f) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS covered FROM f),
+a AS (
+  SELECT rid, count(*) AS n_words, sum(length(w))::BIGINT AS word_chars, count_if(covered) AS n_repeat_words,
+         count_if(lower(w) IN ({listed})) AS n_function, count(DISTINCT w) AS n_distinct
+  FROM c GROUP BY rid),
+l AS (
+  SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup_lines
+  FROM (SELECT rid, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '{WORD}') GROUP BY rid),
+k AS (
+  SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '{R.SYMBOLS}'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_function, 0) AS n_function,
+         coalesce(n_distinct, 0) AS n_distinct, len(regexp_extract_all(t, '[A-Z]')) AS n_upper, len(regexp_extract_all(t, '[a-z]')) AS n_lower
+  FROM d LEFT JOIN a USING (rid) LEFT JOIN l USING (rid)),
+v AS MATERIALIZED (SELECT *, {R.BASE_FAILED} AS base_failed, {votes} FROM k),
+patterns AS MATERIALIZED (SELECT {columns}, count(*)::DOUBLE AS n FROM v WHERE NOT base_failed GROUP BY {columns}),
+votes AS MATERIALIZED ({long.replace(", n FROM", " FROM")}),
+start AS ({start}),
+{last.replace("FROM votes JOIN r", "FROM patterns JOIN votes USING (" + columns + ") JOIN r")}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {odds} + (SELECT ln(any_value(prior) / (1 - any_value(prior))) FROM r{R.STEPS}) >= 0 AS kept
+FROM v"""
