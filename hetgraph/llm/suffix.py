@@ -146,20 +146,33 @@ def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
     return sa
 
 
-def _common(t: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+def _words(t: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position as one number, the first byte lowest; zeros behind the end."""
+    n = len(t)
+    padded = np.concatenate([t, np.zeros(16, np.uint8)])
+    out = np.empty(n, np.uint64)
+    for k in range(min(8, n)):
+        m = len(range(k, n, 8))
+        out[k::8] = padded[k : k + 8 * m].view("<u8")
+    return out
+
+
+def _common(words: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     """Length of the common prefix of each pair of suffixes, up to ``most``."""
-    padded = np.concatenate([t, np.zeros(8, np.uint8)])
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    n, out = len(t), np.zeros(len(a), np.int64)
+    n, out, one = len(words), np.zeros(len(a), np.int64), np.uint64(1)
     live = np.arange(len(a))
-    while len(live):
-        x, y = a[live] + out[live], b[live] + out[live]
-        room = np.minimum(n - np.maximum(x, y), most - out[live])
-        ok = room > 0
-        live, x, y, room = live[ok], x[ok], y[ok], room[ok]
-        equal = np.minimum((words[x] == words[y]).cumprod(axis=1, dtype=np.int8).sum(axis=1), room)
-        out[live] += equal
-        live = live[equal == 8]
+    with np.errstate(over="ignore"):
+        while len(live):
+            x, y = a[live] + out[live], b[live] + out[live]
+            room = np.minimum(n - np.maximum(x, y), most - out[live])
+            if (room <= 0).any():
+                ok = room > 0
+                live, x, y, room = live[ok], x[ok], y[ok], room[ok]
+            differ = words[x] ^ words[y]
+            # Bits below the lowest one that differs; all 64 if none does.
+            equal = np.minimum(np.bitwise_count((differ & (~differ + one)) - one) // 8, room)
+            out[live] += equal
+            live = live[equal == 8]
     return out
 
 
@@ -175,16 +188,17 @@ def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.nda
     i = np.arange(n)
     follows = np.zeros(n, bool)
     follows[1:] = (before[1:] > 0) & (before[1:] == before[:-1] + 1) & (t[:-1] == t[before[1:] - 1])
+    words = _words(t)
     start = np.flatnonzero(~follows & (before >= 0))
     out = np.zeros(n, np.int64)
     # Looking further than ``most`` here saves comparisons below.
-    out[start] = _common(t, start, before[start], 2 * most)
+    out[start] = _common(words, start, before[start], 2 * most)
     head = np.maximum.accumulate(np.where(~follows, i, 0))
     cut = out[head] >= 2 * most
     out = np.where(follows, out[head] - (i - head), out)
     again = np.flatnonzero(follows & cut & (out < most))
     if len(again):
-        out[again] = _common(t, again, before[again], most)
+        out[again] = _common(words, again, before[again], most)
     return out
 
 
