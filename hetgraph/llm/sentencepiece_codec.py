@@ -33,8 +33,10 @@ from hetgraph.llm.common import arrow_map, list_array, process_store
 SPACE = "▁"
 #: Remembered strings (twice as many at most) and pairs of pieces per worker process, and the longest
 #: string that is remembered.
-REMEMBERED, PAIRS, LONGEST = 300_000, 600_000, 48
+REMEMBERED, PAIRS, LONGEST = 500_000, 800_000, 48
 BPE, UNIGRAM = 2, 1
+#: In place of ids: a character that is no piece, and nothing before.
+UNKNOWN, NONE = -2, -1
 
 
 class Codec:
@@ -54,6 +56,7 @@ class Codec:
             raise ValueError("only BPE and unigram models")
         normal = [(i, p.piece, p.score) for i, p in enumerate(model.pieces) if p.type in (1, 4)]
         self.ids = {piece: i for i, piece, _ in normal}
+        self.names = [p.piece for p in model.pieces]
         self.score = {piece: s for _, piece, s in normal}
         self.longest = max(len(p) for p in self.ids)
         self.floor = min(self.score.values()) - 10
@@ -74,7 +77,10 @@ class Codec:
         self.cut = re.compile(
             f"(?s:.+)" if crossed else f"{SPACE}+[^{SPACE}{alone}]*|[{alone}]|[^{SPACE}{alone}]+" if alone else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+"
         )
-        self.whole: dict[str, bool] = {}
+        # Pieces that merging gives at all; a model may hold some that it never gives.
+        self.reached = {
+            p: i for p, i in self.ids.items() if self.kind != BPE or len(p) == 1 or self.merged_short(p) == [p]
+        }
         self.apart: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -108,12 +114,6 @@ class Codec:
             push(i, right[i])
         return [s for s in sym if s is not None]
 
-    def reached(self, piece: str) -> bool:
-        """Whether merging gives the piece at all; a model may hold some that it never gives."""
-        if (found := self.whole.get(piece)) is None:
-            found = self.whole[piece] = self.merged_short(piece) == [piece]
-        return found
-
     def merged_short(self, text: str) -> list[str]:
         """The same for a short text, by looking through all pairs."""
         score, none = self.score, self.floor
@@ -129,75 +129,140 @@ class Codec:
                 pairs[i] = score.get(sym[i] + sym[i + 1], none)
         return sym
 
-    def stay_apart(self, a: str, b: str) -> bool:
-        key = (self.ids.get(a, -1), self.ids.get(b, -1))
-        if min(key) < 0:
-            return self.merged_short(a + b) == [a, b]
-        key = key[0] << 32 | key[1]
-        if (found := self.apart.get(key)) is None:
+    def stay_apart(self, a: int, b: int, x: str, y: str) -> bool:
+        """Whether merging leaves the pieces ``x`` and ``y``, with these ids, as they are."""
+        found = self.merged_short(x + y) == [x, y]
+        if a >= 0 and b >= 0:
             if len(self.apart) > PAIRS:
                 self.apart.clear()
-            found = self.apart[key] = self.merged_short(a + b) == [a, b]
+            self.apart[a << 32 | b] = found
         return found
 
-    def viterbi(self, text: str) -> Iterator[str]:
-        """Pieces of ``text``, given out as soon as they are final."""
-        # Of each place in the window: where its last piece starts, that piece, the score so far.
-        back: dict[int, tuple[int, str, float]] = {}
-        done, longest, ids, bpe = 0, self.longest, self.ids, self.kind == BPE
-        for end in range(1, len(text) + 1):
-            best = None
-            for start in range(max(done, end - longest), end):
-                piece = text[start:end]
-                if piece not in ids and end - start > 1:
+    def _last_bpe(self, text: str, low: int, end: int, done: int, starts: list, last: list) -> tuple[int, int, float] | None:
+        """The one piece that may end at ``end``: where it starts, its id."""
+        get, known = self.reached.get, self.apart.get
+        for start in range(low, end):
+            i = get(text[start:end])
+            if i is None:
+                if end - start > 1:
                     continue
-                if start > done and start not in back:
+                i = UNKNOWN
+            before = last[start - done]
+            if before is None:
+                continue
+            if before == NONE:
+                return start, i, 0.0
+            apart = known(before << 32 | i) if i >= 0 and before >= 0 else None
+            if apart is None:
+                x = self.names[before] if before >= 0 else text[start - 1 : start]
+                apart = self.stay_apart(before, i, x, text[start:end])
+            if apart:
+                return start, i, 0.0
+        return None
+
+    def _short_bpe(self, text: str) -> list[int | str]:
+        """The same path for a text that fits into the window, asked from its end: only the places
+        that the answer needs are looked at."""
+        get, known, low_of, marks = self.reached.get, self.apart.get, self.longest, {0: (0, NONE)}
+
+        def last(end: int):
+            if (found := marks.get(end)) is not None:
+                return found
+            for start in range(end - low_of if end > low_of else 0, end):
+                i = get(text[start:end])
+                if i is None:
+                    if end - start > 1:
+                        continue
+                    i = UNKNOWN
+                before = last(start)[1]
+                if before == NONE:
+                    break
+                if before is None:
                     continue
-                before = back.get(start)
-                if bpe:
-                    if (len(piece) == 1 or self.reached(piece)) and (before is None or self.stay_apart(before[1], piece)):
-                        best = (start, piece, 0.0)
-                        break
-                else:
-                    total = (before[2] if before else 0.0) + self.score.get(piece, self.floor)
-                    if best is None or total > best[2]:
-                        best = (start, piece, total)
-            if best:
-                back[end] = best
+                apart = known(before << 32 | i) if i >= 0 and before >= 0 else None
+                if apart is None:
+                    x = self.names[before] if before >= 0 else text[start - 1 : start]
+                    apart = self.stay_apart(before, i, x, text[start:end])
+                if apart:
+                    break
+            else:
+                start, i = -1, None
+            marks[end] = start, i
+            return start, i
+
+        path, end = [], len(text)
+        while end:
+            start, i = last(end)
+            path.append(i if i >= 0 else text[end - 1])
+            end = start
+        return path[::-1]
+
+    def _last_unigram(self, text: str, low: int, end: int, done: int, starts: list, last: list) -> tuple[int, int, float] | None:
+        """The piece on the path with the largest sum of scores up to ``end``."""
+        best = None
+        for start in range(low, end):
+            piece = text[start:end]
+            i = self.ids.get(piece, UNKNOWN)
+            if i == UNKNOWN and end - start > 1 or last[start - done] is None:
+                continue
+            total = starts[start - done][1] + self.score.get(piece, self.floor)
+            if best is None or total > best[2]:
+                best = (start, i, total)
+        return best
+
+    def viterbi(self, text: str) -> Iterator[int | str]:
+        """Ids of ``text``, or characters that are no piece, given out as soon as they are final."""
+        # For each place from ``done`` on: where its last piece starts and the score, and that piece's id.
+        starts: list = [(0, 0.0)]
+        last: list = [NONE]
+        done, longest = 0, self.longest
+        step = self._last_bpe if self.kind == BPE else self._last_unigram
+        for end in range(1, len(text) + 1):
+            found = step(text, max(done, end - longest), end, done, starts, last)
+            if found is None:
+                starts.append(None)
+                last.append(None)
+            else:
+                starts.append((found[0], found[2]))
+                last.append(found[1])
             if end - done >= 4 * longest:
                 # Walk the window's places back until they are one.
-                front = {p for p in range(end - longest + 1, end + 1) if p in back}
+                front = {p for p in range(end - longest + 1, end + 1) if last[p - done] is not None}
                 while len(front) > 1:
-                    last = max(front)
-                    front.remove(last)
-                    front.add(back[last][0])
+                    place = max(front)
+                    front.remove(place)
+                    front.add(starts[place - done][0])
                 meet = front.pop()
                 if meet > done:
-                    yield from self._path(back, done, meet)
+                    yield from self._path(text, starts, last, done, meet)
                     # The piece before the boundary is still needed to judge the next one.
-                    back = {p: v for p, v in back.items() if p >= meet}
-                    done = meet
-        yield from self._path(back, done, len(text))
+                    starts, last, done = starts[meet - done :], last[meet - done :], meet
+        yield from self._path(text, starts, last, done, len(text))
 
     @staticmethod
-    def _path(back: dict, done: int, end: int):
+    def _path(text: str, starts: list, last: list, done: int, end: int):
         path = []
         while end > done:
-            path.append(back[end][1])
-            end = back[end][0]
+            i = last[end - done]
+            path.append(i if i >= 0 else text[end - 1])
+            end = starts[end - done][0]
         return reversed(path)
 
     def _encode(self, part: str) -> bytes:
-        if part in self.ids and self.reached(part):
-            pieces = [part]  # the search would end with this one piece
+        if self.kind == BPE and (whole := self.reached.get(part)) is not None:
+            pieces = [whole]  # the search would end with this one piece
         elif self.tied and self.kind == BPE and self.tied.search(part):
-            pieces = self.merged(part)
+            pieces = [self.ids.get(p, p) for p in self.merged(part)]
+        elif self.kind == BPE and len(part) <= 4 * self.longest:
+            pieces = self._short_bpe(part)
         else:
             pieces = self.viterbi(part)
         out: list[int] = []
         for p in pieces:
-            i = self.ids.get(p)
-            out.extend([i] if i is not None else (self.byte_ids[b] for b in p.encode()))
+            if isinstance(p, int):
+                out.append(p)
+            else:
+                out.extend(self.byte_ids[b] for b in p.encode())
         return array("i", out).tobytes()
 
     def _lookup(self, part: str) -> bytes:

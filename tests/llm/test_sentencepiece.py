@@ -77,3 +77,10 @@ def test_odd_rows(spark, library):
     back = C.decoded(C.encoded(docs, PATH).select("doc_id", "ids"), PATH).collect()
     assert sorted(r.text for r in back) == sorted((t or "").replace(C.SPACE, " ") for _, t in rows)
     assert C.encoded(docs.limit(0), PATH).collect() == []
+
+
+def test_short_and_streaming_search_agree(own):
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        part = C.SPACE + "".join(rng.choice(list("aeinrsthoucdlmgé.,-漢"), int(rng.integers(1, 60))))
+        assert list(own.viterbi(part)) == own._short_bpe(part), part
