@@ -14,6 +14,7 @@ or twice leaves one whole file. The folder must be shared; it is opened by its U
 from __future__ import annotations
 
 import os
+import string
 import struct
 import uuid
 from collections.abc import Iterator
@@ -37,7 +38,11 @@ SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 #: Bytes of ids after which a frame ends, and bytes of text to a file.
 FRAME_BYTES, FILE_BYTES = 1 << 18, 64 << 20
 #: Strings that a worker process remembers, in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+#: ASCII signs, which are neither letters nor digits nor spaces.
+SIGNS = string.punctuation
+#: Strings that the tokenizer gets in one call.
+TOGETHER = 2_000
 
 
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
@@ -103,12 +108,23 @@ class Reader:
 
 
 class Tokens:
-    """Ids of whole texts by a tokenizer that never joins what a space or a line feed parts."""
+    """Ids of whole texts by a tokenizer that lower-cases, drops white space and parts letters from signs.
+
+    Strings between spaces are looked up; what is new goes to the library.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # A special token parts strings before anything else looks at them.
+        self.mark, self.mark_id = next(
+            ((t.content, i) for i, t in sorted(self.tokenizer.get_added_tokens_decoder().items()) if t.special), (None, -1)
+        )
+        ids = lambda w: [t.id for t in self.tokenizer.model.tokenize(w)]
+        self.direct = all(
+            ids(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in ("a", "the", "unwordlike", "qzx")
+        )
         self.young: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -125,8 +141,46 @@ class Tokens:
         new = [p for p in parts if p not in self.young and p not in self.older]
         for p in parts.intersection(self.older):
             self.young[p] = self.older[p]
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+        # Case and trailing signs make many strings of one: no token holds a letter and a sign after it.
+        split = {}
+        for p in new:
+            if "<|" not in p:
+                q = p.lower() if p.isascii() else p
+                word = q.rstrip(SIGNS)
+                if word != p and word and word[-1].isascii() and word[-1].isalpha():
+                    split[p] = word, q[len(word) :]
+        single = {p for p in new if p not in split}
+        for word, signs in split.values():
+            single.add(word)
+            single.add(signs)
+        single.discard("")
+        for p in single.intersection(self.older):
+            self.young[p] = self.older[p]
+        self._encode([p for p in single if p not in self.young])
+        for p, (word, signs) in split.items():
+            self.young[p] = self.young[word] + (self.young[signs] if signs else b"")
+
+    def _encode(self, new: list[str]):
+        # A word of small ASCII letters comes to the model as it is: no need to prepare it.
+        plain = [p for p in new if p.isascii() and p.isalpha() and p.islower()] if self.direct else []
+        tokenize = self.tokenizer.model.tokenize
+        for p in plain:
+            self.young[p] = np.array([t.id for t in tokenize(p)], "<u4").tobytes()
+        if plain:
+            new = [p for p in new if p not in self.young]
+        alone = [p for p in new if self.mark is None or self.mark in p]
+        for p, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
             self.young[p] = np.array(e.ids, "<u4").tobytes()
+        rest = [p for p in new if p not in self.young] if alone else new
+        for at in range(0, len(rest), TOGETHER):
+            some = rest[at : at + TOGETHER]
+            found = self.tokenizer.encode_batch_fast([self.mark.join(some)], add_special_tokens=False)[0].ids
+            ids = np.array(found, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
+            raw, start = ids.tobytes(), 0
+            for p, end in zip(some, ends):
+                self.young[p] = raw[4 * start : 4 * end]
+                start = end + 1
 
 
 def _tokens(path: str) -> Tokens:

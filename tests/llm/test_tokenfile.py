@@ -42,6 +42,7 @@ def test_words_are_exact(tokenizer):
     own = T.Tokens(PATH)
     rng = np.random.default_rng(0)
     texts = [t or "" for t in ODD] + ["".join(rng.choice(list("aB's tdé\n\t.,1́　ΣσİI<|>"), 60)) for _ in range(500)]
+    texts += [" ".join(f"{a}{b}{c}" for a in ("Word", "don't", "É", "x1", "'s", "") for b in ("", ",", "'", "...", "!?'s", "###", "|>", "<|")) for c in ("", "a")]
     for t, ids in zip(texts, own(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
