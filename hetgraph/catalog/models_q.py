@@ -485,6 +485,16 @@ def _(t):
     return out
 
 
+@query(
+    "array_reduce_long",
+    f"""SELECT label, j AS dim, {q4('avg(v)')} AS value FROM (
+        SELECT label, unnest(range(128)) AS j, unnest(list_concat(embedding, embedding))::DOUBLE AS v FROM embeddings) GROUP BY label, j""",
+)
+def _(t):
+    rows = t.raw("embeddings").withColumn("v", F.concat("embedding", "embedding").cast("array<double>"))
+    return entries(M.reduce_arrays(rows, ["label"], "v", 128, "mean"), "v", "label")
+
+
 @query(
     "epoch_metrics",
     """SELECT l_suppkey AS run_id, (year(l_shipdate) - 1995) * 12 + month(l_shipdate) AS epoch,

@@ -17,7 +17,7 @@ from hetgraph.operators import sampling as S
 from hetgraph.operators import structure as ST
 from hetgraph.operators.features import as_key_values, decode_vector
 from hetgraph.plans.jobs import export_graph
-from hetgraph.runtime import checkpoint_root
+from hetgraph.runtime import checkpoint_root, materialize
 from hetgraph.schema import EdgeType, GraphConfig, etype_name, parse_etype
 from hetgraph.sinks.store import GraphStore, describe_graph, feature_dims, graph_stats
 from hetgraph.sources import layout, tables
@@ -580,6 +580,43 @@ def _(t):
     return P.balanced_map(edges, nodes, 8)
 
 
+_BALANCED_ENDS = _BALANCED.replace("SELECT node_type, node_id, weight, (before", ", owner AS (SELECT node_type, node_id, (before") + """),
+  placed AS (SELECT e.src_type, e.rel, e.dst_type, e.dst, a.partition_id, b.partition_id AS owner_id FROM edges e
+    JOIN owner a ON a.node_type = e.src_type AND a.node_id = e.src JOIN owner b ON b.node_type = e.dst_type AND b.node_id = e.dst)"""
+
+
+def _balanced_owner(t):
+    nodes, edges = t.graph()
+    return edges, materialize(P.balanced_map(edges, nodes, 8).drop("weight"), "owner")
+
+
+@query(
+    "halo_balanced",
+    oracle(
+        ["nodes", "edges"],
+        _BALANCED_ENDS
+        + "SELECT DISTINCT partition_id, dst_type AS node_type, dst AS node_id, owner_id FROM placed WHERE partition_id <> owner_id",
+    ),
+)
+def _(t):
+    edges, owner = _balanced_owner(t)
+    return P.halo_nodes(edges, owner=owner)
+
+
+@query(
+    "cut_balanced",
+    oracle(
+        ["nodes", "edges"],
+        _BALANCED_ENDS
+        + """SELECT src_type, rel, dst_type, count(*) AS num_edges, count_if(partition_id <> owner_id)::BIGINT AS cut_edges,
+        count_if(partition_id <> owner_id)::DOUBLE / count(*)::DOUBLE AS cut_ratio FROM placed GROUP BY ALL""",
+    ),
+)
+def _(t):
+    edges, owner = _balanced_owner(t)
+    return P.edge_cut(edges, owner=owner)
+
+
 @query(
     "partition_map",
     oracle(["gid"], f"SELECT node_type, global_id AS node_id, ({h52(42, 'node_type', 'global_id')} % 32)::INTEGER AS partition_id FROM gid"),

@@ -141,13 +141,24 @@ def partition_config(sizes: DataFrame, num_parts: int, method: str, path: str, g
     )
 
 
-def halo_nodes(edges: DataFrame, n: int, method: str = "random", seed: int = 42) -> DataFrame:
-    """Per partition, the ends of its edges that another partition owns."""
-    with_owner = assign_edges(edges, n, method, seed).withColumn(
-        "owner_id", partition_of("dst_type", "dst", n, method, seed)
-    )
+def _owned_edges(edges: DataFrame, owner: DataFrame) -> DataFrame:
+    """Edges with the partition of either end under a given map."""
+    far = owner.select(F.col("node_type").alias("dst_type"), F.col("node_id").alias("dst"), F.col("partition_id").alias("owner_id"))
+    return follow_source(edges, owner).join(far, ["dst_type", "dst"])
+
+
+def _ruled_edges(edges: DataFrame, n: int, method: str, seed: int) -> DataFrame:
+    return assign_edges(edges, n, method, seed).withColumn("owner_id", partition_of("dst_type", "dst", n, method, seed))
+
+
+def halo_nodes(edges: DataFrame, n: int = 0, method: str = "random", seed: int = 42, owner: DataFrame | None = None) -> DataFrame:
+    """Per partition, the ends of its edges that another partition owns.
+
+    Either a rule gives the partitions, or ``owner``, a map as ``follow_source`` takes it.
+    """
+    placed = _ruled_edges(edges, n, method, seed) if owner is None else _owned_edges(edges, owner)
     return (
-        with_owner.where("partition_id <> owner_id")
+        placed.where("partition_id <> owner_id")
         .select(
             "partition_id",
             F.col("dst_type").alias("node_type"),
@@ -158,11 +169,11 @@ def halo_nodes(edges: DataFrame, n: int, method: str = "random", seed: int = 42)
     )
 
 
-def edge_cut(edges: DataFrame, n: int, method: str = "random", seed: int = 42) -> DataFrame:
-    """Edges whose ends live apart, per edge type."""
-    apart = partition_of("src_type", "src", n, method, seed) != partition_of("dst_type", "dst", n, method, seed)
-    return edges.groupBy("src_type", "rel", "dst_type").agg(
-        F.count(F.lit(1)).alias("num_edges"), F.count_if(apart).alias("cut_edges")
+def edge_cut(edges: DataFrame, n: int = 0, method: str = "random", seed: int = 42, owner: DataFrame | None = None) -> DataFrame:
+    """Edges whose ends live apart, per edge type, under a rule or under the map ``owner``."""
+    placed = _ruled_edges(edges, n, method, seed) if owner is None else _owned_edges(edges, owner)
+    return placed.groupBy("src_type", "rel", "dst_type").agg(
+        F.count(F.lit(1)).alias("num_edges"), F.count_if(F.col("partition_id") != F.col("owner_id")).alias("cut_edges")
     ).withColumn("cut_ratio", F.col("cut_edges") / F.col("num_edges"))
 
 
