@@ -230,7 +230,7 @@ def _across(shared: DataFrame, groups: DataFrame, reps: DataFrame, sets: DataFra
     # A row holds up to some hundred sets, so few rows at a time go to Python.
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     usual = spark.conf.get(rows)
-    spark.conf.set(rows, 16)
+    spark.conf.set(rows, 4)
     try:
         run = _blocks_linked(percent, SKETCH_FLOOR * percent / 80)
         return materialize(arrow_map(blocks, run, "a long, b long"), "across")
