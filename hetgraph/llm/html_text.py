@@ -5,8 +5,11 @@ For every node of the page: its characters per tag, raised or lowered by how muc
 article. The smallest density on the path from the body to it is the threshold: as long as what a
 parent holds besides the node is at least as dense, the parent is taken instead.
 
+The choice is over all nodes; an <article> or <main> counts double. A node inside an <article> stands for all
+of that article, and articles beside it that reach the threshold belong to the text too.
+
 What names itself as something else (menus, footers, adverts, forms, comments, ...) is left out
-before densities are computed. A page that marks articles is searched in those only.
+before densities are computed.
 """
 
 from __future__ import annotations
@@ -47,6 +50,9 @@ HINTS = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 SECTIONS = frozenset(("article", "main"))
+HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What the sum of an <article> or <main> counts, and the part of an article's density that text around it needs.
+MARK, BESIDE = 2, 0.5
 
 
 def _outside(tag: str, rest: str, in_article: bool) -> bool:
@@ -141,7 +147,7 @@ class _Page:
 
     def densities(self):
         n = len(self.tags)
-        chars, link_chars, own = [0] * n, [0] * n, [0] * n
+        chars, link_chars, own, heads = [0] * n, [0] * n, [0] * n, [0] * n
         in_link = [False] * n
         for i in range(1, n):
             in_link[i] = self.tags[i] == "a" or in_link[self.parents[i]]
@@ -150,11 +156,14 @@ class _Page:
             own[node] += size
             chars[node] += size
             link_chars[node] += size * in_link[node]
+        for i in range(1, n):
+            heads[i] = own[i] if self.tags[i] in HEADS else 0
         tags, link_tags = [0] * n, [0] * n
         for i in range(n - 1, 0, -1):
             p = self.parents[i]
             chars[p] += chars[i]
             link_chars[p] += link_chars[i]
+            heads[p] += chars[i] if self.tags[i] in HEADS else heads[i]
             tags[p] += tags[i] + 1
             link_tags[p] += link_tags[i] + (self.tags[i] == "a")
         everything, all_links = max(chars[0], 1), link_chars[0]
@@ -166,43 +175,59 @@ class _Page:
             t, lt, rest = max(t, 1), max(lt, 1), max(c - lc, 1)
             return c / t * log(c * t / (max(lc, 1) * lt) + 1) / log(c / rest * lc + all_links / everything * c + e)
 
-        self.density = density
+        self.density, self.heads = density, heads
         self.counts = (chars, tags, link_chars, link_tags)
         self.dense = [density(*(x[i] for x in self.counts)) for i in range(n)]
         self.sums = [density(o, 1, o * link, int(link)) if o else 0.0 for o, link in zip(own, in_link)]
         for i in range(1, n):
             self.sums[self.parents[i]] += self.dense[i]
 
-    def main(self) -> int | None:
-        """The node of the article."""
+    def main(self) -> list[int]:
+        """The nodes of the article: one, or several articles side by side."""
         self.densities()
-        chars = self.counts[0]
-        nodes = [i for i in range(len(self.tags)) if chars[i]]
-        marked = [i for i in nodes if self.tags[i] == "article"] or [i for i in nodes if self.tags[i] == "main"]
+        chars, tags, up = self.counts[0], self.tags, self.parents
+        nodes = [i for i in range(len(tags)) if chars[i]]
         if not nodes:
-            return None
-        inline = lambda i: self.tags[i] not in BLOCK and self.tags[i] != "#root"
-        best = max(marked or nodes, key=lambda i: (self.sums[i], -i))
-        path = [best]
-        while self.parents[path[-1]] >= 0:
-            path.append(self.parents[path[-1]])
-        threshold = min(self.dense[i] for i in path)
-        while inline(best):
-            best = self.parents[best]
-        while not marked and self.parents[best] >= 0 and self.tags[self.parents[best]] not in ("body", "html", "#root"):
-            up = self.parents[best]
-            rest = [x[up] - x[best] for x in self.counts]
-            if rest[0] and self.density(*rest) < threshold:
+            return []
+
+        def path(i):
+            while i >= 0:
+                yield i
+                i = up[i]
+
+        def fits(outer, best, least):
+            """Whether what ``outer`` holds besides ``best`` belongs to the text."""
+            rest = [x[outer] - x[best] for x in self.counts]
+            return rest[0] == self.heads[outer] - self.heads[best] or self.density(*rest) >= least
+
+        best = max(nodes, key=lambda i: (self.sums[i] * (MARK if tags[i] in SECTIONS else 1), -i))
+        threshold = min(self.dense[i] for i in path(best))
+        while tags[best] not in BLOCK and tags[best] != "#root":
+            best = up[best]
+        best = next((i for i in path(best) if tags[i] == "article"), best)
+        least = threshold
+        while up[best] >= 0:
+            if tags[best] == "article":
+                least = max(threshold, BESIDE * self.dense[best])
+            outer = next((i for i in path(up[best]) if tags[i] == "article"), None)
+            if outer is not None and fits(outer, best, threshold):
+                best = outer
+            elif tags[up[best]] not in ("body", "html", "#root") and fits(up[best], best, least):
+                best = up[best]
+            else:
                 break
-            best = up
-        if self.tags[best] == "p" or best and not marked and self.tags[best] not in SECTIONS and self.sums[self.parents[best]] >= self.sums[best]:
-            best = self.parents[best]
-        return best
+        marked = any(tags[i] in SECTIONS for i in path(best))
+        if tags[best] == "p" or best and not marked and self.sums[up[best]] >= self.sums[best]:
+            best = up[best]
+        if tags[best] != "article":
+            return [best]
+        return [i for i in nodes if i == best or tags[i] == "article" and up[i] == up[best] and self.dense[i] >= threshold]
 
-    def blocks(self, top: int) -> list[str]:
-        """Texts of the blocks below ``top`` in page order."""
+    def blocks(self, tops: list[int]) -> list[str]:
+        """Texts of the blocks below ``tops`` in page order."""
         inside = [False] * len(self.tags)
-        inside[top] = True
+        for top in tops:
+            inside[top] = True
         block = [0] * len(self.tags)
         for i in range(1, len(self.tags)):
             inside[i] = inside[i] or inside[self.parents[i]]
@@ -227,8 +252,7 @@ class _Page:
 
 def main_text(source: str) -> str:
     page = _Page(source)
-    top = page.main()
-    return "" if top is None else "\n".join(page.blocks(top))
+    return "\n".join(page.blocks(page.main()))
 
 
 def _run(batches: Iterator[dict]) -> Iterator[dict]:

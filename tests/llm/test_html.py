@@ -50,3 +50,36 @@ def test_odd_pages(spark):
 
 def test_deep_pages():
     assert H.main_text("<div>" * 20_000 + "deep text") == "deep text"
+
+
+def paragraphs(word, n=4):
+    return [f"{word} number {i} is a sentence of some length, with nothing but plain words in it." for i in range(n)]
+
+
+def marked_up(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+MENU = "<div><ul>" + "".join(f"<li><a href=/{i}>item {i}</a></li>" for i in range(9)) + "</ul></div>"
+CARDS = "".join(f"<article class=card><a href=/{i}>Another story {i}</a><p>A short teaser.</p></article>" for i in range(6))
+
+
+def test_several_articles():
+    parts = [paragraphs("first", 6), paragraphs("second", 2), paragraphs("third")]
+    articles = "".join(f"<article>{marked_up(x)}</article>" for x in parts)
+    for page in (f"<body>{MENU}{articles}</body>", f"<body>{MENU}<main>{articles}</main></body>", f"<body>{MENU}<div>{articles}</div></body>"):
+        assert H.main_text(page) == "\n".join(sum(parts, []))
+
+
+def test_story_beside_teaser_cards():
+    story = paragraphs("story", 8)
+    for page in (f"<div>{marked_up(story)}</div><div>{CARDS}</div>", f"<main><div>{marked_up(story)}</div>{CARDS}</main>", f"<article>{marked_up(story)}</article>{CARDS}"):
+        assert H.main_text(f"<body>{MENU}{page}</body>") == "\n".join(story)
+
+
+def test_article_in_article():
+    outer, inner = paragraphs("outer", 3), paragraphs("inner", 9)
+    page = f"<article><h1>T</h1>{marked_up(outer)}<div><article>{marked_up(inner)}</article></div></article>"
+    assert H.main_text(f"<body>{MENU}{page}</body>") == "\n".join(["T", *outer, *inner])
+    page = f"<article><h1>T</h1><div>{marked_up(inner)}</div></article>"
+    assert H.main_text(f"<body>{MENU}{page}</body>") == "\n".join(["T", *inner])
