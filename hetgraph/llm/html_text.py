@@ -8,8 +8,10 @@ parent holds besides the node is at least as dense, the parent is taken instead.
 The choice is over all nodes; an <article> or <main> counts double. A node inside an <article> stands for all
 of that article, and articles beside it that reach the threshold belong to the text too.
 
-What names itself as something else (menus, footers, adverts, forms, comments, ...) is left out
-before densities are computed.
+What names itself as something else (menus, footers, adverts, forms, comments, ...) is left out before densities
+are computed. Tags and roles decide at once. A class or id decides by its whole names, and not for an element that
+holds half of the page's text; names that articles have for their own parts need a share of links besides. Comments
+may be longer than the story: they stay only if next to no plain text is left without them.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from hetgraph.llm.common import arrow_map
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|math|object)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|template|textarea|title|iframe|svg)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*>",
     re.S | re.I,
@@ -41,13 +43,23 @@ BLOCK = frozenset(
 OUTSIDE = frozenset("nav footer aside form button select option input label dialog menu canvas audio video applet head".split())
 #: An end tag of one of these also ends what was left open inside; others end at most at the next of these.
 SAME_LEVEL = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-#: Words in class and id that say what an element is, and roles.
+#: Names in class and id that say what an element is, and roles.
 HINTS = frozenset(
     "ad ads adsense advert adverts advertisement advertising adbox banner sponsor sponsored promo promotion menu nav navbar "
-    "navigation breadcrumb breadcrumbs sidebar footer cookie cookies consent gdpr notice notices alert popup modal overlay "
-    "newsletter subscribe signup login share sharing social related recommended comment comments commentlist discussion "
-    "disqus respond replies widget toolbar pagination pager copyright masthead topbar skip".split()
+    "navigation breadcrumb breadcrumbs sidebar header footer cookie cookies consent gdpr popup modal "
+    "newsletter comment comments commentlist disqus pagination pager masthead topbar".split()
 )
+COMMENTS = frozenset("comment comments commentlist disqus".split())
+#: Those that stand as well on parts of an article: they count where at least LINKED of the text is links.
+SOFT = frozenset(
+    "notice notices alert overlay subscribe signup login share sharing social related recommended discussion respond replies "
+    "widget toolbar copyright skip".split()
+)
+LINKED = 0.3
+#: So many times the plain text of the rest of the page may comments have.
+LONGER = 20
+#: Words that say where or in what form; with a hint they still make a hint of the whole name.
+NEUTRAL = frozenset("area bar block bottom box container inner left links list main outer primary right secondary section site slot text top unit wrap wrapper".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 SECTIONS = frozenset(("article", "main"))
 HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -55,27 +67,38 @@ HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MARK, BESIDE = 2, 0.5
 
 
-def _outside(tag: str, rest: str, in_article: bool) -> bool:
+def _hint(value: str) -> int:
+    """3 if one of the names says comments, 2 if it is another hint, 1 if it is one that needs links, else 0."""
+    found = 0
+    for name in value.split():
+        words = [w for w in re.split(r"[^a-z]+", name) if w and w not in NEUTRAL]
+        if words and all(w in HINTS or w in SOFT for w in words):
+            found = max(found, 3 if COMMENTS.intersection(words) else 2 if HINTS.intersection(words) else 1)
+    return found
+
+
+def _outside(tag: str, rest: str, in_article: bool) -> int:
+    """4 for what is never part of an article, 3 to 1 for what its names say (see ``_hint``), else 0."""
     if tag in OUTSIDE or (tag == "header" and not in_article):
-        return True
+        return 4
     if not rest or tag in ("html", "body"):
-        return False
+        return 0
+    found = 0
     for name, value in _NAMED.findall(rest):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            words = set(re.split(r"[^a-z0-9]+", value))
-            found = words & HINTS
             if tag in SECTIONS:
-                found &= {"comment", "comments"}
-            if found or ("header" in words and not in_article and tag not in SECTIONS):
-                return True
+                value = " ".join({"comment", "comments"}.intersection(value.split()))
+            elif in_article:
+                value = " ".join(x for x in value.split() if "header" not in x)
+            found = max(found, _hint(value))
         elif name == "role" and value in ROLES:
-            return True
+            return 4
         elif name == "hidden" and not value or name == "aria-hidden" and value == "true":
-            return True
+            return 4
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return 4
+    return found
 
 
 class _Page:
@@ -84,6 +107,7 @@ class _Page:
     def __init__(self, source: str):
         self.tags, self.parents = ["#root"], [-1]
         self.texts: list[tuple[int, str]] = []
+        self.hinted: dict[int, int] = {}
         stack, skip, at, articles = [0], 0, 0, 0
 
         def close(upto: int):
@@ -121,14 +145,41 @@ class _Page:
                     self._add(tag, stack[-1])
                 continue
             node = self._add(tag, stack[-1])
-            if not skip and _outside(tag, m["rest"], articles > 0):
-                skip = len(stack) + 1
+            if not skip and (kind := _outside(tag, m["rest"], articles > 0)):
+                if kind == 4:
+                    skip = len(stack) + 1
+                else:
+                    self.hinted[node] = kind
             stack.append(node)
             articles += tag in SECTIONS
             if m["rest"].endswith("/") and tag not in BLOCK:
                 close(len(stack) - 1)
         if at < len(source) and not skip:
             self.texts.append((stack[-1], source[at:]))
+        if self.hinted:
+            self._drop_hinted()
+
+    def _drop_hinted(self):
+        """Leave out the texts of what names itself as something else."""
+        n = len(self.tags)
+        chars, links, linked, gone = [0] * n, [0] * n, [False] * n, [False] * n
+        for i in range(1, n):
+            linked[i] = self.tags[i] == "a" or linked[self.parents[i]]
+        for node, text in self.texts:
+            size = len("".join(text.split()))
+            chars[node] += size
+            links[node] += size * linked[node]
+        for i in range(n - 1, 0, -1):
+            chars[self.parents[i]] += chars[i]
+            links[self.parents[i]] += links[i]
+        for i, kind in self.hinted.items():
+            if kind == 3:
+                gone[i] = LONGER * (chars[0] - links[0] - chars[i] + links[i]) >= chars[i]
+            else:
+                gone[i] = 2 * chars[i] < chars[0] and (kind == 2 or links[i] >= LINKED * chars[i])
+        for i in range(1, n):
+            gone[i] = gone[i] or gone[self.parents[i]]
+        self.texts = [x for x in self.texts if not gone[x[0]]]
 
     def _add(self, tag: str, parent: int) -> int:
         self.tags.append(tag)

@@ -83,3 +83,21 @@ def test_article_in_article():
     assert H.main_text(f"<body>{MENU}{page}</body>") == "\n".join(["T", *outer, *inner])
     page = f"<article><h1>T</h1><div>{marked_up(inner)}</div></article>"
     assert H.main_text(f"<body>{MENU}{page}</body>") == "\n".join(["T", *inner])
+
+
+def test_names_of_wrappers_and_parts():
+    story = paragraphs("story", 8)
+    for mark in ("class='content has-sidebar'", "id='page' class='with-menu'", "class='login-required'", "class='social'", "class='sidebar'", "id=comments"):
+        assert H.main_text(f"<body>{MENU}<div {mark}>{marked_up(story)}</div></body>") == "\n".join(story), mark
+    for mark in ("id='discussion'", "id='related-work'", "class='notice'"):
+        own = paragraphs("part", 2)
+        page = f"<body>{MENU}<article>{marked_up(story)}<section {mark}>{marked_up(own)}</section></article></body>"
+        assert H.main_text(page) == "\n".join(story + own), mark
+    links = "".join(f"<li><a href=/{i}>story {i}</a></li>" for i in range(4))
+    for out in (f"<ul class='related'>{links}</ul>", f"<div id='share-box'>{links}</div>", "<div class='comment-list'><p>First!</p></div>", "<div class='ad-top'>Buy it</div>"):
+        assert H.main_text(f"<body>{MENU}<article>{marked_up(story)}{out}</article></body>") == "\n".join(story), out
+
+
+def test_math_and_fallbacks():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold.</p><noscript><p>A table.</p></noscript><p><object data=a.svg>A chart.</object></p></article>"
+    assert H.main_text(page) == "Let x=1 hold.\nA table.\nA chart."
