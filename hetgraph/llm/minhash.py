@@ -24,6 +24,7 @@ is therefore either linked by a path of verified links or was compared itself.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,9 @@ from hetgraph.llm.common import arrow_map, components, list_array, mix64, utf8
 from hetgraph.runtime import materialize
 
 BANDS, ROWS = 32, 5
-#: Candidates whose sketches agree in less than this share are not verified: four and a half
-#: standard deviations below 0.8 at 160 coordinates, about as rare as sharing no band.
-SKETCH_FLOOR = 0.66
+#: Candidates are verified unless their sketches agree so seldom that a pair at the wanted similarity does so with
+#: at most this probability: well below that of sharing no band.
+LOSS = 1e-8
 #: So many classes are compared with so many others at a time.
 BLOCK = 128
 #: Rounds of single comparisons go on while more than this share of them finds a link.
@@ -80,6 +81,16 @@ def sketch(shingles: np.ndarray, bins: int) -> np.ndarray:
     return best
 
 
+def sketch_floor(percent: int, bins: int) -> float:
+    """The share of equal coordinates under which a pair at ``percent`` falls with at most ``LOSS``."""
+    p, below = percent / 100, 0.0
+    for c in range(bins):
+        below += comb(bins, c) * p**c * (1 - p) ** (bins - c)
+        if below > LOSS:
+            return c / bins
+    return 1.0
+
+
 def band_keys(coordinates: np.ndarray, bands: int, rows: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         key = (np.arange(bands, dtype=np.uint64) + np.uint64(1)) * _GOLDEN
@@ -190,7 +201,7 @@ def _blocks_linked(percent: int, floor: float):
     return run
 
 
-def _across(shared: DataFrame, groups: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _across(shared: DataFrame, groups: DataFrame, reps: DataFrame, sets: DataFrame, percent: int, bins: int) -> DataFrame:
     """Verified links ``(a, b)`` between any two components that share a bucket.
 
     The component with most members in a bucket is its host, the other members are the host's guests.
@@ -232,7 +243,7 @@ def _across(shared: DataFrame, groups: DataFrame, reps: DataFrame, sets: DataFra
     usual = spark.conf.get(rows)
     spark.conf.set(rows, 4)
     try:
-        run = _blocks_linked(percent, SKETCH_FLOOR * percent / 80)
+        run = _blocks_linked(percent, sketch_floor(percent, bins))
         return materialize(arrow_map(blocks, run, "a long, b long"), "across")
     finally:
         spark.conf.set(rows, usual)
@@ -337,7 +348,7 @@ def near_duplicates(
 
     groups = _by_stars(shared, verified)
 
-    final = _merged(groups, _across(shared, groups, reps, sets, percent))
+    final = _merged(groups, _across(shared, groups, reps, sets, percent, bands * rows))
 
     # Classes are named by their hash: give each component its smallest document.
     named_sets = classes.join(final, "node", "left").select(

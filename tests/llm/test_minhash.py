@@ -1,5 +1,6 @@
 """Near-duplicates against brute force."""
 
+import math
 import re
 
 import numpy as np
@@ -90,3 +91,12 @@ def test_chain_is_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(9000, 9001), (None, 3), (5, 5)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}
     assert {got[i] for i in range(n + 1)} == {0} and got[9001] == 9000 and len(got) == n + 3
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_floor_loses_less_than_the_bands(percent):
+    p, bins = percent / 100, M.BANDS * M.ROWS
+    floor = M.sketch_floor(percent, bins)
+    lost = sum(math.comb(bins, c) * p**c * (1 - p) ** (bins - c) for c in range(bins) if c / bins < floor)
+    assert 1e-10 < lost <= 1e-8
+    assert percent > 80 or lost < 0.01 * (1 - p**M.ROWS) ** M.BANDS
