@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hetgraph.llm.common import table
-from hetgraph.llm.sql import mixing_sql, near_duplicates_sql, rules_sql
+from hetgraph.llm.sql import mixing_sql, near_duplicates_sql, resampling_sql, rules_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +100,10 @@ def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hetgraph.llm import ann
 
     return ann.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
+
+
+@query("op13_resampled", resampling_sql())
+def resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hetgraph.llm import resampling
+
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -123,3 +123,46 @@ start AS ({start}),
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND {odds} + (SELECT ln(any_value(prior) / (1 - any_value(prior))) FROM r{R.STEPS}) >= 0 AS kept
 FROM v"""
+
+
+def resampling_sql() -> str:
+    """crc32 bit by bit from the polynomial, over the bytes of the distinct words."""
+    from hetgraph.llm import resampling as R
+
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+    def words(table: str, columns: str) -> str:
+        return f"""SELECT {columns} regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{word}') AS w
+  FROM {table}"""
+
+    return f"""
+WITH d AS MATERIALIZED ({words("documents", "row_number() OVER () AS rid, doc_id,")}),
+x AS MATERIALIZED (SELECT rid, w, count(*) AS n FROM (SELECT rid, unnest(w) AS w FROM d) GROUP BY ALL),
+y AS MATERIALIZED (SELECT w, count(*) AS n FROM (SELECT unnest(w) AS w FROM ({words("benchmark", "")})) GROUP BY ALL),
+table_of AS MATERIALIZED (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i: {step}) ORDER BY b) AS t FROM (SELECT unnest(range(256)) AS b)),
+v AS MATERIALIZED (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM x UNION SELECT w FROM y)),
+k AS MATERIALIZED (
+  SELECT w, xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(range(1, len(h) + 1, 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % {R.BUCKETS} AS bucket
+  FROM v CROSS JOIN table_of),
+s AS (SELECT bucket, sum(n)::BIGINT AS s FROM x JOIN k USING (w) GROUP BY bucket),
+t AS (SELECT bucket, sum(n)::BIGINT AS t FROM y JOIN k USING (w) GROUP BY bucket),
+a AS (SELECT (SELECT coalesce(sum(s), 0)::BIGINT FROM s) AS s_all, (SELECT coalesce(sum(t), 0)::BIGINT FROM t) AS t_all),
+g AS (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (s_all + {R.BUCKETS})::DOUBLE)
+    / ((s + 1)::DOUBLE * (t_all + {R.BUCKETS})::DOUBLE)))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket), a),
+e AS (SELECT rid, sum(n * gain)::BIGINT AS weight FROM x JOIN k USING (w) JOIN g USING (bucket) GROUP BY rid),
+f AS (
+  SELECT rid, doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{R.SEED}:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE)
+           / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM d LEFT JOIN e USING (rid)),
+r AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM f WHERE n_features >= {R.LEAST_WORDS}),
+m AS (SELECT {R.PERCENT} * count(*) // 100 AS m FROM r)
+SELECT f.doc_id, f.n_features, f.weight, f.score, CASE WHEN r.rank <= m THEN r.rank END AS rank
+FROM f LEFT JOIN r USING (rid), m"""
