@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hetgraph.llm.common import table
-from hetgraph.llm.sql import mixing_sql, near_duplicates_sql, resampling_sql, rules_sql
+from hetgraph.llm.sql import mixing_sql, near_duplicates_sql, resampling_sql, rules_sql, vector_codes_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +107,10 @@ def resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hetgraph.llm import resampling
 
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_vector_codes", vector_codes_sql())
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hetgraph.llm import product_codes
+
+    return product_codes.compress(table(spark, sf_dir, "embeddings"))[0]

@@ -166,3 +166,42 @@ r AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM f
 m AS (SELECT {R.PERCENT} * count(*) // 100 AS m FROM r)
 SELECT f.doc_id, f.n_features, f.weight, f.score, CASE WHEN r.rank <= m THEN r.rank END AS rank
 FROM f LEFT JOIN r USING (rid), m"""
+
+
+def vector_codes_sql() -> str:
+    """Plain Lloyd, one pair of tables per round."""
+    from hetgraph.llm import product_codes as P
+
+    n = P.PARTS
+    cut = f"x[part * len(x) // {n} + 1 : (part + 1) * len(x) // {n}]"
+    steps = []
+    for k in range(P.ROUNDS + 1):
+        steps.append(f"""d{k} AS MATERIALIZED (
+  SELECT rid, part, min(struct_pack(
+      d := (list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c))::BIGINT, e := entry)) AS m
+  FROM p JOIN b{k} USING (part) GROUP BY rid, part)""")
+        if k < P.ROUNDS:
+            steps.append(f"""b{k + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(n.c, b{k}.c) AS c FROM b{k} LEFT JOIN (
+    SELECT part, entry, list(floor(s / n) ORDER BY pos) AS c FROM (
+      SELECT part, m.e AS entry, pos, sum(v) AS s, count(*) AS n
+      FROM d{k} JOIN (SELECT rid, part, unnest(x) AS v, unnest(range(len(x))) AS pos FROM p) USING (rid, part) GROUP BY ALL)
+    GROUP BY part, entry) n USING (part, entry))""")
+    return f"""
+WITH good AS (
+  SELECT row_number() OVER () AS rid, vec_id, label, embedding FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(v) AND abs(v) < {P.LIMIT})) = len(embedding)),
+d AS (SELECT len(embedding) AS d FROM good GROUP BY 1 ORDER BY count(*) DESC, d LIMIT 1),
+q AS MATERIALIZED (
+  SELECT rid, vec_id, label, embedding, list_transform(embedding, lambda v: floor({P.SCALE} * v::DOUBLE)) AS x
+  FROM good WHERE len(embedding) = (SELECT d FROM d)),
+p AS MATERIALIZED (SELECT rid, part, {cut} AS x FROM q CROSS JOIN (SELECT unnest(range({n})) AS part)),
+f AS (
+  SELECT (row_number() OVER (ORDER BY vec_id NULLS LAST) - 1)::BIGINT AS entry, x
+  FROM (SELECT vec_id, arg_min(x, embedding) AS x FROM q GROUP BY vec_id) ORDER BY entry LIMIT {P.ENTRIES}),
+b0 AS MATERIALIZED (SELECT part, entry, {cut} AS c FROM f CROSS JOIN (SELECT unnest(range({n})) AS part)),
+{", ".join(steps)},
+h AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda v: v::BIGINT::VARCHAR), ','), ',' ORDER BY part, entry)) AS h FROM b{P.ROUNDS}),
+r AS (SELECT rid, string_agg(printf('%02x', m.e), '' ORDER BY part) AS code, sum(m.d)::BIGINT AS error FROM d{P.ROUNDS} GROUP BY rid)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM q JOIN r USING (rid), h"""
