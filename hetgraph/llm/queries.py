@@ -114,3 +114,10 @@ def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hetgraph.llm import product_codes
 
     return product_codes.compress(table(spark, sf_dir, "embeddings"))[0]
+
+
+@query("op11_simhash")
+def simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hetgraph.llm import simhash
+
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
