@@ -58,7 +58,7 @@ def run(spark: SparkSession, args: argparse.Namespace):
     if args.command == "partition":
         hosts = read_hosts(spark, args.hosts) if args.hosts else None
         return jobs.partition_graph(store, args.num_partitions, args.method, hosts, args.per_host)
-    config = TrainConfig(target_node_type=args.target)
+    config, store = TrainConfig(target_node_type=args.target), store.pinned()
     return jobs.train_best(store.read_nodes(), store.read_edges(), args.dim, config, args.rounds)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hetgraph.catalog.registry import query, r4
 from hetgraph.catalog.sql import draw, h52, oracle, r4 as q4, uni
-from hetgraph.catalog.tables_q import TYPES, _gedges, vec_digest
+from hetgraph.catalog.tables_q import TYPES, _gedges, stored_adjacency, vec_digest
 from hetgraph.operators import ids as I
 from hetgraph.operators import sampling as S
 from hetgraph.operators.features import get_feature, get_features
@@ -86,6 +86,11 @@ def _(t):
     return _khop(t)
 
 
+@query("khop_stored", oracle(["heads_out"], f"{KHOP} SELECT * FROM k"))
+def _(t):
+    return S.khop_edges(user_seeds(t), stored_adjacency(t), 2, (3, 2), 42)
+
+
 @query("khop_nodes", oracle(["heads_out"], f"{KHOP} SELECT * FROM kn"))
 def _(t):
     return S.khop_nodes(user_seeds(t), _khop(t))

@@ -130,6 +130,25 @@ def _(t):
     return lists.withColumn("neighbors", F.array_join("neighbors", ","))
 
 
+@query(
+    "adjacency_stored",
+    oracle(
+        ["links_out"],
+        """SELECT near_type, rel, far_type, near, (at_pos // 1024)::BIGINT AS block,
+        string_agg(far::VARCHAR, ',' ORDER BY far) AS neighbors FROM links_out GROUP BY ALL""",
+    ),
+)
+def _(t):
+    lists = ST.adjacency_lists(stored_adjacency(t), 1024)
+    return lists.withColumn("neighbors", F.array_join("neighbors", ","))
+
+
+def stored_adjacency(t, direction: str = "out") -> ST.Adjacency:
+    store = new_store(t)
+    store.write_adjacency(t.graph()[1], direction, span_rows=50_000)
+    return store.read_adjacency(direction)
+
+
 @query("scan_embeddings", oracle(["nodes"], f"SELECT node_type, node_id, {DIGEST} FROM nodes WHERE node_type = 'item'"))
 def _(t):
     table = t.graph()[0].withColumnRenamed("feature_vec", "embedding_vec")
@@ -146,13 +165,20 @@ def _(t):
     return vec_digest(as_key_values(rows).withColumn("feature_vec", decode_vector("value")), "key", "ttl")
 
 
+def _exported(t) -> GraphStore:
+    """What a reader finds of the second of two exports to one place."""
+    path = f"{checkpoint_root(t.spark)}/hetgraph/export-{uuid.uuid4().hex}"
+    for chunks in (4, 8):
+        export_graph(t.spark, t, GraphConfig(output_path=path, num_partitions=chunks), SNAPSHOT)
+    return GraphStore(t.spark, path).pinned()
+
+
 @query(
     "export_nodes",
     oracle(["gid"], f"SELECT node_type, global_id, label, {DIGEST} FROM nodes JOIN gid USING (node_type, node_id)"),
 )
 def _(t):
-    nodes = t.graph()[0]
-    return vec_digest(I.attach_global_id(nodes, I.assign_global_ids(nodes, TYPES)), "node_type", "global_id", "label")
+    return vec_digest(_exported(t).read_nodes().withColumnRenamed("node_id", "global_id"), "node_type", "global_id", "label")
 
 
 @query(
@@ -163,7 +189,7 @@ def _(t):
     ),
 )
 def _(t):
-    e = _stored(t).read_edges()
+    e = _exported(t).read_edges()
     return e.select(etype_name().alias("etype"), "src", "dst", F.col("edge_weight").cast("double").alias("edge_weight"))
 
 

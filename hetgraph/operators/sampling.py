@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hetgraph.functions.hashing import draw_positions, hash52, uniform
 from hetgraph.operators.ids import number_copies, with_row_index
-from hetgraph.operators.structure import Adjacency, build_adjacency
+from hetgraph.operators.structure import Adjacency, build_adjacency, slot_of, span_of
 from hetgraph.runtime import materialize
 
 
@@ -56,12 +56,24 @@ def draw_links(frontier: DataFrame, adjacency: Adjacency, fanout: int | None, se
     so a super node in the frontier never meets its full neighbour list.
     """
     near = {"near_type": "node_type", "near": "node_id"}
-    if fanout is None:
+    keys, stored = ["node_type", "node_id"], adjacency.span_rows is not None
+    links, heads = adjacency.links.withColumnsRenamed(near), adjacency.heads
+    if fanout is None and not stored:
         # Everything is wanted: meet the links by node, no positions are listed.
-        return frontier.join(adjacency.links.drop("pos").withColumnsRenamed(near), ["node_type", "node_id"]).select(
-            *frontier.columns, "rel", "far_type", "far"
-        )
-    met = frontier.join(adjacency.heads.withColumnsRenamed(near), ["node_type", "node_id"])
+        return frontier.join(links.drop("pos"), keys).select(*frontier.columns, "rel", "far_type", "far")
+    asked = frontier
+    if stored:
+        # The condition holds for every row; it tells the planner that the frontier is worth pruning by.
+        asked = frontier.withColumn("slot", slot_of(*keys, adjacency.slots)).where("slot >= 0")
+        keys = ["slot", *keys]
+    met = asked.join(heads.withColumnsRenamed(near), keys)
+    if fanout is None:
+        first, last = (span_of(p, adjacency.span_rows) for p in (F.col("start"), F.col("start") + F.col("degree") - 1))
+        spans = met.select(*frontier.columns, "rel", "far_type", F.explode(F.sequence(first, last)).alias("span"))
+        # Written, so that the planner knows how little there is to prune by.
+        spans = materialize(spans, "spans")
+        whole = ["span", "node_type", "node_id", "rel", "far_type"]
+        return spans.where("span >= 0").join(links.drop("pos"), whole).select(*frontier.columns, "rel", "far_type", "far")
     positions = draw_positions(
         F.col("degree"),
         fanout,
@@ -75,8 +87,25 @@ def draw_links(frontier: DataFrame, adjacency: Adjacency, fanout: int | None, se
     wanted = met.withColumn("__at", F.explode(positions)).select(
         *frontier.columns, (F.col("start") + F.col("__at")).alias("pos")
     )
-    links = adjacency.links.select("pos", "rel", "far_type", "far")
-    return wanted.join(links, "pos").drop("pos")
+    place = ["pos"]
+    if stored:
+        wanted = materialize(wanted.withColumn("span", span_of("pos", adjacency.span_rows)), "wanted").where("span >= 0")
+        place = ["span", "pos"]
+    links = links.select(*place, "rel", "far_type", "far")
+    return wanted.join(links, place).drop(*place)
+
+
+def _adjacency_of(edges: DataFrame | Adjacency, frontier: DataFrame, fanout: int | None, direction: str) -> Adjacency:
+    """The links of the frontier's nodes: laid out now, from those edges alone, unless they are laid out already."""
+    if isinstance(edges, Adjacency):
+        return edges
+    near, far = ("src", "dst") if direction == "out" else ("dst", "src")
+    nodes = frontier.select(F.col("node_type").alias(f"{near}_type"), F.col("node_id").alias(near)).distinct()
+    mine = edges.join(nodes, [f"{near}_type", near], "left_semi")
+    if fanout is not None:
+        return build_adjacency(mine, direction)
+    names = {f"{near}_type": "near_type", f"{far}_type": "far_type", near: "near", far: "far"}
+    return Adjacency(mine.withColumnsRenamed(names).withColumn("pos", F.lit(0)), mine)
 
 
 def fanout_sample(edges: DataFrame, k: int, seed: int = 42, direction: str = "out") -> DataFrame:
@@ -114,13 +143,13 @@ def khop_edges(
     serves further hops, ``None`` keeps all). The next frontier is a set, but nodes met on an
     earlier hop are expanded again with a fresh draw.
     """
-    adjacency = edges if isinstance(edges, Adjacency) else build_adjacency(edges, direction)
     frontier = seeds.select("seed_type", "seed_id").distinct().select(
         "seed_type", "seed_id", F.col("seed_type").alias("node_type"), F.col("seed_id").alias("node_id")
     )
     hops = []
     for hop in range(num_hops):
         fanout = None if max_neighbors is None else max_neighbors[min(hop, len(max_neighbors) - 1)]
+        adjacency = _adjacency_of(edges, frontier, fanout, direction)
         drawn = draw_links(
             frontier.withColumn("hop", F.lit(hop)), adjacency, fanout, seed, ["seed_type", "seed_id", "hop"]
         )
@@ -154,10 +183,10 @@ def neighbor_blocks(
     first. A node is sampled once per layer however many targets reach it. The nodes of a
     layer are those of the layer above it and the far ends drawn there.
     """
-    adjacency = edges if isinstance(edges, Adjacency) else build_adjacency(edges, direction)
     frontier = targets.select("node_type", "node_id").distinct()
     layers = []
     for layer in range(len(fanouts) - 1, -1, -1):
+        adjacency = _adjacency_of(edges, frontier, fanouts[layer], direction)
         drawn = draw_links(frontier.withColumn("layer", F.lit(layer)), adjacency, fanouts[layer], seed, ["layer"])
         if layer:
             drawn = materialize(drawn, f"layer{layer}")

@@ -78,10 +78,24 @@ class Adjacency(NamedTuple):
     the links of one node and edge type are neighbours in ``pos``. ``heads``: one row
     ``near_type, rel, far_type, near, start, degree`` per node and edge type. A link is thus
     fetched by ``pos`` alone, which no node can make hot.
+
+    A stored adjacency has two more columns, by which its files are kept: ``span`` of the links
+    (``span_rows`` positions each) and ``slot`` of the heads (a hash of the node). Joins on
+    them as well let Spark leave out all files but those of the nodes asked for.
     """
 
     links: DataFrame
     heads: DataFrame
+    span_rows: int | None = None
+    slots: int | None = None
+
+
+def span_of(pos: str | Column, span_rows: int) -> Column:
+    return F.floor((F.col(pos) if isinstance(pos, str) else pos) / span_rows).cast("long")
+
+
+def slot_of(near_type: str, near: str, slots: int) -> Column:
+    return F.pmod(F.xxhash64(near_type, near), F.lit(slots)).cast("long")
 
 
 def build_adjacency(edges: DataFrame, direction: str = "out") -> Adjacency:

@@ -31,25 +31,27 @@ def export_graph(spark: SparkSession, read: TableReader, config: GraphConfig, dt
         edge_types += [e.reverse() for e in config.edge_types]
     id_map = assign_global_ids(nodes, config.node_types)
     store = GraphStore(spark, config.output_path)
-    store.write_nodes(attach_global_id(nodes, id_map), config.node_types)
-    store.write_edges(rewrite_edges(edges, id_map), edge_types)
-    stats = store.get_stats()
-    dims = stats["feature_dims"]
-    # One row per type each.
-    node_sizes = id_ranges(id_map).join(
-        spark.createDataFrame(
-            [(t, n, dims.get(t)) for t, n in stats["node_types"].items()],
-            "node_type string, num_nodes long, feature_dim int",
-        ),
-        "node_type",
-    )
-    edge_sizes = spark.createDataFrame(
-        [(*e, stats["edge_types"][e.name]) for e in edge_types],
-        "src_type string, rel string, dst_type string, num_edges long",
-    )
-    store.write_metadata(
-        describe_graph(node_sizes, edge_sizes, config.num_partitions, config.graph_name, config.num_classes)
-    )
+    # Nodes, edges and their description become visible together.
+    with store.snapshot():
+        store.write_nodes(attach_global_id(nodes, id_map), config.node_types)
+        store.write_edges(rewrite_edges(edges, id_map), edge_types)
+        stats = store.get_stats()
+        dims = stats["feature_dims"]
+        # One row per type each.
+        node_sizes = id_ranges(id_map).join(
+            spark.createDataFrame(
+                [(t, n, dims.get(t)) for t, n in stats["node_types"].items()],
+                "node_type string, num_nodes long, feature_dim int",
+            ),
+            "node_type",
+        )
+        edge_sizes = spark.createDataFrame(
+            [(*e, stats["edge_types"][e.name]) for e in edge_types],
+            "src_type string, rel string, dst_type string, num_edges long",
+        )
+        store.write_metadata(
+            describe_graph(node_sizes, edge_sizes, config.num_partitions, config.graph_name, config.num_classes)
+        )
     return stats
 
 
@@ -63,7 +65,8 @@ def partition_graph(
 ) -> dict[str, DataFrame]:
     """Partition a stored graph, write it by partition, and report audit and placement."""
     tune(store.spark)
-    nodes, edges = store.read_nodes(), store.read_edges()
+    graph = store.pinned()
+    nodes, edges = graph.read_nodes(), graph.read_edges()
     if method == "balanced":
         owner = materialize(P.balanced_map(edges, nodes, num_partitions), "owner")
         placed_nodes = nodes.join(owner.drop("weight"), ["node_type", "node_id"])

@@ -39,6 +39,8 @@ def tune(spark: SparkSession) -> SparkSession:
         # Join through a hash table instead of a sort where, at run time, every partition of
         # one side is found to be at most this large.
         "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+        # Ask for the partitions that a join needs also where the asking side is not broadcast.
+        "spark.sql.optimizer.dynamicPartitionPruning.reuseBroadcastOnly": "false",
     }.items():
         spark.conf.set(key, value)
     return spark

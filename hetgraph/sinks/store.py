@@ -2,65 +2,159 @@
 
 ::
 
-    <root>/node_data/node_type=<t>/*.parquet        node_id, feat, label
-    <root>/edge_data/etype=<s__r__d>/*.parquet      src_id, dst_id, weight
-    <root>/split_data/node_type=<t>/split=<s>/      node_id
-    <root>/metadata/*.json                          one line per export, the latest counts
-    <root>/parts/{nodes,edges}/partition_id=<p>/    partitioned graph
-
-Types are directories, so a reader of one type or one partition opens only its files.
+    <root>/manifests/<n>.json                                published states, see ``manifest``
+    <root>/node_data/version=<v>/node_type=<t>/              node_id, feat, label
+    <root>/edge_data/version=<v>/etype=<s__r__d>/            src_id, dst_id, weight
+    <root>/split_data/version=<v>/node_type=<t>/split=<s>/   node_id
+    <root>/metadata/version=<v>/                             one line of JSON
+    <root>/parts/{nodes,edges}/version=<v>/partition_id=<p>/ partitioned graph
+    <root>/adjacency/{in,out}/{links,heads}/version=<v>/     edges by their near end
+
+Every write makes new files. Readers see what the newest manifest names: a write that fails, or an export that fails
+between its nodes and its edges, leaves the published state as it was. Types are directories, so a reader
+of one type or one partition opens only its files.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager, nullcontext
+from functools import reduce
+from operator import or_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hetgraph.operators.partition import partition_sizes
+from hetgraph.operators.structure import Adjacency, build_adjacency, slot_of, span_of
 from hetgraph.schema import EdgeType, etype_name
+from hetgraph.sinks.manifest import Manifests
 
 STORED_NODES = "node_id long, feat array<float>, label int, node_type string"
 STORED_EDGES = "src_id long, dst_id long, weight float, etype string"
 
 
 class GraphStore:
-    def __init__(self, spark: SparkSession, root: str, num_chunks: int | None = None, max_rows: int = 10_000_000):
-        """``num_chunks`` fixes the number of write tasks; without it Spark chooses by size."""
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        num_chunks: int | None = None,
+        max_rows: int = 10_000_000,
+        state: int | None = None,
+    ):
+        """``num_chunks`` fixes the number of write tasks; without it Spark chooses by size.
+
+        Reads follow the newest state, or always the one numbered ``state``.
+        """
         self.spark = spark
         self.root = root.rstrip("/")
         self.num_chunks = num_chunks
         self.max_rows = max_rows
+        self.state = state
+        self.manifests = Manifests(spark, self.root)
         self._stats: dict = {"node_types": {}, "edge_types": {}, "feature_dims": {}}
+        self._pending: dict[str, list[dict]] | None = None
+
+    # --- states ---------------------------------------------------------------------------
+
+    @contextmanager
+    def snapshot(self, keep: bool = False) -> Iterator[GraphStore]:
+        """What is written inside becomes visible together at the end, or not at all.
+
+        The new state has nothing but what is written inside; with ``keep`` it has the parts of the state before, too.
+        Raises ``Conflict`` if another writer has published in the meantime.
+        """
+        if self._pending is not None:
+            raise RuntimeError("a snapshot is open already")
+        number, tables = self.manifests.latest()
+        self._pending = dict(tables) if keep else {}
+        try:
+            yield self
+            self.manifests.publish(number + 1, self._pending)
+        finally:
+            self._pending = None
+
+    def _together(self):
+        """The open snapshot, or one of its own that keeps the rest."""
+        return nullcontext() if self._pending is not None else self.snapshot(keep=True)
+
+    def _name(self, table: str, new: list[dict], replaced: Sequence[dict]) -> None:
+        """Enter the parts ``new`` of a table, in place of the parts ``replaced``."""
+        if self._pending is None:
+            with self.snapshot(keep=True):
+                self._name(table, new, replaced)
+            return
+        same = lambda part, other: all(part.get(k) == v for k, v in other.items())
+        old = [p for p in self._pending.get(table, []) if not any(same(p, r) for r in replaced)]
+        self._pending[table] = old + new
+
+    def pinned(self) -> GraphStore:
+        """A store whose reads stay with the state that is the newest one now."""
+        return GraphStore(self.spark, self.root, self.num_chunks, self.max_rows, self.manifests.latest()[0])
+
+    def vacuum(self, keep: int = 2, older_than_hours: float = 24.0) -> list[str]:
+        """Delete versions that the last ``keep`` states do not name, and the other manifests. Returns their folders.
+
+        Younger folders stay, as they may belong to a snapshot that is still open.
+        """
+        numbers = self.manifests.numbers()
+        used = {
+            f"{table}/version={part['version']}"
+            for n in numbers[-keep:]
+            for table, parts in self.manifests.read(n).items()
+            for part in parts
+        }
+        before, gone = (time.time() - 3600 * older_than_hours) * 1000, []
+        tables = ["node_data", "edge_data", "split_data", "metadata", "parts/nodes", "parts/edges"]
+        tables += [f"adjacency/{d}/{t}" for d in ("in", "out") for t in ("links", "heads")]
+        for table in tables:
+            for name, changed in self.manifests.list(f"{self.root}/{table}"):
+                if f"{table}/{name}" not in used and changed <= before:
+                    self.manifests.delete(f"{self.root}/{table}/{name}")
+                    gone.append(f"{table}/{name}")
+        for n in numbers[:-keep]:
+            self.manifests.delete(f"{self.manifests.folder}/{n:010d}.json")
+        return gone
 
     # --- writing --------------------------------------------------------------------------
 
-    def _write(self, df: DataFrame, name: str, key: str, metrics: Sequence[Column]) -> dict:
-        """Replace the types of ``df``: what is observed is what the write's own tasks have written.
+    def _write(self, df: DataFrame, name: str, parts: Sequence[dict[str, str]], metrics: dict[str, Column]) -> tuple[list[int], dict]:
+        """Replace ``parts`` of a table; rows per part, and what was observed besides.
 
         Partitions are evened out at run time, whatever type or node dominates, to at least
         ``num_chunks`` files; large tables get more files and not larger ones. Counting after
         that exchange keeps a stage that runs again from counting twice.
         """
-        seen = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        version, keys = uuid.uuid4().hex, list(parts[0])
+        counts = [
+            F.count_if(reduce(lambda a, b: a & b, [F.col(k) == v for k, v in p.items()])).alias(f"__rows{i}")
+            for i, p in enumerate(parts)
+        ]
+        seen = Observation(f"{name}-{version[:8]}")
         even = df.hint("rebalance") if self.num_chunks is None else df.repartition(self.num_chunks)
         (
-            even.observe(seen, *metrics)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("maxRecordsPerFile", self.max_rows)
-            .partitionBy(*key.split(","))
-            .parquet(f"{self.root}/{name}")
+            even.observe(seen, *counts, *[c.alias(m) for m, c in metrics.items()])
+            .write.option("maxRecordsPerFile", self.max_rows)
+            .partitionBy(*keys)
+            .parquet(f"{self.root}/{name}/version={version}")
         )
-        return seen.get
-
-    def _drop(self, folder: str) -> None:
-        """Remove what an earlier export wrote for a type that has no rows now."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        found = seen.get
+        rows = [found[f"__rows{i}"] for i in range(len(parts))]
+        self._name(name, [{**p, "version": version} for p, n in zip(parts, rows) if n], parts)
+        return rows, found
+
+    def _write_whole(self, df: DataFrame, name: str, *keys: str, **settings) -> DataFrame:
+        """Replace a table that is not kept by type."""
+        version = uuid.uuid4().hex
+        df.write.partitionBy(*keys).parquet(f"{self.root}/{name}/version={version}")
+        part = {**settings, "schema": df.schema.json(), "version": version}
+        self._name(name, [part], [{}])
+        return self._open(name, part)
 
     def write_nodes(
         self,
@@ -80,21 +174,16 @@ class GraphStore:
         if label_col in nodes.columns:
             columns.append(F.col(label_col).alias("label"))
         out = nodes.where(F.col("node_type").isin(list(node_types))).select(*columns, "node_type")
-        metrics = []
-        for i, t in enumerate(node_types):
-            mine = F.col("node_type") == t
-            metrics.append(F.count_if(mine).alias(f"rows{i}"))
-            if "feat" in out.columns:
-                metrics.append(F.max(F.when(mine, F.size("feat"))).alias(f"dim{i}"))
-        found = self._write(out, "node_data", "node_type", metrics)
-        counts = {t: found[f"rows{i}"] for i, t in enumerate(node_types)}
+        dims = {}
+        if "feat" in out.columns:
+            dims = {f"dim{i}": F.max(F.when(F.col("node_type") == t, F.size("feat"))) for i, t in enumerate(node_types)}
+        rows, found = self._write(out, "node_data", [{"node_type": t} for t in node_types], dims)
+        counts = dict(zip(node_types, rows))
         self._stats["node_types"].update(counts)
         for i, t in enumerate(node_types):
             self._stats["feature_dims"].pop(t, None)
             if found.get(f"dim{i}"):
                 self._stats["feature_dims"][t] = found[f"dim{i}"]
-            if not counts[t]:
-                self._drop(f"node_data/node_type={t}")
         return counts
 
     def write_edges(
@@ -111,64 +200,88 @@ class GraphStore:
             columns.append(F.col(weight_col).alias("weight"))
         names = [EdgeType(*e).name for e in edge_types]
         out = edges.select(*columns, etype_name().alias("etype")).where(F.col("etype").isin(names))
-        metrics = [F.count_if(F.col("etype") == n).alias(f"rows{i}") for i, n in enumerate(names)]
-        found = self._write(out, "edge_data", "etype", metrics)
-        counts = {n: found[f"rows{i}"] for i, n in enumerate(names)}
+        rows, _ = self._write(out, "edge_data", [{"etype": n} for n in names], {})
+        counts = dict(zip(names, rows))
         self._stats["edge_types"].update(counts)
-        for n in names:
-            if not counts[n]:
-                self._drop(f"edge_data/etype={n}")
         return counts
 
     def write_split(self, masks: DataFrame, split: str) -> int:
         """Write the ids whose ``<split>_mask`` is true, away from the node files."""
         rows = mask_index(masks, split).withColumn("split", F.lit(split))
         types = [r["node_type"] for r in masks.select("node_type").distinct().collect()]
-        metrics = [F.count_if(F.col("node_type") == t).alias(f"rows{i}") for i, t in enumerate(types)]
         if not types:
             return 0
-        found = self._write(rows, "split_data", "node_type,split", metrics)
-        for i, t in enumerate(types):
-            if not found[f"rows{i}"]:
-                self._drop(f"split_data/node_type={t}/split={split}")
-        return sum(found[f"rows{i}"] for i in range(len(types)))
+        return sum(self._write(rows, "split_data", [{"node_type": t, "split": split} for t in types], {})[0])
 
     def get_stats(self) -> dict:
         nodes, edges = self._stats["node_types"], self._stats["edge_types"]
         return {**self._stats, "total_nodes": sum(nodes.values()), "total_edges": sum(edges.values())}
 
     def write_metadata(self, metadata: DataFrame) -> None:
-        """Add one description of the graph. Nothing is replaced, so a failed job keeps the old one."""
-        metadata.withColumn("written_at", F.current_timestamp()).coalesce(1).write.mode("append").json(
-            f"{self.root}/metadata"
+        """The description of the graph."""
+        version = uuid.uuid4().hex
+        metadata.withColumn("written_at", F.current_timestamp()).coalesce(1).write.json(
+            f"{self.root}/metadata/version={version}"
         )
+        self._name("metadata", [{"version": version}], [{}])
 
     def write_partitions(self, nodes: DataFrame, edges: DataFrame) -> None:
         """Write nodes and edges that carry ``partition_id``: one job each for all partitions.
 
-        The rows of a partition are brought together, and a partition too large for one task
-        is split over several files at run time.
+        Other columns, such as feature vectors of nodes or edges, go along. The rows of a partition are brought together,
+        and a partition too large for one task is split over several files at run time.
         """
-        for name, df, kind in (("nodes", nodes, "node_type"), ("edges", edges, "etype")):
-            if kind == "etype" and kind not in df.columns:
-                df = df.withColumn("etype", etype_name()).drop("src_type", "rel", "dst_type")
-            (
-                df.hint("rebalance", F.col("partition_id"))
-                .write.mode("overwrite")
-                .partitionBy("partition_id", kind)
-                .parquet(f"{self.root}/parts/{name}")
+        with self._together():
+            for name, df, kind in (("nodes", nodes, "node_type"), ("edges", edges, "etype")):
+                if kind == "etype" and kind not in df.columns:
+                    df = df.withColumn("etype", etype_name()).drop("src_type", "rel", "dst_type")
+                self._write_whole(df.hint("rebalance", F.col("partition_id")), f"parts/{name}", "partition_id", kind)
+
+    def write_adjacency(self, edges: DataFrame, direction: str = "out", span_rows: int = 4_000_000) -> None:
+        """Store the edges by their near end, for reads of single nodes.
+
+        The links are kept in the order of their dense position, in folders of ``span_rows`` positions; where a node's links
+        begin and how many there are stands in a second table, in as many folders by hash of the node.
+        """
+        links = build_adjacency(edges, direction).links
+        with self._together():
+            spans = links.withColumn("span", span_of("pos", span_rows))
+            stored = self._write_whole(spans, f"adjacency/{direction}/links", "span", span_rows=span_rows)
+            slots = (stored.agg(F.max("span")).first()[0] or 0) + 1
+            heads = stored.groupBy("near", "near_type", "rel", "far_type").agg(
+                F.min("pos").alias("start"), F.count(F.lit(1)).alias("degree")
+            )
+            heads = heads.withColumn("slot", slot_of("near_type", "near", slots))
+            self._write_whole(
+                heads.hint("rebalance", F.col("slot")), f"adjacency/{direction}/heads", "slot", slots=slots
             )
 
     # --- reading --------------------------------------------------------------------------
 
+    def tables(self) -> dict[str, list[dict]]:
+        """The state that is read: for each table its parts and their versions."""
+        return self.manifests.latest()[1] if self.state is None else self.manifests.read(self.state) if self.state else {}
+
     def _read(self, name: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
-        except AnalysisException as e:
-            # Not written: an empty table of that shape. Any other fault is one.
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        parts = self.tables().get(name, [])
+        if not parts:
+            # Not written: an empty table of that shape.
             return self.spark.createDataFrame([], schema)
+        folders = sorted({f"{self.root}/{name}/version={p['version']}" for p in parts})
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}").parquet(*folders)
+        # A version may hold parts that later ones have replaced. Only partition columns are asked for.
+        named = [reduce(lambda a, b: a & b, [F.col(k) == v for k, v in p.items()]) for p in parts]
+        return rows.where(reduce(or_, named))
+
+    def _read_whole(self, name: str) -> tuple[DataFrame, dict]:
+        parts = self.tables().get(name)
+        if not parts:
+            raise FileNotFoundError(f"{self.root} has no {name}")
+        return self._open(name, parts[0]), parts[0]
+
+    def _open(self, name: str, part: dict) -> DataFrame:
+        schema = StructType.fromJson(json.loads(part["schema"]))
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/version={part['version']}")
 
     def read_nodes(self) -> DataFrame:
         """``node_type, node_id, feature_vec, label``; columns that were not written are null."""
@@ -193,9 +306,10 @@ class GraphStore:
 
     def read_partition(self, partition_id: int | None = None) -> tuple[DataFrame, DataFrame]:
         """Nodes and edges of one partition, or of all; only its directories are opened."""
+        store = self if self.state is not None else self.pinned()
         out = []
         for name in ("nodes", "edges"):
-            df = self.spark.read.parquet(f"{self.root}/parts/{name}")
+            df = store._read_whole(f"parts/{name}")[0]
             if name == "edges":
                 parts = F.split("etype", "__")
                 df = df.withColumns(
@@ -208,15 +322,20 @@ class GraphStore:
         """Rows per partition as found in the written files."""
         return partition_sizes(*self.read_partition())
 
+    def read_adjacency(self, direction: str = "out") -> Adjacency:
+        """What ``write_adjacency`` stored. Reads of few nodes open only the folders that hold their rows."""
+        store = self if self.state is not None else self.pinned()
+        links, kept = store._read_whole(f"adjacency/{direction}/links")
+        heads, spread = store._read_whole(f"adjacency/{direction}/heads")
+        return Adjacency(links, heads, kept["span_rows"], spread["slots"])
+
     def read_metadata(self) -> DataFrame:
-        """Latest description."""
-        return (
-            self.spark.read.schema(f"{METADATA_SCHEMA}, written_at timestamp")
-            .json(f"{self.root}/metadata")
-            .groupBy()
-            .agg(F.max_by(F.struct("*"), "written_at").alias("m"))
-            .select("m.*")
-        )
+        """The description; no row before there is one."""
+        schema = f"{METADATA_SCHEMA}, written_at timestamp"
+        parts = self.tables().get("metadata")
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).json(f"{self.root}/metadata/version={parts[0]['version']}")
 
 
 METADATA_SCHEMA = (
