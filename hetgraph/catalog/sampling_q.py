@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from hetgraph.catalog.registry import query, r4
@@ -11,6 +13,8 @@ from hetgraph.operators import ids as I
 from hetgraph.operators import sampling as S
 from hetgraph.operators.features import get_feature, get_features
 from hetgraph.operators.serving import route_partition
+from hetgraph.runtime import checkpoint_root
+from hetgraph.sinks import feature_tables
 
 MASKS = ["train_mask", "val_mask", "test_mask"]
 
@@ -204,6 +208,49 @@ def _(t):
     return S.negative_edges(I.rewrite_edges(edges, ids), I.id_ranges(ids), 2, 42)
 
 
+def _exact_sql(edges: str, spans: str, k: int) -> str:
+    """The complement by rank: an as-of join finds how many neighbours lie before a rank."""
+    key = "src_type, rel, dst_type, src"
+    return f"""+known AS MATERIALIZED (SELECT DISTINCT src_type, rel, dst_type, src, dst FROM {edges}),
+    spans AS ({spans}),
+    n AS (SELECT {key}, dst - start_id AS d, row_number() OVER (PARTITION BY {key} ORDER BY dst) - 1 AS j
+      FROM known JOIN spans USING (dst_type)),
+    gaps AS MATERIALIZED (SELECT {key}, d - j AS gap, max(j) + 1 AS below FROM n GROUP BY ALL),
+    degrees AS (SELECT {key}, count(*) AS degree FROM n GROUP BY ALL),
+    draws AS MATERIALIZED (SELECT {key}, dst, start_id, unnest({draw('(num_ids - degree)', k, 42, 'src_type', 'rel', 'dst_type', 'src', 'dst')}) AS r
+      FROM known JOIN spans USING (dst_type) JOIN degrees USING ({key}))
+    SELECT d.src_type, d.rel, d.dst_type, d.src, d.dst, (start_id + r + coalesce(below, 0))::BIGINT AS negative
+    FROM draws d ASOF LEFT JOIN gaps g ON d.src_type = g.src_type AND d.rel = g.rel AND d.dst_type = g.dst_type
+      AND d.src = g.src AND d.r >= g.gap"""
+
+
+@query(
+    "negative_exact",
+    oracle(["gedges"], _exact_sql("gedges", "SELECT node_type AS dst_type, min(global_id) AS start_id, count(*) AS num_ids FROM gid GROUP BY 1", 2)),
+)
+def _(t):
+    nodes, edges = t.graph()
+    ids = I.assign_global_ids(nodes, TYPES)
+    return S.exact_negatives(I.rewrite_edges(edges, ids), I.id_ranges(ids), 2, 42)
+
+
+_DENSE = """(SELECT 'part' AS src_type, 'sold_in' AS rel, 'lot' AS dst_type, l_partkey AS src, l_quantity::BIGINT AS dst FROM lineitem
+  UNION ALL SELECT 'supplier', 'sold_in', 'lot', l_suppkey, l_quantity::BIGINT FROM lineitem)"""
+
+
+@query("negative_dense", "WITH " + _exact_sql(_DENSE, "SELECT 'lot' AS dst_type, 1 AS start_id, 50 AS num_ids", 4)[1:])
+def _(t):
+    """Parts and suppliers linked to the sizes of lots they were sold in: few candidates are left, or none."""
+    line = t.raw("lineitem")
+    sold = [
+        line.select(F.lit(kind).alias("src_type"), F.lit("sold_in").alias("rel"), F.lit("lot").alias("dst_type"),
+                    F.col(key).alias("src"), F.col("l_quantity").cast("long").alias("dst"))
+        for kind, key in (("part", "l_partkey"), ("supplier", "l_suppkey"))
+    ]
+    lots = t.spark.createDataFrame([("lot", 1, 50)], "node_type string, start_id long, num_ids long")
+    return S.exact_negatives(sold[0].unionByName(sold[1]), lots, 4, 42)
+
+
 @query(
     "even_split",
     oracle(
@@ -257,6 +304,22 @@ def _(t):
     return vec_digest(get_features(requests(t), t.graph()[0]), "event_id", "node_type", "node_id")
 
 
+@query(
+    "feature_lookup_bucketed",
+    oracle(
+        ["requests", "nodes"],
+        f"""SELECT event_id, r.node_type, r.node_id, coalesce(len(feature_vec), 256) AS dims,
+        coalesce({q4('list_sum(feature_vec::DOUBLE[])')}, 0.0) AS vec_sum
+        FROM requests r LEFT JOIN nodes n ON n.node_type = r.node_type AND n.node_id = r.node_id""",
+    ),
+)
+def _(t):
+    path = f"{checkpoint_root(t.spark)}/hetgraph/features-{uuid.uuid4().hex}"
+    feature_tables.write_features(t.graph()[0], path, 16)
+    found = feature_tables.lookup(requests(t), feature_tables.open_features(t.spark, path, 16))
+    return vec_digest(found, "event_id", "node_type", "node_id")
+
+
 @query(
     "feature_get",
     oracle(

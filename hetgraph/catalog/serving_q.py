@@ -16,7 +16,7 @@ from hetgraph.operators import serving as SV
 from hetgraph.operators.layers import SageLayer
 from hetgraph.runtime import checkpoint_root
 from hetgraph.schema import EdgeType
-from hetgraph.streaming import feature_log, scoring
+from hetgraph.streaming import feature_log, feature_state, scoring
 from hetgraph.catalog.tables_q import ETYPES
 
 NOW = "2024-01-30 00:00:00"
@@ -83,6 +83,19 @@ def _(t):
     return _state(feature_log.compact_log(feature_log.read_log(t.spark, path), scratch(t, "compact"), NOW))
 
 
+@query(
+    "feature_state",
+    """SELECT node_type, node_id, value, event_id FROM (SELECT 'user' AS node_type, user_id AS node_id,
+      arg_max(props, (ts, event_id)) AS value, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id,
+      arg_max(event_type, (ts, event_id)) AS kind FROM events GROUP BY user_id)
+    WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 1 DAY AND kind <> 'error'""",
+)
+def _(t):
+    state = scratch(t, "state")
+    feature_state.keep_state(write_log(stream_of(t, "events")), scratch(t, "changes"), state).awaitTermination()
+    return feature_state.read_state(t.spark, state).select("node_type", "node_id", "value", "event_id")
+
+
 # --- requests -----------------------------------------------------------------------------
 
 
@@ -186,6 +199,6 @@ def _(t):
 @query("score_stream", oracle(["x"], _JSON_SQL))
 def _(t):
     path = scratch(t, "responses")
-    answers = scoring.score_requests(bodies(stream_of(t, "events")), t.graph()[0], MLP)
-    scoring.write_responses(answers, path, scratch(t, "responses-state")).awaitTermination()
+    requests = bodies(stream_of(t, "events"))
+    scoring.score_stream(requests, t.graph()[0], MLP, path, scratch(t, "responses-state")).awaitTermination()
     return _read_back(t.spark.read.schema("event_id long, response string").parquet(path))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hetgraph.functions.hashing import draw_positions, hash52, uniform
-from hetgraph.operators.ids import number_copies, with_row_index
+from hetgraph.operators.ids import number_copies, with_row_index, with_running_total
 from hetgraph.operators.structure import Adjacency, build_adjacency, slot_of, span_of
 from hetgraph.runtime import materialize
 
@@ -285,3 +285,51 @@ def negative_edges(edges: DataFrame, ranges: DataFrame, k: int = 1, seed: int =
         )
     )
     return draws.join(known, ["src_type", "rel", "dst_type", "src", "dst"], "left_anti")
+
+
+def exact_negatives(edges: DataFrame, ranges: DataFrame, k: int = 1, seed: int = 42) -> DataFrame:
+    """For every distinct edge ``min(k, candidates)`` different edges that are not in the graph.
+
+    ``edges`` and ``ranges`` as for ``negative_edges``. Candidates of an edge are the ids of the target type that its
+    source has no link to under its relation. Nothing is drawn and thrown away, and no candidates are listed: of the
+    ``c`` candidates of a source, ``k`` ranks out of ``0 .. c-1`` are drawn (Floyd's method), and the one of rank r is
+    r plus the number of neighbours up to it. With the neighbours numbered ``d_0 < d_1 < ...`` from the start of the range
+    these are the ones with ``d_j - j <= r``. Gaps ``d_j - j`` and ranks are put into one order by source, and the count
+    is a running total, so a source that has links to a third of all ids is spread over the sort's partitions like
+    any other. Ends outside the range of their type are no neighbours. Edges of a type without a range have no candidates.
+    """
+    triple = ["src_type", "rel", "dst_type"]
+    known = materialize(edges.select(*triple, "src", "dst").where("src IS NOT NULL").distinct(), "known")
+    # One row per node type.
+    spans = F.broadcast(ranges.select(F.col("node_type").alias("dst_type"), "start_id", "num_ids"))
+    inside = known.join(spans, "dst_type").where("dst >= start_id AND dst < start_id + num_ids")
+    links = with_row_index(inside.select(*triple, "src", "dst", "start_id"), ["src", *triple, "dst"], "pos")
+    links = materialize(links, "neighbours")
+    heads = links.groupBy(*triple, "src").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("degree"))
+    heads = materialize(heads, "sources")
+
+    none = F.lit(0).cast("long")
+    met = known.join(spans, "dst_type").join(heads, [*triple, "src"], "left")
+    candidates = F.col("num_ids") - F.coalesce("degree", none)
+    ranks = draw_positions(candidates, k, seed, *[F.col(c) for c in triple], F.col("src"), F.col("dst"))
+    drawn = met.select(
+        *triple, "src", F.col("dst").alias("of"), "start_id", "first", F.explode(ranks).alias("at"), F.lit(1).alias("kind")
+    )
+    gaps = links.join(heads, [*triple, "src"]).select(
+        *triple,
+        "src",
+        F.col("dst").alias("of"),
+        "start_id",
+        "first",
+        (F.col("dst") - F.col("start_id") - (F.col("pos") - F.col("first"))).alias("at"),
+        F.lit(0).alias("kind"),
+    )
+    both = gaps.unionByName(drawn).withColumn("__gap", (F.col("kind") == 0).cast("long"))
+    # Equal gaps, as a run of neighbours has them, and equal ranks are told apart by the end of their edge.
+    counted, _ = with_running_total(both, ["src", *triple, "at", "kind", "of"], "__gap", "__before")
+    return counted.where("kind = 1").select(
+        *triple,
+        "src",
+        F.col("of").alias("dst"),
+        (F.col("start_id") + F.col("at") + F.coalesce(F.col("__before") - F.col("first"), none)).alias("negative"),
+    )

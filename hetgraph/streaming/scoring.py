@@ -1,4 +1,9 @@
-"""Streaming request scoring: parse, look up, score, answer as JSON. Stateless."""
+"""Streaming request scoring: parse, look up, score, answer as JSON. Stateless.
+
+``score_stream`` runs each micro-batch as a batch job, so that the features are reduced to the batch's keys before
+they are shuffled, and writes the answers of a batch to a folder of its own, which a batch that runs again
+replaces.
+"""
 
 from __future__ import annotations
 
@@ -32,3 +37,29 @@ def write_responses(responses: DataFrame, path: str, checkpoint: str) -> Streami
         .trigger(availableNow=True)
         .start()
     )
+
+
+def score_batch(requests: DataFrame, batch_id: int, features: DataFrame, chain: list[Linear], path: str) -> None:
+    """Answers of one micro-batch, in ``path/batch=<id>``."""
+    answers = score_requests(requests, features, chain)
+    answers.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def score_stream(
+    requests: DataFrame, features: DataFrame, chain: list[Linear], path: str, checkpoint: str
+) -> StreamingQuery:
+    """Score all requests of a stream that are available now and end.
+
+    Spark gives a batch that has to run again the same rows and the same id: its answers replace those of
+    the first attempt, whole, and every request is answered once.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        score_batch(batch, batch_id, features, chain, path)
+
+    return (
+        requests.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
