@@ -56,15 +56,19 @@ class Tree(NamedTuple):
                     todo.append((child, below))
         return out
 
-    def visits(self, q: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves of one query, best bin first."""
+    def visits(self, q: np.ndarray, most: int, rows: np.ndarray | None = None, wanted: int = 0) -> list[int]:
+        """The first ``most`` leaves of one query, best bin first, and further ones until they hold ``wanted`` rows.
+
+        ``rows`` says how many rows each leaf holds.
+        """
         if self.leaves <= 1:
             return [0][:most]
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < most:
+        queue, out, met = [(0.0, 0)], [], 0
+        while queue and (len(out) < most or met < wanted):
             _, node = heapq.heappop(queue)
             if node < 0:
                 out.append(-1 - node)
+                met += int(rows[out[-1]]) if rows is not None else 0
                 continue
             d = ((self.centres[node] - q) ** 2).sum(axis=1)
             for item in zip(d.tolist(), self.children[node]):
@@ -214,10 +218,10 @@ def _placed(tree: Tree, longest: float):
     return run
 
 
-def _visited(tree: Tree, most: int):
+def _visited(tree: Tree, most: int, rows: np.ndarray, wanted: int):
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
-            found = [np.array(tree.visits(one, most)) for one in _direction(_matrix(b["embedding"]))]
+            found = [np.array(tree.visits(one, most, rows, wanted)) for one in _direction(_matrix(b["embedding"]))]
             yield {"vec_id": b["vec_id"], "embedding": b["embedding"], "leaves": list_array(found, "int64")}
 
     return run
@@ -277,8 +281,7 @@ def search(table: DataFrame, queries: str, k: int = 20, recall: float = RECALL)
     sample = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").collect()
     tree = grow(_even_length(np.array([r["embedding"] for r in sample]), longest), size["n"])
     del sample
-    # With few candidates every leaf is visited, so that all of them come.
-    most = tree.leaves if size["n"] <= 10 * k else calibrate(data, asked, tree, longest, k, recall)
+    most = calibrate(data, asked, tree, longest, k, recall)
 
     schema = "vec_id long, embedding array<double>"
     placed = arrow_map(data, _placed(tree, longest), f"{schema}, leaf long")
@@ -290,7 +293,12 @@ def search(table: DataFrame, queries: str, k: int = 20, recall: float = RECALL)
         .agg(F.collect_list(F.struct("vec_id", "embedding")).alias("rows")),
         "leaves",
     )
-    visits = arrow_map(asked, _visited(tree, most), f"{schema}, leaves array<long>")
+    # One number per leaf of a tree whose size is bounded by its sample.
+    held = np.zeros(tree.leaves, np.int64)
+    for r in counts.collect():
+        held[r["leaf"]] = r["n"]
+    # A query's own row may be among those of its leaves.
+    visits = arrow_map(asked, _visited(tree, most, held, k + 1), f"{schema}, leaves array<long>")
     visits = materialize(visits, "visits")
     walk = visits.select("vec_id", "embedding", F.posexplode("leaves").alias("turn", "leaf"))
 

@@ -36,7 +36,7 @@ def recall(got, want):
 
 
 def test_recall_on_a_table(spark):
-    table = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     want = brute([(r.vec_id, r.embedding) for r in table.collect()], 20, 20)
     got = of(A.search(table, "vec_id % 20 = 0"))
     assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
@@ -47,6 +47,20 @@ def test_recall_on_a_table(spark):
         assert all(exact[q].get(v, s) == s for v, s in found)
 
 
+def test_no_query_comes_back_short(spark):
+    """Tight clusters, so that many leaves hold fewer rows than a query wants."""
+    rng = np.random.default_rng(2)
+    middle = rng.normal(size=(400, 16))
+    x = np.repeat(middle, 25, axis=0) + rng.normal(size=(10_000, 16)) * 0.01
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    rows = [(i, v) for i, v in enumerate(x[rng.permutation(10_000)].tolist())]
+    assert A.grow(A._even_length(x, 1 + 1e-9), 10_000).leaves > 100
+    got = of(A.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 20 = 0"))
+    want = brute(rows, 20, 20)
+    assert set(got) == set(want) and {len(v) for v in got.values()} == {20}
+    assert recall(got, want) >= 0.9
+
+
 def test_ties_and_odd_rows(spark):
     rng = np.random.default_rng(0)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(600)]
