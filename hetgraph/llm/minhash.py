@@ -39,8 +39,8 @@ BANDS, ROWS = 32, 5
 #: Candidates are verified unless their sketches agree so seldom that a pair at the wanted similarity does so with
 #: at most this probability: well below that of sharing no band.
 LOSS = 1e-8
-#: So many classes are compared with so many others at a time.
-BLOCK = 128
+#: So many classes, or so many bytes of their sets, are compared with as many others at a time.
+BLOCK, BLOCK_BYTES = 128, 8_000_000
 #: Rounds of single comparisons go on while more than this share of them finds a link.
 WORTH = 0.25
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -221,16 +221,20 @@ def _across(shared: DataFrame, groups: DataFrame, reps: DataFrame, sets: DataFra
     full = materialize(nodes.join(reps.select("node", "marks"), "node").join(sets, "node").dropDuplicates(["node"]), "members")
     item = F.struct("node", "component", "marks", "shingles")
     hosting = visits.select(F.col("host").alias("component")).distinct()
-    sizes = nodes.groupBy("component").agg(F.count("*").alias("n"))
+    # As many blocks as the members' number or the bytes of their sets ask for.
+    blocks_of = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.length("shingles")) / BLOCK_BYTES)).alias("n")
+    sizes = full.groupBy("component").agg(blocks_of)
+    # Dealt by host and block: the members of one component may be any share of all rows.
     hosts = (
         full.join(hosting.join(sizes, "component"), "component")
-        .groupBy(F.col("component").alias("host"), F.expr(f"pmod(xxhash64(node), ceil(n / {BLOCK}))").alias("hb"))
-        .agg(F.collect_list(item).alias("hosts"))
-    )
+        .withColumns({"host": F.col("component"), "hb": F.expr("pmod(xxhash64(node), n)")}).repartition("host", "hb")
+        .groupBy("host", "hb").agg(F.collect_list(item).alias("hosts"))
+    )
+    visiting = full.join(visits, "node")
     guests = materialize(
-        full.join(visits, "node").join(visits.groupBy("host").agg(F.count("*").alias("n")), "host")
-        .groupBy("host", F.expr(f"pmod(xxhash64(node), ceil(n / {BLOCK}))").alias("gb"))
-        .agg(F.collect_list(item).alias("guests")),
+        visiting.join(visiting.groupBy("host").agg(blocks_of), "host")
+        .withColumn("gb", F.expr("pmod(xxhash64(node), n)")).repartition("host", "gb")
+        .groupBy("host", "gb").agg(F.collect_list(item).alias("guests")),
         "guest_blocks",
     )
     others = guests.select("host", F.col("gb").alias("hb"), F.col("guests").alias("hosts"))
