@@ -5,10 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+#: Lists that are told what is written while they are open, see ``recorded``.
+_records: list[list[str]] = []
 
 
 def build_session(name: str = "hetgraph", cpus: int | str = "*", shuffle: int = 8, **conf) -> SparkSession:
@@ -74,11 +78,28 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/hetgraph/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    for paths in _records:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of the tables that are materialized inside, for ``drop_tables`` when their readers are done."""
+    paths: list[str] = []
+    _records.append(paths)
+    try:
+        yield paths
+    finally:
+        _records[:] = [r for r in _records if r is not paths]
+
+
+def drop_tables(spark: SparkSession, paths: Iterable[str]) -> None:
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_intermediates(spark: SparkSession) -> None:
-    """Delete the tables this application has materialized. Call it when their readers are done."""
-    root = f"{checkpoint_root(spark)}/hetgraph/{spark.sparkContext.applicationId}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete all tables this application has materialized. Call it when their readers are done."""
+    drop_tables(spark, [f"{checkpoint_root(spark)}/hetgraph/{spark.sparkContext.applicationId}"])
