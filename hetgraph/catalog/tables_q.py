@@ -581,6 +581,39 @@ def _(t):
     return P.halo_nodes(t.graph()[1], 8)
 
 
+_LOCAL = f"""+own AS (SELECT DISTINCT (node_id % 8)::BIGINT AS partition_id, node_type, node_id, false AS halo FROM nodes),
+  far AS (SELECT DISTINCT (src % 8)::BIGINT AS partition_id, dst_type AS node_type, dst AS node_id, true AS halo FROM edges e
+    SEMI JOIN own s ON s.node_type = e.src_type AND s.node_id = e.src
+    SEMI JOIN own d ON d.node_type = e.dst_type AND d.node_id = e.dst WHERE src % 8 <> dst % 8),
+  members AS MATERIALIZED (SELECT partition_id, node_type, node_id, row_number() OVER (PARTITION BY partition_id, node_type ORDER BY halo, node_id) - 1 AS local_id
+    FROM (SELECT * FROM own UNION ALL SELECT * FROM far))"""
+
+
+@query(
+    "partition_local",
+    oracle(["nodes", "edges"], f"{_LOCAL} SELECT partition_id, node_type, local_id, node_id, (node_id % 8)::BIGINT AS owner_id FROM members"),
+)
+def _(t):
+    return P.local_graph(*t.graph(), 8, "mod").members
+
+
+@query(
+    "partition_local_edges",
+    oracle(
+        ["nodes", "edges"],
+        f"""{_LOCAL} SELECT s.partition_id, e.src_type, e.rel, e.dst_type, s.local_id AS src, d.local_id AS dst, 2::BIGINT AS dims,
+        {q4('e.edge_weight::DOUBLE * 1.5')} AS vec_sum FROM edges e
+        JOIN members s ON s.partition_id = e.src % 8 AND s.node_type = e.src_type AND s.node_id = e.src
+        JOIN members d ON d.partition_id = e.src % 8 AND d.node_type = e.dst_type AND d.node_id = e.dst""",
+    ),
+)
+def _(t):
+    nodes, edges = t.graph()
+    vectors = edges.withColumn("feature_vec", F.array(F.col("edge_weight"), F.col("edge_weight") / 2).cast("array<float>"))
+    local = P.local_graph(nodes, vectors.drop("edge_weight"), 8, "mod").edges
+    return vec_digest(local, "partition_id", "src_type", "rel", "dst_type", "src", "dst")
+
+
 @query(
     "edge_cut",
     oracle(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hetgraph.functions.hashing import hash52
-from hetgraph.operators.ids import with_running_total
+from hetgraph.operators.ids import distinct_nodes, with_row_index, with_running_total
+from hetgraph.runtime import materialize
 
 
 def _by_hash(node_type: Column, node_id: Column, n: int, seed: int) -> Column:
@@ -177,6 +180,64 @@ def edge_cut(edges: DataFrame, n: int = 0, method: str = "random", seed: int = 4
     ).withColumn("cut_ratio", F.col("cut_edges") / F.col("num_edges"))
 
 
+class LocalGraph(NamedTuple):
+    """A partitioned graph in which every partition names its nodes by itself.
+
+    ``members``: ``partition_id, node_type, local_id, node_id, owner_id``, the map back. ``nodes``: the columns of the nodes
+    that a partition owns, by ``local_id``. ``edges``: its edges between local ids, with all their other columns.
+    """
+
+    members: DataFrame
+    nodes: DataFrame
+    edges: DataFrame
+
+
+def local_graph(nodes: DataFrame, edges: DataFrame, n: int, method: str = "random", seed: int = 42) -> LocalGraph:
+    """Number the nodes of every partition and type 0, 1, 2, ...: its own first, by id, then its halo.
+
+    Edges follow their source. Feature vectors and other columns of nodes and edges go along, but not into the numbering, which
+    sorts keys alone and has no task that holds a whole partition. Edges with an end that is no node are left out;
+    repeated node rows stay, under one local id.
+    """
+    known = materialize(distinct_nodes(nodes), "nodes")
+    own = assign_nodes(known, n, method, seed).select(
+        F.col("partition_id").cast("long").alias("partition_id"), "node_type", "node_id", F.lit(False).alias("halo")
+    )
+    placed = _ruled_edges(edges, n, method, seed)
+    sources = known.select(F.col("node_type").alias("src_type"), F.col("node_id").alias("src"))
+    between = placed.join(sources, ["src_type", "src"], "left_semi").where("partition_id <> owner_id")
+    halo = between.select(
+        F.col("partition_id").cast("long").alias("partition_id"),
+        F.col("dst_type").alias("node_type"),
+        F.col("dst").alias("node_id"),
+        F.lit(True).alias("halo"),
+    ).distinct()
+    halo = halo.join(known, ["node_type", "node_id"], "left_semi").select(*own.columns)
+    key = ["partition_id", "node_type"]
+    named = materialize(with_row_index(own.unionByName(halo), ["halo", "node_id"], "local_id", group_by=key), "members")
+    owner = partition_of("node_type", "node_id", n, method, seed).cast("long").alias("owner_id")
+    members = named.select(*key, "local_id", "node_id", owner)
+
+    others = [c for c in nodes.columns if c not in ("node_type", "node_id")]
+    mine = named.where("NOT halo").select(*key, "local_id", "node_id")
+    local_nodes = nodes.join(mine, ["node_type", "node_id"]).select(*key, "local_id", *others)
+
+    ends = placed.drop("owner_id").withColumn("partition_id", F.col("partition_id").cast("long"))
+    for end in ("src", "dst"):
+        ids = named.select(
+            "partition_id",
+            F.col("node_type").alias(f"{end}_type"),
+            F.col("node_id").alias(end),
+            F.col("local_id").alias(f"__{end}"),
+        )
+        ends = ends.join(ids, ["partition_id", f"{end}_type", end])
+    rest = [c for c in edges.columns if c not in ("src_type", "rel", "dst_type", "src", "dst")]
+    local_edges = ends.select(
+        "partition_id", "src_type", "rel", "dst_type", F.col("__src").alias("src"), F.col("__dst").alias("dst"), *rest
+    )
+    return LocalGraph(members, local_nodes, local_edges)
+
+
 def read_hosts(spark, path: str) -> DataFrame:
     """Host names of a text file in line order; blank lines and ``#`` lines do not count.
 
