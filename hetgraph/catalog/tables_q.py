@@ -15,10 +15,12 @@ from hetgraph.operators import ids as I
 from hetgraph.operators import partition as P
 from hetgraph.operators import sampling as S
 from hetgraph.operators import structure as ST
+from hetgraph.operators.cut import cut_aware_map
 from hetgraph.operators.features import as_key_values, decode_vector
-from hetgraph.plans.jobs import export_graph
+from hetgraph.plans.jobs import export_graph, partition_graph, sync_features_to
 from hetgraph.runtime import checkpoint_root, materialize
 from hetgraph.schema import EdgeType, GraphConfig, etype_name, parse_etype
+from hetgraph.sinks.kv_source import put_key_values, read_key_values
 from hetgraph.sinks.store import GraphStore, describe_graph, feature_dims, graph_stats
 from hetgraph.sources import layout, tables
 from hetgraph.sources.fixtures import CONFIG, SNAPSHOT
@@ -359,6 +361,43 @@ def _(t):
     return entries(rows, "v", "key", "ttl")
 
 
+def _kv_root(t) -> str:
+    return f"{checkpoint_root(t.spark)}/hetgraph/kv-{uuid.uuid4().hex}"
+
+
+@query(
+    "kv_sink",
+    oracle(
+        ["nodes"],
+        """SELECT 'gnn:feat:' || node_type || ':' || node_id AS key, CASE WHEN node_id % 3 = 0 THEN 60 ELSE 86400 END AS ttl,
+        CASE WHEN node_id % 3 = 0 THEN '[' || node_id || ']' ELSE label::VARCHAR END AS value FROM nodes""",
+    ),
+)
+def _(t):
+    # Two commits: every node, then a third of them again.
+    root, nodes = _kv_root(t), t.graph()[0]
+    key = as_key_values(nodes.withColumn("feature_vec", F.array("node_id"))).withColumn("node_id", F.get_json_object("value", "$[0]").cast("long"))
+    first = as_key_values(nodes.select("node_type", "node_id", F.array("label").alias("feature_vec")))
+    put_key_values(first.withColumn("value", F.get_json_object("value", "$[0]")), root)
+    put_key_values(key.where("node_id % 3 = 0").withColumn("ttl", F.lit(60)), root)
+    return read_key_values(t.spark, root)
+
+
+@query(
+    "sync_job",
+    oracle(
+        ["nodes"],
+        f"""SELECT key, ttl, dim, {q4('v')} AS value FROM (SELECT 'gnn:feat:' || node_type || ':' || node_id AS key,
+        86400 AS ttl, unnest(range(64)) AS dim, unnest(feature_vec)::DOUBLE AS v FROM nodes)""",
+    ),
+)
+def _(t):
+    root = _kv_root(t)
+    sync_features_to(t.graph()[0], root)
+    rows = read_key_values(t.spark, root).withColumn("v", decode_vector("value").cast("array<double>"))
+    return entries(rows, "v", "key", "ttl")
+
+
 # --- structure ----------------------------------------------------------------------------
 
 
@@ -676,6 +715,50 @@ def _(t):
     return P.edge_cut(edges, owner=owner)
 
 
+@query(
+    "partition_cutaware",
+    oracle(
+        ["nodes", "edges"],
+        _BALANCED.replace("SELECT node_type, node_id, weight, (before * 8 // total)::INTEGER AS partition_id FROM p", "")
+        + "SELECT node_type, node_id, weight, true AS placed, true AS quota_kept, true AS cuts_less FROM p",
+    ),
+)
+def _(t):
+    # Every node once with its weight; the map itself has no SQL, so its quota and cut are audited.
+    nodes, edges = t.graph()
+    owner = materialize(cut_aware_map(edges, nodes, 8, rounds=4), "owner")
+    before = materialize(P.balanced_map(edges, nodes, 8), "before")
+
+    def cut(held):
+        return P.edge_cut(edges, owner=held.drop("weight")).agg(F.sum("cut_edges")).scalar()
+
+    def most(held):
+        return held.groupBy("partition_id").agg(F.sum("weight").alias("load")).agg(F.max("load")).scalar()
+
+    total = owner.agg(F.sum("weight")).scalar()
+    quota = F.greatest(F.ceil(total * 1.05 / 8), most(before))
+    return owner.select(
+        "node_type", "node_id", "weight", F.col("partition_id").between(0, 7).alias("placed"),
+        (most(owner) <= quota).alias("quota_kept"), (cut(owner) < cut(before)).alias("cuts_less"),
+    )
+
+
+@query(
+    "partition_job",
+    oracle(
+        ["nodes", "edges"],
+        f"""SELECT partition_id, kind, name, rows AS expected_rows, rows AS found_rows, true AS complete FROM ({_PARTS})""",
+    ),
+)
+def _(t):
+    nodes, edges = t.graph()
+    store = new_store(t)
+    with store.snapshot():
+        store.write_nodes(nodes.withColumn("global_id", F.col("node_id")), TYPES)
+        store.write_edges(edges, ETYPES)
+    return partition_graph(store, 8, "mod")["audit"]
+
+
 @query(
     "partition_map",
     oracle(["gid"], f"SELECT node_type, global_id AS node_id, ({h52(42, 'node_type', 'global_id')} % 32)::INTEGER AS partition_id FROM gid"),

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from hetgraph.operators import partition as P
 from hetgraph.operators import training as TR
+from hetgraph.operators.cut import cut_aware_map
 from hetgraph.operators.features import KEY_PREFIX, TTL_SECONDS, as_key_values
 from hetgraph.operators.ids import assign_global_ids, attach_global_id, id_ranges, rewrite_edges
 from hetgraph.operators.structure import with_reverse
 from hetgraph.runtime import materialize, tune
 from hetgraph.schema import GraphConfig, TrainConfig
 from hetgraph.sinks.keyvalue import Client, write_key_values
+from hetgraph.sinks.kv_source import put_key_values
 from hetgraph.sinks.store import GraphStore, describe_graph
 from hetgraph.sources.tables import TableReader, scan_graph
 
@@ -67,8 +69,9 @@ def partition_graph(
     tune(store.spark)
     graph = store.pinned()
     nodes, edges = graph.read_nodes(), graph.read_edges()
-    if method == "balanced":
-        owner = materialize(P.balanced_map(edges, nodes, num_partitions), "owner")
+    if method in ("balanced", "cut"):
+        owner = P.balanced_map(edges, nodes, num_partitions) if method == "balanced" else cut_aware_map(edges, nodes, num_partitions)
+        owner = materialize(owner, "owner")
         placed_nodes = nodes.join(owner.drop("weight"), ["node_type", "node_id"])
         placed_edges = P.follow_source(edges, owner.drop("weight"))
     else:
@@ -91,6 +94,12 @@ def sync_features(
     return write_key_values(as_key_values(features.where("feature_vec IS NOT NULL"), prefix, ttl), connect)
 
 
+def sync_features_to(features: DataFrame, root: str, prefix: str = KEY_PREFIX, ttl: int = TTL_SECONDS, at: int = 0) -> None:
+    """As ``sync_features``, into the segments of a shared folder and with one commit for all keys."""
+    tune(features.sparkSession)
+    put_key_values(as_key_values(features.where("feature_vec IS NOT NULL"), prefix, ttl), root, at)
+
+
 def train_classifier(
     nodes: DataFrame, edges: DataFrame, dim: int, config: TrainConfig, rounds: int = 2, seed: int = 42, **fit
 ) -> tuple[object, DataFrame]:
