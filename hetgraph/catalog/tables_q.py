@@ -736,7 +736,7 @@ def _(t):
         return held.groupBy("partition_id").agg(F.sum("weight").alias("load")).agg(F.max("load")).scalar()
 
     total = owner.agg(F.sum("weight")).scalar()
-    quota = F.greatest(F.ceil(total * 1.05 / 8), most(before))
+    quota = F.greatest(F.floor(total * 1.05 / 8), most(before))
     return owner.select(
         "node_type", "node_id", "weight", F.col("partition_id").between(0, 7).alias("placed"),
         (most(owner) <= quota).alias("quota_kept"), (cut(owner) < cut(before)).alias("cuts_less"),

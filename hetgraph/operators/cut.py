@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import ceil
+from math import floor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,13 +77,13 @@ def cut_aware_map(
 ) -> DataFrame:
     """``node_type, node_id, weight, partition_id``: as ``balanced_map``, with fewer edges between parts.
 
-    Starts from ``balanced_map``. In each round the nodes whose coin says so (a hash of round and node, so that two
-    neighbours do not swap places for ever) ask for the part that holds most of their links, if that is more than
+    Starts from ``balanced_map``. In each round the nodes whose coin says so (a hash of round and node) ask for the part that holds most of their links, if that is more than
     where they are. Rounds take turns: in one, each part admits the best of them into what room it has; in the
     other, each pair of parts exchanges nodes of about the same number of edge ends both ways, which full parts can do
-    as well. The quota is ``1 + slack`` times the mean of edge ends, or the fullest part of ``balanced_map`` if that is more.
-    It always holds: admission counts no departures, and an exchange that comes out above it is not carried out. The
-    map with the smallest cut is returned.
+    as well. Nodes that move at the same time spoil each other's gains on dense graphs: a round after which the cut is
+    not smaller is taken back, and the next asks half as many nodes. The quota is ``1 + slack`` times the mean of edge ends, or the fullest part of ``balanced_map`` if that is more.
+    It always holds: admission counts no departures, and an exchange that comes out above it is taken back.
+    When neither kind of round moves a node, the map stays.
 
     A round costs one join of the links with the map and two aggregations; room and loads are ``n`` rows, exchanges at
     most ``n * n``. Nulls and ends that are no node are not placed. Repeated node rows count once.
@@ -92,22 +92,23 @@ def cut_aware_map(
     owner = materialize(balanced_map(edges, nodes, n), "cut-map")
     links = materialize(_links(edges, nodes), "cut-links")
     start = _loads(owner).agg(F.sum("load").alias("total"), F.max("load").alias("most")).first()
-    quota = max(ceil((start.total or 0) * (1 + slack) / n), start.most or 0)
+    quota = max(floor((start.total or 0) * (1 + slack) / n), start.most or 0)
     parts = spark.range(n).select(F.col("id").cast("int").alias("to"))
 
-    best, smallest = owner, None
-    for turn in range(rounds + 1):
+    def crossing(tally):
+        return tally.agg(F.sum(F.col("all") - F.col("inside"))).first()[0] or 0
+
+    tally = materialize(_tally(links, owner), "cut-tally")
+    cut, share, idle = crossing(tally), 2, 0
+    for turn in range(rounds):
+        asking = tally.where(F.col("outside") > F.col("inside"))
+        if asking.isEmpty():
+            break
+        coin = F.pmod(hash52(seed, turn, *map(F.col, NODE)), F.lit(share)) == 0
+        wishes = asking.where(coin).select(
+            *NODE, "weight", F.col("partition_id").alias("from"), "to", (F.col("outside") - F.col("inside")).alias("gain")
+        )
         with recorded() as aside:
-            tally = materialize(_tally(links, owner), "cut-tally")
-            cut = tally.agg(F.sum(F.col("all") - F.col("inside"))).first()[0] or 0
-            if smallest is None or cut < smallest:
-                best, smallest = owner, cut
-            if turn == rounds or not cut:
-                break
-            coin = F.pmod(hash52(seed, F.lit(turn), *NODE), F.lit(2)) == 0
-            wishes = tally.where((F.col("outside") > F.col("inside")) & coin).select(
-                *NODE, "weight", F.col("partition_id").alias("from"), "to", (F.col("outside") - F.col("inside")).alias("gain")
-            )
             if turn % 2 == 0:
                 held = _loads(owner).withColumnRenamed("partition_id", "to")
                 room = (F.lit(quota) - F.coalesce("load", F.lit(0))).alias("limit")
@@ -118,8 +119,20 @@ def cut_aware_map(
                 both = flow.join(back, ["from", "to"]).select("from", "to", F.least("flow", "back").alias("limit"))
                 moves = _admitted(wishes, both, ["from", "to"])
             moves = materialize(moves, "cut-moves")
-        after = _moved(owner, moves)
-        if (_loads(after).agg(F.max("load")).first()[0] or 0) <= quota:
-            owner = after
+        idle = idle + 1 if moves.isEmpty() else 0
+        if idle:
+            drop_tables(spark, aside)
+            if idle == 2:
+                break
+            continue
+        with recorded() as new:
+            after = _moved(owner, moves)
+            seen = materialize(_tally(links, after), "cut-tally")
+        crossed = crossing(seen)
+        if crossed < cut and (_loads(after).agg(F.max("load")).first()[0] or 0) <= quota:
+            owner, tally, cut, share = after, seen, crossed, max(2, share // 2)
+        else:
+            aside += new
+            share *= 2
         drop_tables(spark, aside)
-    return best
+    return owner

@@ -27,7 +27,6 @@ def test_groups_across_the_id_range(spark):
     loads = _loads(after)
     assert max(loads.values()) <= max(-(-sum(loads.values()) * 11 // 40), *_loads(before).values())
     assert sum(loads.values()) == sum(_loads(before).values())
-    # A ring of long steps has many local optima: 376 cut edges against 465, where whole groups would cut few.
     assert _cut(edges, after) < _cut(edges, before)
     again = C.cut_aware_map(edges.repartition(3), nodes.repartition(5), 4, rounds=8, slack=0.1)
     assert after.exceptAll(again).isEmpty()
