@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from math import e, log
 
@@ -101,6 +102,17 @@ def _outside(tag: str, rest: str, in_article: bool) -> int:
     return found
 
 
+def _tokens(source: str) -> Iterator[re.Match]:
+    """Tags and comments in page order. Behind the last ``>`` no tag can end: only an open comment is looked for."""
+    at, last = 0, source.rfind(">")
+    while (at := source.find("<", at)) >= 0:
+        if at > last and (at := source.find("<!--", at)) < 0:
+            return
+        if m := _TOKEN.match(source, at):
+            yield m
+        at = m.end() if m else at + 1
+
+
 class _Page:
     """Nodes in page order, each with its parent; texts with the node they stand in."""
 
@@ -109,16 +121,18 @@ class _Page:
         self.texts: list[tuple[int, str]] = []
         self.hinted: dict[int, int] = {}
         stack, skip, at, articles = [0], 0, 0, 0
+        open_tags: Counter[str] = Counter()
 
         def close(upto: int):
             nonlocal skip, articles
             while len(stack) > upto:
                 node = stack.pop()
+                open_tags[self.tags[node]] -= 1
                 articles -= self.tags[node] in SECTIONS
                 if skip and len(stack) < skip:
                     skip = 0
 
-        for m in _TOKEN.finditer(source):
+        for m in _tokens(source):
             if m.start() > at and not skip:
                 self.texts.append((stack[-1], source[at : m.start()]))
             at = m.end()
@@ -128,7 +142,7 @@ class _Page:
             tag = tag.lower()
             if m["end"]:
                 # Unknown end tags are ignored; an inline one does not end a block around it.
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, 0, -1) if open_tags[tag] > 0 else ():
                     name = self.tags[stack[k]]
                     if name == tag:
                         close(k)
@@ -151,6 +165,7 @@ class _Page:
                 else:
                     self.hinted[node] = kind
             stack.append(node)
+            open_tags[tag] += 1
             articles += tag in SECTIONS
             if m["rest"].endswith("/") and tag not in BLOCK:
                 close(len(stack) - 1)
@@ -255,13 +270,17 @@ class _Page:
         threshold = min(self.dense[i] for i in path(best))
         while tags[best] not in BLOCK and tags[best] != "#root":
             best = up[best]
-        best = next((i for i in path(best) if tags[i] == "article"), best)
+        # The nearest <article> at or above each node.
+        article = [-1] * len(tags)
+        for i in range(1, len(tags)):
+            article[i] = i if tags[i] == "article" else article[up[i]]
+        best = article[best] if article[best] >= 0 else best
         least = threshold
         while up[best] >= 0:
             if tags[best] == "article":
                 least = max(threshold, BESIDE * self.dense[best])
-            outer = next((i for i in path(up[best]) if tags[i] == "article"), None)
-            if outer is not None and fits(outer, best, threshold):
+            outer = article[up[best]]
+            if outer >= 0 and fits(outer, best, threshold):
                 best = outer
             elif tags[up[best]] not in ("body", "html", "#root") and fits(up[best], best, least):
                 best = up[best]

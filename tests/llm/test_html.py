@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 from hetgraph.llm import html_text as H
 
@@ -101,3 +102,24 @@ def test_names_of_wrappers_and_parts():
 def test_math_and_fallbacks():
     page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold.</p><noscript><p>A table.</p></noscript><p><object data=a.svg>A chart.</object></p></article>"
     assert H.main_text(page) == "Let x=1 hold.\nA table.\nA chart."
+
+
+def test_hostile_pages_take_linear_time():
+    """Two megabytes each: tags and quotes without an end, deep nesting, end tags of nothing."""
+    size = 2_000_000
+    for page, text in (
+        ("<a " * (size // 3), None),
+        ('<a "' * (size // 4), None),
+        ("<div>" * (size // 5) + "deep", "deep"),
+        ("<b>" * 100_000 + "bold" + "</x>" * (size // 4), "bold"),
+    ):
+        start = time.process_time()
+        got = H.main_text(page)
+        assert time.process_time() - start < 30
+        assert text is None or got == text
+
+
+def test_open_comment_behind_the_last_tag():
+    assert H.main_text("<p>one</p> two <!-- three") == "one\ntwo"
+    assert H.main_text("<p>1 < 2</p><") == "1 < 2\n<"
+    assert H.main_text("<p>one</p><script>var a = 1 < 2") == "one"
