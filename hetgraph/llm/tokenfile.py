@@ -7,8 +7,9 @@ of XXH64 of its content), then the number of frames, a descriptor and a magic nu
 takes the table from the end of the file and decompresses only the frames it needs; an ordinary
 zstandard decoder reads the file as well.
 
-One task writes one file under a temporary name and renames it, so a task that is run again
-or twice leaves one whole file. The folder must be shared; it is opened by its URI.
+One task writes one file under a temporary name and renames it. A task that is run again or twice writes another
+file; the index names one of them, and what it does not name is deleted once it is written. The folder must be shared; it
+is opened by its URI.
 """
 
 from __future__ import annotations
@@ -190,13 +191,13 @@ def _tokens(path: str) -> Tokens:
     return store[path]
 
 
-def _write(path: str, folder: str, end_id: int, frame_bytes: int):
+def _write(path: str, folder: str, end_id: int, frame_bytes: int, job: str):
     """Encode the rows of a sorted partition into one file; a row per document, and its place."""
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         encode, system, writer, out = None, None, None, None
-        name = f"part-{uuid.uuid4().hex}.zst"
+        name = f"{job}-{uuid.uuid4().hex}.zst"
         for b in batches:
             if writer is None:
                 system, root = opened(folder)
@@ -218,6 +219,14 @@ def _write(path: str, folder: str, end_id: int, frame_bytes: int):
     return run
 
 
+def _delete_unnamed(folder: str, job: str, named: set[str]):
+    """Delete the files of this job that are not in its index: those of repeated tasks, and unfinished ones."""
+    system, root = opened(folder)
+    for f in system.get_file_info(fs.FileSelector(root, allow_not_found=True)):
+        if f.base_name.lstrip(".").startswith(job) and f.base_name not in named:
+            system.delete_file(f.path)
+
+
 def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 2, frame_bytes: int = FRAME_BYTES) -> DataFrame:
     """Write the ids of ``docs (doc_id, text, ...)`` to ``folder`` and return the index of documents.
 
@@ -231,10 +240,12 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 2, frame
     parts = max(texts.sparkSession.sparkContext.defaultParallelism, -(-total // FILE_BYTES))
     sorted_ = texts.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     placed = sorted_.withColumn("part", F.spark_partition_id())
+    job = f"part-{uuid.uuid4().hex[:12]}"
     schema = "doc_id long, part int, file string, frame int, offset long, n_tokens long"
-    index = materialize(arrow_map(placed, _write(path, folder, end_id, frame_bytes), schema), "token_index")
+    index = materialize(arrow_map(placed, _write(path, folder, end_id, frame_bytes, job), schema), "token_index")
     # One number per file comes to the driver.
     sums = sorted((r["part"], r["file"], r["n"]) for r in index.groupBy("part", "file").agg(F.sum("n_tokens").alias("n")).collect())
+    _delete_unnamed(folder, job, {f for _, f, _ in sums})
     before = [0, *accumulate(n for *_, n in sums)]
     starts = texts.sparkSession.createDataFrame([(f, s) for (_, f, _), s in zip(sums, before)], "file string, file_start long")
     inside = F.sum("n_tokens").over(W.partitionBy("file").orderBy("frame", "offset").rowsBetween(W.unboundedPreceding, -1))

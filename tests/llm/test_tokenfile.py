@@ -80,3 +80,12 @@ def test_format(tmp_path):
     broken[reader.starts[2] + reader.table[2][0] - 1] ^= 1
     with pytest.raises((ValueError, zstandard.ZstdError)):
         T.Reader(pa.PythonFile(io.BytesIO(bytes(broken)), "r")).frame(2)
+
+
+def test_files_of_repeated_tasks_go(tmp_path):
+    """Only files of the same job that the index does not name are deleted."""
+    for name in ("part-a-1.zst", "part-a-2.zst", ".part-a-3.zst.tmp", "part-b-1.zst"):
+        (tmp_path / name).write_bytes(b"x")
+    T._delete_unnamed(str(tmp_path), "part-a", {"part-a-2.zst"})
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["part-a-2.zst", "part-b-1.zst"]
+    T._delete_unnamed(str(tmp_path / "none"), "part-a", set())
