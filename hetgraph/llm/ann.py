@@ -7,9 +7,10 @@ a query visits is calibrated: for some queries the true neighbours are found amo
 the target recall is reached on them.
 
 For inner products the vectors get one more coordinate that makes them equally long (Bachrach et
-al., 2014), so the nearest vector is the one with the largest product. Leaves are cut into blocks of
-rows, visits into blocks of queries, and the blocks of a leaf are multiplied: a leaf may hold any share of
-the rows. The first few leaves give each query a score that later leaves have to reach, so these send few rows.
+al., 2014), so the nearest vector is the one with the largest product. Small leaves that follow each other in the
+tree share a bin: a query is sent once to a bin, whichever of its leaves it visits, and meets all rows of the bin. Bins are
+cut into blocks of rows, visits into blocks of queries, and the blocks of a bin are multiplied: a leaf may hold any share of
+the rows. The first few bins give each query a score that later bins have to reach, so these send few rows.
 """
 
 from __future__ import annotations
@@ -218,11 +219,27 @@ def _placed(tree: Tree, longest: float):
     return run
 
 
-def _visited(tree: Tree, most: int, rows: np.ndarray, wanted: int):
+def bins_of(rows: np.ndarray, size: int = BLOCK_ROWS) -> np.ndarray:
+    """The bin of each leaf: leaves that follow each other share one as long as they hold at most ``size`` rows."""
+    out, held, at = np.zeros(len(rows), np.int64), 0, 0
+    for leaf, n in enumerate(rows.tolist()):
+        if held and held + n > size:
+            held, at = 0, at + 1
+        held += n
+        out[leaf] = at
+    return out
+
+
+def _visited(tree: Tree, most: int, rows: np.ndarray, bins: np.ndarray, wanted: int):
+    """The bins of each query in the order in which their first leaf is visited."""
+
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
-            found = [np.array(tree.visits(one, most, rows, wanted)) for one in _direction(_matrix(b["embedding"]))]
-            yield {"vec_id": b["vec_id"], "embedding": b["embedding"], "leaves": list_array(found, "int64")}
+            found = []
+            for one in _direction(_matrix(b["embedding"])):
+                met = bins[tree.visits(one, most, rows, wanted)]
+                found.append(met[np.sort(np.unique(met, return_index=True)[1])])
+            yield {"vec_id": b["vec_id"], "embedding": b["embedding"], "bins": list_array(found, "int64")}
 
     return run
 
@@ -244,14 +261,14 @@ def _pieces(key: str, count: Column, size: int) -> Column:
     return F.pmod(F.xxhash64(key), F.ceil(count / size))
 
 
-def _visit(leaves: DataFrame, visits: DataFrame, k: int) -> DataFrame:
-    """Hits of ``visits (leaf, vec_id, embedding, least)`` in the blocks of ``leaves (leaf, rows)``."""
-    spark = leaves.sparkSession
-    counted = visits.join(visits.groupBy("leaf").agg(F.count("*").alias("n")), "leaf")
-    queries = counted.groupBy("leaf", _pieces("vec_id", F.col("n"), BLOCK_QUERIES).alias("piece")).agg(
+def _visit(bins: DataFrame, visits: DataFrame, k: int) -> DataFrame:
+    """Hits of ``visits (bin, vec_id, embedding, least)`` in the blocks of ``bins (bin, rows)``."""
+    spark = bins.sparkSession
+    counted = visits.join(visits.groupBy("bin").agg(F.count("*").alias("n")), "bin")
+    queries = counted.groupBy("bin", _pieces("vec_id", F.col("n"), BLOCK_QUERIES).alias("piece")).agg(
         F.collect_list(F.struct("vec_id", "embedding", "least")).alias("queries")
     )
-    blocks = leaves.join(queries, "leaf").select("rows", "queries")
+    blocks = bins.join(queries, "bin").select("rows", "queries")
     # A row holds two blocks, so few rows at a time go to Python.
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     usual = spark.conf.get(name)
@@ -286,28 +303,32 @@ def search(table: DataFrame, queries: str, k: int = 20, recall: float = RECALL)
     schema = "vec_id long, embedding array<double>"
     placed = arrow_map(data, _placed(tree, longest), f"{schema}, leaf long")
     placed = materialize(placed, "placed")
-    counts = placed.groupBy("leaf").agg(F.count("*").alias("n"))
-    leaves = materialize(
-        placed.join(counts, "leaf")
-        .groupBy("leaf", _pieces("vec_id", F.col("n"), BLOCK_ROWS).alias("piece"))
-        .agg(F.collect_list(F.struct("vec_id", "embedding")).alias("rows")),
-        "leaves",
-    )
     # One number per leaf of a tree whose size is bounded by its sample.
     held = np.zeros(tree.leaves, np.int64)
-    for r in counts.collect():
+    for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect():
         held[r["leaf"]] = r["n"]
+    bin_of = bins_of(held)
+    in_bin = np.bincount(bin_of, weights=held).astype(np.int64)
+    named = spark.createDataFrame(
+        [(i, int(k), int(in_bin[k])) for i, k in enumerate(bin_of)], "leaf long, bin long, n long"
+    )
+    bins = materialize(
+        placed.join(F.broadcast(named), "leaf")
+        .groupBy("bin", _pieces("vec_id", F.col("n"), BLOCK_ROWS).alias("piece"))
+        .agg(F.collect_list(F.struct("vec_id", "embedding")).alias("rows")),
+        "bins",
+    )
     # A query's own row may be among those of its leaves.
-    visits = arrow_map(asked, _visited(tree, most, held, k + 1), f"{schema}, leaves array<long>")
+    visits = arrow_map(asked, _visited(tree, most, held, bin_of, k + 1), f"{schema}, bins array<long>")
     visits = materialize(visits, "visits")
-    walk = visits.select("vec_id", "embedding", F.posexplode("leaves").alias("turn", "leaf"))
+    walk = visits.select("vec_id", "embedding", F.posexplode("bins").alias("turn", "bin"))
 
     start = walk.where(F.col("turn") < FIRST).withColumn("least", F.lit(float("-inf")))
-    near = materialize(_ranked(_visit(leaves, start, k), k), "near")
+    near = materialize(_ranked(_visit(bins, start, k), k), "near")
     least = near.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
     more = walk.where(F.col("turn") >= FIRST).join(least, "vec_id", "left").withColumn(
         "least", F.coalesce("least", F.lit(float("-inf")))
     )
-    far = _visit(leaves, more, k)
+    far = _visit(bins, more, k)
     both = near.select("query_id", "vec_id", "score").unionByName(far)
     return _ranked(both, k).select("query_id", "rank", "vec_id", "score")
