@@ -369,13 +369,19 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, one per component, all columns.
+    """One row of ``docs`` per component of near-duplicates, with all columns: that of the smallest (doc_id, text hash).
 
-    Rows that share the kept doc_id are copies of each other or ambiguous: the first in text order
-    stays. Rows without a doc_id stay.
+    Rows take part by doc_id and text together, so one doc_id on different texts loses none of them, and rows
+    without a doc_id (after all others) are compared like the rest. Of rows equal in both any one stays; empty sets are
+    linked with nothing.
     """
-    kept = near_duplicates(docs, **options).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return (
-        docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        .unionByName(docs.where("doc_id IS NULL"))
-    )
+    marked = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    of_row = near_duplicates(marked.select(F.col("__row").alias("doc_id"), "text"), **options).select(
+        F.col("doc_id").alias("__row"), "component_id"
+    )
+    ids = marked.select("__row", "doc_id").distinct()
+    first = of_row.distinct().join(ids, "__row").groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("first")
+    )
+    kept = first.select("first.__row").distinct()
+    return marked.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")

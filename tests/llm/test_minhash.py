@@ -71,10 +71,22 @@ def test_edges(spark):
     got = sorted(map(str, M.near_duplicates(twice, words=2).collect()))
     assert len(got) == 4 and sum("component_id=1" in x for x in got) == 2
     assert sorted(map(str, M.keep_one(twice).collect())) == sorted(
-        map(str, spark.createDataFrame([(1, "a b c"), (None, "a b c"), (0, "q")], "doc_id long, text string").collect())
+        map(str, spark.createDataFrame([(1, "a b c"), (0, "q")], "doc_id long, text string").collect())
     )
 
 
+def test_keep_one_goes_by_id_and_text(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    near = a.rsplit(" ", 1)[0]
+    rows = [(1, b, 0), (1, a, 1), (2, near, 2), (None, a, 3), (None, near, 4), (None, "c d e", 5), (None, "c d e", 6)]
+    rows += [(9, None, 7), (8, "", 8), (8, "", 9), (None, None, 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra int")
+    got = sorted(r.extra for r in M.keep_one(docs).collect())
+    # Both texts of id 1; one of the two null rows; one of the two empty rows of id 8.
+    assert got in [[0, 1, x, 7, y, 10] for x in (5, 6) for y in (8, 9)]
+    assert M.keep_one(docs.limit(0)).collect() == []
+
+
 def test_sketch_is_fair():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 2**63, 4000, dtype=np.uint64)
