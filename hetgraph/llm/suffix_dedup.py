@@ -215,8 +215,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         kinds.join(at, ["key", "anchor", "body"])
         .groupBy("key").agg(F.collect_list(F.struct("anchor", "body", "lo", "hi", "n", "many")).alias("wanted"))
     )
+    # One text of each group of copies, reduced before the exchange that the join needs anyway.
+    once = texts.groupBy("key").agg(F.first("text").alias("text"))
     bodies = arrow_map(
-        texts.join(wanted, "key").select("text", "wanted"),
+        once.join(wanted, "key").select("text", "wanted"),
         _cut_out(length),
         "shard long, anchor long, body long, skip long, n long, bytes binary",
     )
@@ -268,8 +270,9 @@ def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         "doc_id", "key", F.length(utf8()).cast("long").alias("n_bytes"), F.sha2(utf8(), 256).alias("sha_all")
     )
     partly = sums.join(rows.select("key", "n_bytes").distinct(), "key").where("n_removed < n_bytes").select("key", "spans")
-    cut = keyed.select("key", utf8().alias("text")).join(partly, "key")
-    hashed = arrow_map(cut.select("key", "text", "spans"), _digests, "key binary, sha string").distinct()
+    once = keyed.select("key", utf8().alias("text")).groupBy("key").agg(F.first("text").alias("text"))
+    cut = once.join(partly, "key")
+    hashed = arrow_map(cut.select("key", "text", "spans"), _digests, "key binary, sha string")
     nothing = hashlib.sha256(b"").hexdigest()
     return (
         rows.join(sums.drop("spans"), "key", "left").join(hashed, "key", "left")

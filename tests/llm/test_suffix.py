@@ -73,3 +73,24 @@ def test_odd_rows(spark, monkeypatch, many):
     out = D.without_repeats(docs)
     assert out.schema.simpleString() == docs.schema.simpleString() and out.count() == len(rows)
     assert D.digests(docs.limit(0)).collect() == []
+
+
+def test_one_text_per_group_of_copies_is_cut(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    text = "".join(rng.choice(list("abcdefgh "), 1_500))
+    docs = spark.createDataFrame([(i, text) for i in range(400)] + [(900, "q" * 50 + text[300:900])], "doc_id long, text string")
+    seen, plain = spark.sparkContext.accumulator(0), D._cut_out
+
+    def counted(length):
+        cut = plain(length)
+
+        def run(batches):
+            for b in batches:
+                seen.add(len(b["text"]))
+                yield from cut(iter([b]))
+
+        return run
+
+    monkeypatch.setattr(D, "_cut_out", counted)
+    assert rows_of(D.digests(docs)) == brute([(r.doc_id, r.text) for r in docs.collect()])
+    assert 1 <= seen.value <= 2
