@@ -6,13 +6,14 @@ layer. A gated attention (Ilse, Tomczak and Welling, 2018) gives each passage a
 of the encodings is the document's representation, and a logistic layer scores it.
 
 The model is fitted on the driver on a bounded sample of labelled documents, ``FIT_DOCUMENTS`` of at most
-``FIT_BYTES`` each, drawn by hash; it has some ten thousand numbers. All documents are then scored
+``FIT_BYTES`` each and ``FIT_TOTAL`` together, drawn by hash; it has some ten thousand numbers. All documents are then scored
 where they lie. Only the text goes into a score.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -20,9 +21,10 @@ from pyspark.sql import functions as F
 
 from hetgraph.llm.common import arrow_map, mix64, utf8
 from hetgraph.llm.suffix import _TABLE, _powers
+from hetgraph.runtime import materialize
 
 PASSAGE = 64
-FIT_DOCUMENTS, FIT_BYTES = 4_000, 200_000
+FIT_DOCUMENTS, FIT_BYTES, FIT_TOTAL = 4_000, 200_000, 1 << 25
 ENCODING, ATTENTION = 32, 16
 EPOCHS, BATCH, RATE, DECAY, SEED = 12, 64, 0.003, 1e-4, 17
 MEASURES = 5
@@ -158,17 +160,29 @@ def held_out(doc_id: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> Model:
     """The model of at most ``most`` labelled documents that are not held out.
 
-    Without labels of both kinds the model stays as it starts. Labels without a quality are ignored.
+    Of several texts with one doc_id the shortest counts. Without labels of both kinds the model stays as it starts. Labels
+    without a quality are ignored.
     """
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").where(~held_out())
-    known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    drawn = known.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(most)
+    drawn = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    drawn = drawn.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(most)
     texts = docs.select("doc_id", utf8().alias("text")).where(F.length("text") <= FIT_BYTES)
-    rows = texts.join(F.broadcast(drawn), "doc_id").select("h", "doc_id", "quality", "text").collect()
-    rows.sort(key=lambda r: (r["h"], r["doc_id"], bytes(r["text"])))
+    # Written, so that the documents are read once; one text per document.
+    known = ["h", "doc_id", "quality"]
+    least = F.min(F.struct(F.length("text").alias("size"), "text")).alias("least")
+    sample = materialize(
+        texts.join(F.broadcast(drawn), "doc_id").groupBy(known).agg(least).select(*known, "least.size", "least.text"), "fit"
+    )
+    # As many in drawn order as fit into the sum of bytes.
+    sizes = sorted(tuple(r) for r in sample.select("h", "doc_id", "size").collect())
+    last = sum(1 for total in accumulate(size for _, _, size in sizes) if total <= FIT_TOTAL)
+    rows = []
+    if last:
+        h, doc_id, _ = sizes[last - 1]
+        within = (F.col("h") < h) | ((F.col("h") == h) & (F.col("doc_id") <= doc_id))
+        rows = sorted(sample.where(within).select(*known, "text").collect(), key=lambda r: (r["h"], r["doc_id"]))
     model = Model()
     if len({r["quality"] for r in rows}) == 2:
-        rows = rows[: 2 * most]
         found = [encode_passages(part) for _, part in _pieces([bytes(r["text"]) for r in rows])]
         x, bags = (np.concatenate([f[i] for f in found]) for i in (0, 1))
         model.fit(x, bags, np.array([r["quality"] for r in rows], np.float32))

@@ -55,3 +55,16 @@ def test_odd_rows(spark):
     assert len({r.score for r in got if r.doc_id in (1, 2, 3)}) == 1
     none = docs.limit(0)
     assert Q.score(none, Q.fit(none, labels.limit(0))).collect() == []
+
+
+def test_fit_keeps_to_the_sum_of_bytes(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(Q.Model, "fit", lambda self, x, bags, y: seen.append((int(bags.sum()), len(y))) or self)
+    docs = spark.createDataFrame([(i, "w " * 64) for i in range(200)] + [(0, "longer " * 64)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    Q.fit(docs, labels)
+    monkeypatch.setattr(Q, "FIT_TOTAL", 128 * 21)
+    Q.fit(docs, labels)
+    monkeypatch.setattr(Q, "FIT_TOTAL", 0)
+    Q.fit(docs, labels)
+    assert len(seen) == 2 and seen[1] == (21, 21) and seen[0][0] == seen[0][1] > 140
