@@ -88,3 +88,9 @@ def test_visits_are_all_leaves_once():
     leaf = tree.leaf_of(x)
     first = [tree.visits(v, 3).index(n) if n in tree.visits(v, 3) else 9 for v, n in zip(x[:200], leaf)]
     assert np.mean(np.array(first) == 0) > 0.6
+
+
+def test_bins_follow_the_tree():
+    rows = np.array([5, 3, 3, 20, 0, 0, 4, 6, 1])
+    assert A.bins_of(rows, 10).tolist() == [0, 0, 1, 2, 3, 3, 3, 3, 4]
+    assert A.bins_of(np.zeros(0, int), 10).tolist() == []
