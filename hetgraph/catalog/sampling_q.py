@@ -95,6 +95,39 @@ def _(t):
     return S.khop_edges(user_seeds(t), stored_adjacency(t), 2, (3, 2), 42)
 
 
+SHARED = f"""+r0 AS (SELECT 'user' AS seed_type, c_custkey AS seed_id, 0 AS hop, 'user' AS node_type, c_custkey AS node_id FROM customer),
+  g0 AS (SELECT DISTINCT hop, node_type, node_id FROM r0),
+  s0 AS ({_one_layer('out', 'g0', 'p.hop,', ['hop'], 3)}),
+  r1 AS (SELECT DISTINCT r.seed_type, r.seed_id, 1 AS hop, s.far_type AS node_type, s.far AS node_id
+    FROM r0 r JOIN s0 s ON s.node_type = r.node_type AND s.node_id = r.node_id),
+  g1 AS (SELECT DISTINCT hop, node_type, node_id FROM r1),
+  s1 AS ({_one_layer('out', 'g1', 'p.hop,', ['hop'], 2)}),
+  shared AS (SELECT hop, node_type AS src_type, rel, far_type AS dst_type, node_id AS src, far AS dst
+    FROM (SELECT * FROM s0 UNION ALL SELECT * FROM s1)),
+  met AS (SELECT * FROM r0 UNION ALL SELECT * FROM r1)"""
+
+
+def _shared(t):
+    return S.khop_shared(user_seeds(t), t.graph()[1], 2, (3, 2), 42)
+
+
+@query("khop_shared_links", oracle(["heads_out"], f"{SHARED} SELECT * FROM shared"))
+def _(t):
+    return _shared(t)[0]
+
+
+@query(
+    "khop_shared",
+    oracle(
+        ["heads_out"],
+        f"""{SHARED} SELECT m.seed_type, m.seed_id, m.hop, s.src_type, s.rel, s.dst_type, s.src, s.dst
+        FROM met m JOIN shared s ON s.hop = m.hop AND s.src_type = m.node_type AND s.src = m.node_id""",
+    ),
+)
+def _(t):
+    return S.links_of_seeds(*_shared(t))
+
+
 @query("khop_nodes", oracle(["heads_out"], f"{KHOP} SELECT * FROM kn"))
 def _(t):
     return S.khop_nodes(user_seeds(t), _khop(t))

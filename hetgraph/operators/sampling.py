@@ -170,6 +170,50 @@ def khop_nodes(seeds: DataFrame, sampled: DataFrame, direction: str = "out") ->
     return own.unionByName(met).distinct()
 
 
+def khop_shared(
+    seeds: DataFrame,
+    edges: DataFrame | Adjacency,
+    num_hops: int = 2,
+    max_neighbors: Sequence[int] | None = (15, 10),
+    seed: int = 42,
+    direction: str = "out",
+) -> tuple[DataFrame, DataFrame]:
+    """Neighbourhoods of many seeds that share their draws: ``(links, reached)``.
+
+    ``links`` (``hop, src_type, rel, dst_type, src, dst``) holds what was drawn at each node of each hop, once however many
+    seeds meet there: a draw depends on node and hop, not on the seed. ``reached`` (``seed_type, seed_id, hop, node_type,
+    node_id``) says which seeds meet at which node. ``links_of_seeds`` gives each seed its own links.
+    """
+    reached = seeds.select("seed_type", "seed_id").distinct().select(
+        "seed_type", "seed_id", F.col("seed_type").alias("node_type"), F.col("seed_id").alias("node_id")
+    )
+    hops, sets = [], []
+    for hop in range(num_hops):
+        fanout = None if max_neighbors is None else max_neighbors[min(hop, len(max_neighbors) - 1)]
+        frontier = reached.select(F.lit(hop).alias("hop"), "node_type", "node_id").distinct()
+        drawn = draw_links(frontier, _adjacency_of(edges, frontier, fanout, direction), fanout, seed, ["hop"])
+        drawn = materialize(drawn, f"shared{hop}")
+        hops.append(_oriented(drawn, direction))
+        sets.append(reached.withColumn("hop", F.lit(hop)))
+        if hop + 1 < num_hops:
+            steps = drawn.select("node_type", "node_id", "far_type", "far").distinct()
+            met = reached.join(steps, ["node_type", "node_id"]).select(
+                "seed_type", "seed_id", F.col("far_type").alias("node_type"), F.col("far").alias("node_id")
+            )
+            reached = materialize(met.distinct(), f"reached{hop + 1}")
+    reached = reduce(DataFrame.unionByName, sets).select("seed_type", "seed_id", "hop", "node_type", "node_id")
+    return reduce(DataFrame.unionByName, hops), reached
+
+
+def links_of_seeds(links: DataFrame, reached: DataFrame, direction: str = "out") -> DataFrame:
+    """The links of ``khop_shared`` for each seed, in the columns of ``khop_edges``."""
+    near = "src" if direction == "out" else "dst"
+    here = reached.withColumnsRenamed({"node_type": f"{near}_type", "node_id": near})
+    return here.join(links, ["hop", f"{near}_type", near]).select(
+        "seed_type", "seed_id", "hop", "src_type", "rel", "dst_type", "src", "dst"
+    )
+
+
 def neighbor_blocks(
     targets: DataFrame,
     edges: DataFrame | Adjacency,

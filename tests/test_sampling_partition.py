@@ -9,6 +9,7 @@ from hetgraph.operators import ids as I
 from hetgraph.operators import partition as P
 from hetgraph.operators import sampling as S
 from hetgraph.operators import structure as ST
+from hetgraph.sinks.store import GraphStore
 
 
 def edges_of(spark, pairs, rel="r"):
@@ -102,6 +103,34 @@ def test_khop_matches_brute_force_without_limits(spark, graph):
     assert Counter((r.seed_id, r.hop, r.rel, r.src, r.dst) for r in got) == want
 
 
+def test_shared_khop_without_limits_is_khop(spark, graph):
+    seeds = graph[0].where("node_type = 'user'").select(F.col("node_type").alias("seed_type"), F.col("node_id").alias("seed_id"))
+    edges = graph[1].where("rel <> 'purchase'")
+    columns = ["seed_type", "seed_id", "hop", "src_type", "rel", "dst_type", "src", "dst"]
+    got = S.links_of_seeds(*S.khop_shared(seeds, edges, 2, None)).select(columns).collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, S.khop_edges(seeds, edges, 2, None).select(columns).collect()))
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_seeds_that_meet_share_a_draw(spark, tmp_path, stored):
+    # 300 seeds meet at node 0: its links are fetched once, 2 rows in place of 600.
+    e = edges_of(spark, [(i, 0) for i in range(1, 301)] + [(0, 1000 + i) for i in range(4000)])
+    if stored:
+        store = GraphStore(spark, str(tmp_path / "g"))
+        store.write_adjacency(e)
+        e = store.read_adjacency()
+    links, reached = S.khop_shared(seeds_of(spark, [*range(1, 301), 7, 9999]), e, 2, [1, 2])
+    fetched = Counter(r.hop for r in links.collect())
+    assert fetched == {0: 300, 1: 2}
+    assert Counter(r.hop for r in reached.collect()) == {0: 301, 1: 300}
+    own = S.links_of_seeds(links, reached).collect()
+    assert Counter(r.hop for r in own) == {0: 300, 1: 600}
+    ends = {(r.src, r.dst) for r in own if r.hop == 1}
+    assert len(ends) == 2 and {s for s, _ in ends} == {0}
+    back, met = S.khop_shared(seeds_of(spark, [0]), edges_of(spark, [(1, 0), (1, 0), (2, 1)]), 2, [5], direction="in")
+    assert sorted((r.hop, r.src, r.dst) for r in S.links_of_seeds(back, met, "in").collect()) == [(0, 1, 0), (0, 1, 0), (1, 2, 1)]
+
+
 def test_many_seeds_on_one_super_node(spark):
     # Every seed reaches node 0, which has 4000 neighbours: the draw fetches 2 per seed.
     e = edges_of(spark, [(i, 0) for i in range(1, 301)] + [(0, 1000 + i) for i in range(4000)])
