@@ -117,11 +117,16 @@ def build_adjacency(edges: DataFrame, direction: str = "out") -> Adjacency:
 
 
 def adjacency_lists(adjacency: Adjacency, width: int = 1024) -> DataFrame:
-    """Neighbour lists in blocks of at most ``width``, so a super node is many rows, not one."""
-    group = ["near_type", "rel", "far_type", "near"]
+    """Neighbour lists in blocks of at most ``width``, so a super node is many rows, not one.
+
+    The blocks are collected one after the other over sorted rows (see ``runtime.tune``): a task's memory holds one list and a sort.
+    """
+    # The id comes first, as in ``build_adjacency``.
+    group = ["near", "near_type", "rel", "far_type"]
     placed = adjacency.links.join(adjacency.heads, group).withColumn(
         "block", F.floor((F.col("pos") - F.col("start")) / width).cast("long")
     )
-    return placed.groupBy(*group, "block").agg(
+    lists = placed.groupBy(*group, "block").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("pos", "far"))), lambda x: x["far"]).alias("neighbors")
     )
+    return lists.select("near_type", "rel", "far_type", "near", "block", "neighbors")
