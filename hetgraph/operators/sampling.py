@@ -162,6 +162,61 @@ def khop_edges(
     return reduce(DataFrame.unionByName, hops)
 
 
+def khop_counts(
+    seeds: DataFrame, edges: DataFrame, num_hops: int = 2, direction: str = "out", listed: int = 65_536
+) -> DataFrame:
+    """Links and different far ends of whole neighbourhoods: ``seed_type, seed_id, hop, rel, num_edges, num_nodes``.
+
+    What ``khop_edges`` without a fan-out gives, counted, but the links of the last hop, of which there are a node's degree
+    times the seeds that reach it, are not laid out as rows: their number is a sum of degrees, and a seed gets the
+    neighbour lists of its nodes to count the different ends in. Seeds with more than ``listed`` links of a relation there, and so
+    nodes with that many, are counted by row, so no list is longer.
+    """
+    seed, far = ["seed_type", "seed_id"], "dst" if direction == "out" else "src"
+    before = khop_edges(seeds, edges, num_hops - 1, None, direction=direction) if num_hops > 1 else None
+    if before is None:
+        frontier = seeds.select(*seed, F.col("seed_type").alias("node_type"), F.col("seed_id").alias("node_id"))
+    else:
+        before = materialize(before, "hops")
+        last = before.where(F.col("hop") == num_hops - 2)
+        frontier = last.select(*seed, F.col(f"{far}_type").alias("node_type"), F.col(far).alias("node_id"))
+    frontier = materialize(frontier.distinct(), "frontier")
+
+    names = {"near_type": "node_type", "near": "node_id"}
+    links = _adjacency_of(edges, frontier, None, direction).links.withColumnsRenamed(names)
+    node = ["node_type", "node_id"]
+    heads = links.groupBy(*node, "rel").agg(F.count(F.lit(1)).alias("degree"))
+    totals = materialize(
+        frontier.join(heads, node).groupBy(*seed, "rel").agg(F.sum("degree").alias("num_edges")), "totals"
+    )
+    large = totals.where(F.col("num_edges") > listed).select(*seed, "rel")
+    some = not large.isEmpty()
+
+    if some:
+        links = links.join(heads.where(F.col("degree") <= listed).drop("degree"), [*node, "rel"], "left_semi")
+    lists = links.groupBy(*node, "rel").agg(F.collect_list("far").alias("fars"))
+    met = frontier.join(lists, node).select(*seed, "rel", "fars")
+    if some:
+        met = met.join(large, [*seed, "rel"], "left_anti")
+    # At most ``listed`` numbers in one group.
+    ends = met.groupBy(*seed, "rel").agg(F.size(F.array_distinct(F.flatten(F.collect_list("fars")))).cast("long").alias("num_nodes"))
+    if some:
+        by_row = frontier.join(large.select(*seed).distinct(), seed, "left_semi").join(
+            _adjacency_of(edges, frontier, None, direction).links.withColumnsRenamed(names), node
+        )
+        by_row = by_row.join(large, [*seed, "rel"], "left_semi")
+        ends = ends.unionByName(by_row.groupBy(*seed, "rel").agg(F.count_distinct("far").alias("num_nodes")))
+    counted = totals.join(ends, [*seed, "rel"]).select(
+        *seed, F.lit(num_hops - 1).alias("hop"), "rel", "num_edges", "num_nodes"
+    )
+    if before is None:
+        return counted
+    earlier = before.groupBy(*seed, "hop", "rel").agg(
+        F.count(F.lit(1)).alias("num_edges"), F.count_distinct(far).alias("num_nodes")
+    )
+    return earlier.unionByName(counted)
+
+
 def khop_nodes(seeds: DataFrame, sampled: DataFrame, direction: str = "out") -> DataFrame:
     """Nodes of each sampled neighbourhood as a set; a seed without edges keeps itself."""
     far = "dst" if direction == "out" else "src"
