@@ -47,7 +47,7 @@ class GraphStore:
         max_rows: int = 10_000_000,
         state: int | None = None,
     ):
-        """``num_chunks`` fixes the number of write tasks; without it Spark chooses by size.
+        """``num_chunks`` is the least number of write tasks, a large table gets more; without it Spark chooses by size.
 
         Reads follow the newest state, or always the one numbered ``state``.
         """
@@ -136,18 +136,32 @@ class GraphStore:
             for i, p in enumerate(parts)
         ]
         seen = Observation(f"{name}-{version[:8]}")
-        even = df.hint("rebalance") if self.num_chunks is None else df.repartition(self.num_chunks)
-        (
-            even.observe(seen, *counts, *[c.alias(m) for m, c in metrics.items()])
-            .write.option("maxRecordsPerFile", self.max_rows)
-            .partitionBy(*keys)
-            .parquet(f"{self.root}/{name}/version={version}")
-        )
+        even = df.hint("rebalance") if self.num_chunks is None else df.hint("rebalance", self.num_chunks)
+        with self._as_many_tasks():
+            (
+                even.observe(seen, *counts, *[c.alias(m) for m, c in metrics.items()])
+                .write.option("maxRecordsPerFile", self.max_rows)
+                .partitionBy(*keys)
+                .parquet(f"{self.root}/{name}/version={version}")
+            )
         found = seen.get
         rows = [found[f"__rows{i}"] for i in range(len(parts))]
         self._name(name, [{**p, "version": version} for p, n in zip(parts, rows) if n], parts)
         return rows, found
 
+    @contextmanager
+    def _as_many_tasks(self) -> Iterator[None]:
+        """Inside, ``num_chunks`` partitions of a rebalanced table are split if they are too large, and not merged if they are small."""
+        name, before = "spark.sql.adaptive.coalescePartitions.enabled", None
+        if self.num_chunks is not None:
+            before = self.spark.conf.get(name)
+            self.spark.conf.set(name, "false")
+        try:
+            yield
+        finally:
+            if before is not None:
+                self.spark.conf.set(name, before)
+
     def _write_whole(self, df: DataFrame, name: str, *keys: str, **settings) -> DataFrame:
         """Replace a table that is not kept by type."""
         version = uuid.uuid4().hex
