@@ -386,21 +386,52 @@ def negative_edges(edges: DataFrame, ranges: DataFrame, k: int = 1, seed: int =
     return draws.join(known, ["src_type", "rel", "dst_type", "src", "dst"], "left_anti")
 
 
-def exact_negatives(edges: DataFrame, ranges: DataFrame, k: int = 1, seed: int = 42) -> DataFrame:
+def exact_negatives(edges: DataFrame, ranges: DataFrame, k: int = 1, seed: int = 42, listed: int = 1024) -> DataFrame:
     """For every distinct edge ``min(k, candidates)`` different edges that are not in the graph.
 
     ``edges`` and ``ranges`` as for ``negative_edges``. Candidates of an edge are the ids of the target type that its
     source has no link to under its relation. Nothing is drawn and thrown away, and no candidates are listed: of the
     ``c`` candidates of a source, ``k`` ranks out of ``0 .. c-1`` are drawn (Floyd's method), and the one of rank r is
     r plus the number of neighbours up to it. With the neighbours numbered ``d_0 < d_1 < ...`` from the start of the range
-    these are the ones with ``d_j - j <= r``. Gaps ``d_j - j`` and ranks are put into one order by source, and the count
+    these are the ones with ``d_j - j <= r``. A source of at most ``listed`` links holds its gaps ``d_j - j`` as a list, and its
+    edges count in it. For others gaps and ranks are put into one order by source, and the count
     is a running total, so a source that has links to a third of all ids is spread over the sort's partitions like
     any other. Ends outside the range of their type are no neighbours. Edges of a type without a range have no candidates.
     """
-    triple = ["src_type", "rel", "dst_type"]
-    known = materialize(edges.select(*triple, "src", "dst").where("src IS NOT NULL").distinct(), "known")
+    source = ["src_type", "rel", "dst_type", "src"]
+    known = materialize(edges.select(*source, "dst").where("src IS NOT NULL").distinct(), "known")
     # One row per node type.
     spans = F.broadcast(ranges.select(F.col("node_type").alias("dst_type"), "start_id", "num_ids"))
+    large = known.groupBy(*source).agg(F.count(F.lit(1)).alias("links")).where(F.col("links") > listed)
+    large = materialize(large.select(*source), "large")
+    if large.isEmpty():
+        return _negatives_by_list(known, spans, k, seed, listed)
+    by_row = _negatives_by_row(materialize(known.join(large, source, "left_semi"), "known"), spans, k, seed)
+    return _negatives_by_list(known.join(large, source, "left_anti"), spans, k, seed, max(listed, 1)).unionByName(by_row)
+
+
+def _negatives_by_list(known: DataFrame, spans: DataFrame, k: int, seed: int, listed: int) -> DataFrame:
+    """``exact_negatives`` of sources with few links: one exchange by source."""
+    source = ["src_type", "rel", "dst_type", "src"]
+    # In structs, since a list leaves out nulls.
+    lists = known.join(spans, "dst_type").groupBy(*source, "start_id", "num_ids").agg(F.collect_list(F.struct("dst")).alias("ends"))
+    places = F.transform("ends", lambda e: e["dst"] - F.col("start_id"))
+    inside = F.sort_array(F.filter(places, lambda d: (d >= 0) & (d < F.col("num_ids"))))
+    gaps = lists.select(*source, "start_id", "num_ids", "ends", F.transform(inside, lambda d, i: d - i).alias("gaps"))
+    each = gaps.select(*source, "start_id", "num_ids", "gaps", F.explode("ends.dst").alias("dst"))
+    ranks = draw_positions(F.col("num_ids") - F.size("gaps"), k, seed, *[F.col(c) for c in source], F.col("dst"))
+    drawn = each.select(*source, "dst", "start_id", "gaps", F.explode(ranks).alias("at"))
+    # Gaps do not fall: how many are at most a rank is found by halving.
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(listed.bit_length()))])
+    below = F.aggregate(
+        steps, F.lit(0), lambda n, step: F.when(F.get("gaps", n + step - 1) <= F.col("at"), n + step).otherwise(n)
+    )
+    return drawn.select(*source, "dst", (F.col("start_id") + F.col("at") + below).alias("negative"))
+
+
+def _negatives_by_row(known: DataFrame, spans: DataFrame, k: int, seed: int) -> DataFrame:
+    """``exact_negatives`` of sources with any number of links: two range sorts."""
+    triple = ["src_type", "rel", "dst_type"]
     inside = known.join(spans, "dst_type").where("dst >= start_id AND dst < start_id + num_ids")
     links = with_row_index(inside.select(*triple, "src", "dst", "start_id"), ["src", *triple, "dst"], "pos")
     links = materialize(links, "neighbours")
