@@ -25,7 +25,7 @@ from hetgraph.functions.vectors import (
     weighted_mean_by,
 )
 from hetgraph.functions.weights import random_linear
-from hetgraph.operators.propagate import RELATION, TARGET, reduce_neighbors, sum_vectors
+from hetgraph.operators.propagate import RELATION, TARGET, reduce_neighbors, shared_states, shares_vectors, sum_vectors
 from hetgraph.runtime import materialize
 from hetgraph.schema import EdgeType, TrainConfig, etype_name, is_etype
 
@@ -156,10 +156,24 @@ def sage_layer(edges: DataFrame, h: DataFrame, layer: SageLayer) -> DataFrame:
         )
         reduced = reduce_by(met, RELATION, "h", dim, "max")
     else:
+        reduced = None
+    matrices = {k: [(w, None)] for k, w in _name(layer.neighbor).items()}
+    if reduced is None and layer.reducer in ("mean", "sum") and layer.out_dim < layer.in_dim:
+        h = materialize(h.select("node_type", "node_id", "h"), "states")
+        if not shares_vectors(h, layer.in_dim):
+            # Multiplied first, since the result is shorter and an edge moves it.
+            short = _per_etype(h, layer.neighbor, "src").select(
+                "src_type", "rel", "dst_type", "src", dense(matrices, etype_name(), "h").alias("h")
+            )
+            met = known.select("src_type", "rel", "dst_type", "src", "dst").join(short, ["src_type", "rel", "dst_type", "src"])
+            neighbor = reduce_by(met, RELATION, "h", layer.out_dim, layer.reducer).select(*RELATION, F.col("m").alias("h"))
+            return _with_own_terms(h, neighbor, layer)
+    if reduced is None:
         reduced = reduce_neighbors(known, h, layer.in_dim, layer.reducer)
-    neighbor = reduced.select(
-        *RELATION, dense({k: [(w, None)] for k, w in _name(layer.neighbor).items()}, etype_name(), "m").alias("h")
-    )
+    return _with_own_terms(h, reduced.select(*RELATION, dense(matrices, etype_name(), "m").alias("h")), layer)
+
+
+def _with_own_terms(h: DataFrame, neighbor: DataFrame, layer: SageLayer) -> DataFrame:
     own = {e: (layer.own.get(e, np.zeros_like(w)), layer.bias[e]) for e, w in layer.neighbor.items()}
     stacked = _own_terms(h, own, layer.out_dim).unionByName(_as_node(neighbor, "h"))
     return sum_vectors(stacked, ["node_type", "node_id"], "h", layer.out_dim)
@@ -234,19 +248,95 @@ def attention_weights(edges: DataFrame, h: DataFrame, layer: GatLayer) -> DataFr
     )
 
 
-def gat_layer(edges: DataFrame, h: DataFrame, layer: GatLayer) -> DataFrame:
-    """Attention-weighted sum per edge type, heads side by side, residual and bias, summed over edge types.
+#: Largest difference of two source scores at which ``exp`` of it is still far from the smallest double.
+SPREAD = 600.0
 
-    Numerator and denominator of the softmax are summed in one aggregation.
+
+def _bounds(rows: DataFrame, layer: GatLayer) -> dict[str, list[float]] | None:
+    """Per edge type the largest source score of each head; nothing if scores lie too far apart to be measured from it.
+
+    Comes to the driver as one row per edge type.
+    """
+    heads, width = layer.heads, layer.heads * layer.dim
+    ends = [f(F.get("x", F.lit(width + k))).alias(f"{n}{k}") for k in range(heads) for n, f in (("hi", F.max), ("lo", F.min))]
+    tops = {}
+    for r in rows.groupBy(etype_name().alias("etype")).agg(*ends).collect():
+        if not all(r[f"hi{k}"] is not None and r[f"hi{k}"] - r[f"lo{k}"] <= SPREAD for k in range(heads)):
+            return None
+        tops[r["etype"]] = [r[f"hi{k}"] for k in range(heads)]
+    return tops
+
+
+def _powers(tops: dict[str, list[float]], layer: GatLayer, times: str | None = None):
+    """``exp`` of the score above the bound of its target, per head, out of ``x`` of the source and ``d`` of the target."""
+    width = layer.heads * layer.dim
+    top = F.create_map(*[c for n, v in tops.items() for c in (F.lit(n), F.array(*map(F.lit, v)))])[etype_name()]
+    scores = F.slice("x", width + 1, layer.heads)
+    raw = F.zip_with(scores, "d", lambda s, d: leaky_relu(s + d))
+    powers = F.zip_with(raw, F.zip_with(top, "d", lambda t, d: leaky_relu(t + d)), lambda e, t: F.exp(e - t))
+    return powers if times is None else F.transform(powers, lambda w: w * F.col(times))
+
+
+def _attended(edges: DataFrame, h: DataFrame, layer: GatLayer) -> DataFrame:
+    """``RELATION, m``: the weighted sum of the sources' projections per target and edge type.
+
+    A softmax may be measured from any number that its scores share. The score grows with the source's part of it, so the largest such part of an
+    edge type bounds the scores of a target without a look at its links: an edge moves to its target once, with projection and score of
+    its source. Where scores lie so far apart that this could lose them, the maximum of each target is looked up. If nodes share their
+    vectors, edges carry codes, which are counted per target (see ``propagate``).
     """
     heads, dim = layer.heads, layer.dim
     width = heads * dim
-    names = _name(layer.project)
-    projected = _per_etype(h, layer.project, "src").select(
-        "src_type", "rel", "dst_type", "src", dense({k: [(w, None)] for k, w in names.items()}, etype_name(), "h").alias("p")
+    in_dim = next(iter(layer.project.values())).shape[1]
+    scores = lambda attn, e: np.einsum("hd,hdi->hi", attn[e], layer.project[e].reshape(heads, dim, -1))
+    sent = {e: np.vstack([layer.project[e], scores(layer.attn_src, e)]) for e in layer.project}
+
+    def side(states, end, matrices, name):
+        held = _per_etype(states, layer.project, end)
+        return held.select(*RELATION[:3], end, dense({k: [(w, None)] for k, w in _name(matrices).items()}, etype_name(), "h").alias(name))
+
+    links = edges.select("src_type", "rel", "dst_type", "src", "dst")
+    received = {e: scores(layer.attn_dst, e) for e in layer.project}
+    h = materialize(h.select("node_type", "node_id", "h"), "states")
+    shared = shared_states(h, max(in_dim, len(layer.project) * (width + heads)))
+    if shared is None:
+        states = h
+    else:
+        coded, vectors = shared
+        states = coded.select("node_type", "code").distinct().join(F.broadcast(vectors), "code")
+        states = materialize(states.select("node_type", F.col("code").alias("node_id"), "h"), "states")
+    source = side(states, "src", sent, "x")
+    tops = _bounds(source, layer)
+    if tops is None:
+        projected = source.select(*RELATION[:3], "src", F.slice("x", 1, width).alias("p"))
+        if shared is not None:
+            projected = side(h, "src", layer.project, "p")
+        weighted = _edge_exponents(edges, h, layer).join(projected, ["src_type", "rel", "dst_type", "src"])
+        return weighted_mean_by(weighted, RELATION, "p", "w", heads, dim)
+    if not tops:
+        return source.select(*RELATION[:3], F.col("src").alias("dst"), F.col("x").alias("m")).limit(0)
+    if shared is None:
+        met = links.join(source, ["src_type", "rel", "dst_type", "src"]).join(side(h, "dst", received, "d"), RELATION)
+        weighted = met.select(*RELATION, F.slice("x", 1, width).alias("p"), _powers(tops, layer).alias("w"))
+        return weighted_mean_by(weighted, RELATION, "p", "w", heads, dim)
+    named = lambda end: coded.select(F.col("node_type").alias(f"{end}_type"), F.col("node_id").alias(end), "code")
+    tallies = (
+        links.join(named("src"), ["src_type", "src"]).groupBy(*RELATION, F.col("code").alias("src")).agg(F.count(F.lit(1)).alias("times"))
     )
-    weighted = _edge_exponents(edges, h, layer).join(projected, ["src_type", "rel", "dst_type", "src"])
-    attended = weighted_mean_by(weighted, RELATION, "p", "w", heads, dim)
+    met = tallies.repartition("dst_type", "dst").join(named("dst"), ["dst_type", "dst"])
+    target = side(states, "dst", received, "d").withColumnRenamed("dst", "code")
+    met = met.join(F.broadcast(source), ["src_type", "rel", "dst_type", "src"]).join(F.broadcast(target), [*RELATION[:3], "code"])
+    weighted = met.select(*RELATION, F.slice("x", 1, width).alias("p"), _powers(tops, layer, "times").alias("w"))
+    return weighted_mean_by(weighted, RELATION, "p", "w", heads, dim)
+
+
+def gat_layer(edges: DataFrame, h: DataFrame, layer: GatLayer) -> DataFrame:
+    """Attention-weighted sum per edge type, heads side by side, residual and bias, summed over edge types.
+
+    Numerator and denominator of the softmax are summed in one aggregation.
+    """
+    width = layer.heads * layer.dim
+    attended = _attended(edges, h, layer)
     in_dim = next(iter(layer.project.values())).shape[1]
     own = {e: (layer.residual.get(e, np.zeros((width, in_dim))), layer.bias[e]) for e in layer.project}
     stacked = _own_terms(h, own, width).unionByName(_as_node(attended, "m"))
