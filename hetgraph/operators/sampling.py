@@ -108,6 +108,13 @@ def _adjacency_of(edges: DataFrame | Adjacency, frontier: DataFrame, fanout: int
     return Adjacency(mine.withColumnsRenamed(names).withColumn("pos", F.lit(0)), mine)
 
 
+def _widely(edges: DataFrame, frontier: DataFrame, direction: str) -> bool:
+    """Whether the frontier holds at least half of the nodes that have links, by sketches of both."""
+    near = "src" if direction == "out" else "dst"
+    ends = edges.agg(F.approx_count_distinct(F.xxhash64(f"{near}_type", near))).first()[0]
+    return 2 * frontier.select("node_type", "node_id").agg(F.approx_count_distinct(F.xxhash64("node_type", "node_id"))).first()[0] >= ends
+
+
 def fanout_sample(edges: DataFrame, k: int, seed: int = 42, direction: str = "out") -> DataFrame:
     """For every node and edge type at most ``k`` of its links; all of them if there are no more."""
     adjacency = build_adjacency(edges, direction)
@@ -280,11 +287,15 @@ def neighbor_blocks(
 
     ``fanouts`` are given from the input layer to the output layer, so the last one is used
     first. A node is sampled once per layer however many targets reach it. The nodes of a
-    layer are those of the layer above it and the far ends drawn there.
+    layer are those of the layer above it and the far ends drawn there. Links are laid out for the nodes of a layer; once a
+    layer, whose nodes belong to all later ones, has half of the nodes, all links are laid out for the rest of the layers.
     """
     frontier = targets.select("node_type", "node_id").distinct()
     layers = []
     for layer in range(len(fanouts) - 1, -1, -1):
+        again = layer > 0 and all(f is not None for f in fanouts[: layer + 1])
+        if again and not isinstance(edges, Adjacency) and _widely(edges, frontier, direction):
+            edges = build_adjacency(edges, direction)
         adjacency = _adjacency_of(edges, frontier, fanouts[layer], direction)
         drawn = draw_links(frontier.withColumn("layer", F.lit(layer)), adjacency, fanouts[layer], seed, ["layer"])
         if layer:
