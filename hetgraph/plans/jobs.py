@@ -35,8 +35,9 @@ def export_graph(spark: SparkSession, read: TableReader, config: GraphConfig, dt
     store = GraphStore(spark, config.output_path)
     # Nodes, edges and their description become visible together.
     with store.snapshot():
-        store.write_nodes(attach_global_id(nodes, id_map), config.node_types)
-        store.write_edges(rewrite_edges(edges, id_map), edge_types)
+        # Both come out of joins by node: another exchange, of all vectors and edges, would not lay them out better.
+        store.write_nodes(attach_global_id(nodes, id_map), config.node_types, placed=True)
+        store.write_edges(rewrite_edges(edges, id_map), edge_types, placed=True)
         stats = store.get_stats()
         dims = stats["feature_dims"]
         # One row per type each.

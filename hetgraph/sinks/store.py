@@ -123,12 +123,13 @@ class GraphStore:
 
     # --- writing --------------------------------------------------------------------------
 
-    def _write(self, df: DataFrame, name: str, parts: Sequence[dict[str, str]], metrics: dict[str, Column]) -> tuple[list[int], dict]:
+    def _write(self, df: DataFrame, name: str, parts: Sequence[dict[str, str]], metrics: dict[str, Column], placed: bool = False) -> tuple[list[int], dict]:
         """Replace ``parts`` of a table; rows per part, and what was observed besides.
 
-        Partitions are evened out at run time, whatever type or node dominates, to at least
-        ``num_chunks`` files; large tables get more files and not larger ones. Counting after
-        that exchange keeps a stage that runs again from counting twice.
+        With ``num_chunks`` partitions are evened out at run time, whatever type or node dominates, to at least
+        that many files; large tables get more files and not larger ones. Counting after
+        that exchange keeps a stage that runs again from counting twice. Rows that come out of an exchange by node, which
+        is evened out and split at run time, are written as they lie (``placed``): also that stage is the last one.
         """
         version, keys = uuid.uuid4().hex, list(parts[0])
         counts = [
@@ -136,7 +137,10 @@ class GraphStore:
             for i, p in enumerate(parts)
         ]
         seen = Observation(f"{name}-{version[:8]}")
-        even = df.hint("rebalance") if self.num_chunks is None else df.hint("rebalance", self.num_chunks)
+        if self.num_chunks is not None:
+            even = df.hint("rebalance", self.num_chunks)
+        else:
+            even = df if placed else df.hint("rebalance")
         with self._as_many_tasks():
             (
                 even.observe(seen, *counts, *[c.alias(m) for m, c in metrics.items()])
@@ -177,10 +181,12 @@ class GraphStore:
         id_col: str = "global_id",
         feature_col: str = "feature_vec",
         label_col: str = "label",
+        placed: bool = False,
     ) -> dict[str, int]:
         """Write a long node table; features and label are optional. Returns rows per type.
 
-        Counts and feature lengths are observed while the rows are written.
+        Counts and feature lengths are observed while the rows are written. ``placed`` says that the rows come out of a join
+        by node and need no further exchange; ``num_chunks`` asks for one all the same.
         """
         columns = [F.col(id_col).alias("node_id")]
         if feature_col in nodes.columns:
@@ -191,7 +197,7 @@ class GraphStore:
         dims = {}
         if "feat" in out.columns:
             dims = {f"dim{i}": F.max(F.when(F.col("node_type") == t, F.size("feat"))) for i, t in enumerate(node_types)}
-        rows, found = self._write(out, "node_data", [{"node_type": t} for t in node_types], dims)
+        rows, found = self._write(out, "node_data", [{"node_type": t} for t in node_types], dims, placed)
         counts = dict(zip(node_types, rows))
         self._stats["node_types"].update(counts)
         for i, t in enumerate(node_types):
@@ -207,14 +213,15 @@ class GraphStore:
         src_col: str = "src",
         dst_col: str = "dst",
         weight_col: str | None = "edge_weight",
+        placed: bool = False,
     ) -> dict[str, int]:
-        """Write a long edge table; the weight is optional. Returns rows per edge type."""
+        """Write a long edge table; the weight is optional. Returns rows per edge type. ``placed`` as for nodes."""
         columns = [F.col(src_col).alias("src_id"), F.col(dst_col).alias("dst_id")]
         if weight_col and weight_col in edges.columns:
             columns.append(F.col(weight_col).alias("weight"))
         names = [EdgeType(*e).name for e in edge_types]
         out = edges.select(*columns, etype_name().alias("etype")).where(F.col("etype").isin(names))
-        rows, _ = self._write(out, "edge_data", [{"etype": n} for n in names], {})
+        rows, _ = self._write(out, "edge_data", [{"etype": n} for n in names], {}, placed)
         counts = dict(zip(names, rows))
         self._stats["edge_types"].update(counts)
         return counts
