@@ -726,11 +726,10 @@ def _(t):
 def _(t):
     # Every node once with its weight; the map itself has no SQL, so its quota and cut are audited.
     nodes, edges = t.graph()
-    owner = materialize(cut_aware_map(edges, nodes, 8, rounds=4), "owner")
+    edges = materialize(edges.select("src_type", "rel", "dst_type", "src", "dst"), "edges")
     before = materialize(P.balanced_map(edges, nodes, 8), "before")
-
-    def cut(held):
-        return P.edge_cut(edges, owner=held.drop("weight")).agg(F.sum("cut_edges")).scalar()
+    owner = materialize(cut_aware_map(edges, nodes, 8, rounds=4, start=before), "owner")
+    cuts = P.cut_totals(edges, {"before": before, "after": owner}).first()
 
     def most(held):
         return held.groupBy("partition_id").agg(F.sum("weight").alias("load")).agg(F.max("load")).scalar()
@@ -739,7 +738,7 @@ def _(t):
     quota = F.greatest(F.floor(total * 1.05 / 8), most(before))
     return owner.select(
         "node_type", "node_id", "weight", F.col("partition_id").between(0, 7).alias("placed"),
-        (most(owner) <= quota).alias("quota_kept"), (cut(owner) < cut(before)).alias("cuts_less"),
+        (most(owner) <= quota).alias("quota_kept"), F.lit(cuts.after < cuts.before).alias("cuts_less"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -180,6 +181,16 @@ def edge_cut(edges: DataFrame, n: int = 0, method: str = "random", seed: int = 4
     ).withColumn("cut_ratio", F.col("cut_edges") / F.col("num_edges"))
 
 
+def cut_totals(edges: DataFrame, owners: dict[str, DataFrame]) -> DataFrame:
+    """One row: for each named map the number of edges whose ends live apart. All maps must hold the same nodes; the edges
+    meet them together."""
+    key = ["node_type", "node_id"]
+    named = [o.select(*key, F.col("partition_id").alias(name)) for name, o in owners.items()]
+    held = reduce(lambda a, b: a.join(b, key), named).select(*key, F.struct(*owners).alias("partition_id"))
+    apart = [F.count_if(F.col(f"partition_id.{name}") != F.col(f"owner_id.{name}")).alias(name) for name in owners]
+    return _owned_edges(edges, held).agg(*apart)
+
+
 class LocalGraph(NamedTuple):
     """A partitioned graph in which every partition names its nodes by itself.
 
