@@ -7,7 +7,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hetgraph.operators.ids import number_copies, with_row_index
+from hetgraph.operators.ids import with_row_index
+from hetgraph.runtime import materialize
 
 SUPER_NODE_DEGREE = 10_000
 
@@ -99,7 +100,11 @@ def slot_of(near_type: str, near: str, slots: int) -> Column:
 
 
 def build_adjacency(edges: DataFrame, direction: str = "out") -> Adjacency:
-    """Lay the edges out by source (``out``) or by target (``in``). Parallel edges stay apart."""
+    """Lay the edges out by source (``out``) or by target (``in``). Parallel edges stay apart.
+
+    The edges are written before they are sorted: the place of a row in its file tells equal rows apart, also in a task that runs
+    again, and what gives the edges is not run once more for the bounds of the sort.
+    """
     near, far = ("src", "dst") if direction == "out" else ("dst", "src")
     ends = edges.select(
         F.col(f"{near}_type").alias("near_type"),
@@ -110,7 +115,7 @@ def build_adjacency(edges: DataFrame, direction: str = "out") -> Adjacency:
     )
     # The id comes first: it tells rows apart in one comparison of longs.
     group = ["near", "near_type", "rel", "far_type"]
-    unique = number_copies(ends, [*group, "far"])
+    unique = materialize(ends, "ends").withColumn("copy", F.monotonically_increasing_id())
     links = with_row_index(unique, [*group, "far", "copy"], "pos").drop("copy")
     heads = links.groupBy(*group).agg(F.min("pos").alias("start"), F.count(F.lit(1)).alias("degree"))
     return Adjacency(links, heads)

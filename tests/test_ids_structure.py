@@ -186,3 +186,30 @@ def test_a_hot_source_is_split(spark):
     for i in range(n):
         want.setdefault(i % 50, []).append(0 if i % 3 == 0 else i)
     assert all(abs(got[d] - sum(v) / len(v)) < 1e-6 for d, v in want.items())
+
+
+def test_adjacency_sorts_a_written_table(spark, monkeypatch):
+    """The pass for the bounds of the sort reads files alone, and equal edges still spread over its partitions."""
+    seen, real = [], ST.with_row_index
+    monkeypatch.setattr(ST, "with_row_index", lambda df, *a: seen.append(df) or real(df, *a))
+    copies = spark.range(40_000).selectExpr(
+        "'u' src_type", "'r' rel", "'i' dst_type", "if(id < 30000, 7, id % 5) src", "if(id < 30000, 3, id % 9) dst"
+    )
+    edges = copies.repartition(6, "dst").groupBy(*copies.columns).count().selectExpr(
+        "src_type", "rel", "dst_type", "src", "dst", "explode(sequence(1, count)) k"
+    ).drop("k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        built = ST.build_adjacency(edges)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+    links = built.links.orderBy("pos").collect()
+    assert [r.pos for r in links] == list(range(40_000))
+    order = [(r.near, r.far) for r in links]
+    assert order == sorted(order) and order.count((7, 3)) == 30_000
+    held = built.links.where("near = 7").select(F.input_file_name()).distinct().count()
+    assert held > 1
+    heads = {(r.near, r.start, r.degree) for r in built.heads.collect()}
+    assert heads == {(n, min(i for i, o in enumerate(order) if o[0] == n), sum(o[0] == n for o in order)) for n in (0, 1, 2, 3, 4, 7)}
