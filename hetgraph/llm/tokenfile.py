@@ -39,7 +39,7 @@ SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 #: Bytes of ids after which a frame ends, and bytes of text to a file.
 FRAME_BYTES, FILE_BYTES = 1 << 18, 64 << 20
 #: Strings that a worker process remembers, in each of two generations.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 #: ASCII signs, which are neither letters nor digits nor spaces.
 SIGNS = string.punctuation
 #: Strings that the tokenizer gets in one call.
@@ -126,22 +126,31 @@ class Tokens:
         self.direct = all(
             ids(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in ("a", "the", "unwordlike", "qzx")
         )
-        self.young: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         parts = [t.replace("\n", " ").split(" ") for t in texts]
-        self._learn({p for ps in parts for p in ps})
-        young = self.young
-        return [b"".join([young[p] for p in ps if p]) for ps in parts]
+        self._learn(set().union(*parts))
+        found = self.young.__getitem__
+        return [b"".join(map(found, ps)) for ps in parts]
+
+    def _unknown(self, parts) -> list[str]:
+        """Those that neither generation holds; those of the older one are moved to the young one."""
+        young, older, new = self.young, self.older, []
+        for p in parts:
+            if p not in young:
+                ids = older.get(p)
+                if ids is None:
+                    new.append(p)
+                else:
+                    young[p] = ids
+        return new
 
     def _learn(self, parts: set[str]):
-        parts.discard("")
         if len(self.young) > REMEMBERED:
-            self.older, self.young = self.young, {}
-        new = [p for p in parts if p not in self.young and p not in self.older]
-        for p in parts.intersection(self.older):
-            self.young[p] = self.older[p]
+            self.older, self.young = self.young, {"": b""}
+        new = self._unknown(parts)
         # Case and trailing signs make many strings of one: no token holds a letter and a sign after it.
         split = {}
         for p in new:
@@ -154,12 +163,9 @@ class Tokens:
         for word, signs in split.values():
             single.add(word)
             single.add(signs)
-        single.discard("")
-        for p in single.intersection(self.older):
-            self.young[p] = self.older[p]
-        self._encode([p for p in single if p not in self.young])
+        self._encode(self._unknown(single))
         for p, (word, signs) in split.items():
-            self.young[p] = self.young[word] + (self.young[signs] if signs else b"")
+            self.young[p] = self.young[word] + self.young[signs]
 
     def _encode(self, new: list[str]):
         # A word of small ASCII letters comes to the model as it is: no need to prepare it.

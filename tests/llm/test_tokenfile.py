@@ -47,6 +47,20 @@ def test_words_are_exact(tokenizer):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_the_older_memory_is_looked_up_not_walked(tokenizer):
+    class Held(dict):
+        def __iter__(self):
+            raise AssertionError("all remembered strings were walked for one batch")
+
+    own = T.Tokens(PATH)
+    first, second = "an older Word, kept...", "Word, once more older Than kept... before"
+    own([first])
+    own.older, own.young = Held(own.young), {"": b""}
+    got = own([second, "", "  "])
+    assert np.frombuffer(got[0], "<u4").tolist() == tokenizer.encode(second, add_special_tokens=False).ids
+    assert got[1:] == [b"", b""] and "older" in own.young and "an" not in own.young
+
+
 def test_table(spark, tokenizer):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert rows_of(T.token_digests(docs, PATH)) == want(tokenizer, [(r.doc_id, r.text) for r in docs.collect()])
