@@ -15,6 +15,7 @@ is opened by its URI.
 from __future__ import annotations
 
 import os
+import re
 import string
 import struct
 import uuid
@@ -24,6 +25,7 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -39,9 +41,15 @@ SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 #: Bytes of ids after which a frame ends, and bytes of text to a file.
 FRAME_BYTES, FILE_BYTES = 1 << 18, 64 << 20
 #: Strings that a worker process remembers, in each of two generations.
-REMEMBERED = 300_000
-#: ASCII signs, which are neither letters nor digits nor spaces.
-SIGNS = string.punctuation
+REMEMBERED = 200_000
+#: A letter before an ASCII sign, which is neither letter nor digit nor space.
+LETTER_SIGN = f"([a-zªµºÀ-ÖØ-öø-ÿ])([{re.escape(string.punctuation)}])"
+#: Marks that compose with a letter before them, and what begins a special token.
+MARKS = r"\pM|<\|"
+#: Bytes of text whose strings are looked up together.
+RUN_BYTES = 2 << 20
+#: Strings of characters that composition leaves alone and that have their small letters one by one.
+LATIN = re.compile("[\0-\xff]*").fullmatch
 #: Strings that the tokenizer gets in one call.
 TOGETHER = 2_000
 
@@ -108,71 +116,88 @@ class Reader:
         return content
 
 
+def _parted(texts: pa.Array) -> pa.Array:
+    """Lines joined by a space, small ASCII letters, and a space between a Latin letter and an ASCII sign after it.
+
+    No token holds a letter and a sign after it. What a mark may compose with and what may be a
+    special token stays as it is.
+    """
+    lines = pc.replace_substring(texts, "\n", " ")
+    odd = pc.match_substring_regex(lines, MARKS)
+    parted = pc.replace_substring_regex(pc.ascii_lower(lines), LETTER_SIGN, r"\1 \2")
+    return pc.replace_with_mask(parted, odd, lines.filter(odd))
+
+
+def _runs(texts: pa.Array) -> Iterator[slice]:
+    """Slices of whole texts of about ``RUN_BYTES``."""
+    run = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // RUN_BYTES
+    starts = np.flatnonzero(np.diff(run, prepend=-1)).tolist()
+    return map(slice, starts, [*starts[1:], len(texts)])
+
+
 class Tokens:
     """Ids of whole texts by a tokenizer that lower-cases, drops white space and parts letters from signs.
 
-    Strings between spaces are looked up; what is new goes to the library.
+    The different strings between spaces of some texts are looked up; what is new goes to the library.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         # A special token parts strings before anything else looks at them.
         self.mark, self.mark_id = next(
             ((t.content, i) for i, t in sorted(self.tokenizer.get_added_tokens_decoder().items()) if t.special), (None, -1)
         )
-        ids = lambda w: [t.id for t in self.tokenizer.model.tokenize(w)]
-        self.direct = all(
-            ids(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in ("a", "the", "unwordlike", "qzx")
+        # The same model for words that need no preparation; the last id of a word tells its end.
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        suffix = self.tokenizer.model.end_of_word_suffix
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        self.direct = bool(suffix) and all(
+            self.bare.encode(w).ids == self.tokenizer.encode(w, add_special_tokens=False).ids
+            for w in ("a", "the", "unwordlike", "qzx", "\xe9t\xe9", "\xdf\xf1\xb5")
         )
         self.young: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        self._learn(set().union(*parts))
-        found = self.young.__getitem__
-        return [b"".join(map(found, ps)) for ps in parts]
-
-    def _unknown(self, parts) -> list[str]:
-        """Those that neither generation holds; those of the older one are moved to the young one."""
+    def __call__(self, texts: pa.Array | list[str]) -> list[bytes]:
+        parts = pc.split_pattern(_parted(pa.array(texts, pa.large_string())), " ")
+        coded = parts.flatten().dictionary_encode()
+        strings = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._learn(strings)
+        ids = pa.array([*map(self.young.__getitem__, strings)], pa.large_binary()).take(coded.indices)
+        # The ids of all strings follow one another in one buffer.
+        starts, raw = np.frombuffer(ids.buffers()[1], np.int64), ids.buffers()[2]
+        at = starts[parts.offsets.to_numpy()].tolist()
+        return [raw[a:b].to_pybytes() if a < b else b"" for a, b in zip(at, at[1:])]
+
+    def _learn(self, strings: list[str]):
+        if len(self.young) > REMEMBERED:
+            self.older, self.young = self.young, {"": b""}
         young, older, new = self.young, self.older, []
-        for p in parts:
+        for p in strings:
             if p not in young:
                 ids = older.get(p)
                 if ids is None:
                     new.append(p)
                 else:
                     young[p] = ids
-        return new
-
-    def _learn(self, parts: set[str]):
-        if len(self.young) > REMEMBERED:
-            self.older, self.young = self.young, {"": b""}
-        new = self._unknown(parts)
-        # Case and trailing signs make many strings of one: no token holds a letter and a sign after it.
-        split = {}
-        for p in new:
-            if "<|" not in p:
-                q = p.lower() if p.isascii() else p
-                word = q.rstrip(SIGNS)
-                if word != p and word and word[-1].isascii() and word[-1].isalpha():
-                    split[p] = word, q[len(word) :]
-        single = {p for p in new if p not in split}
-        for word, signs in split.values():
-            single.add(word)
-            single.add(signs)
-        self._encode(self._unknown(single))
-        for p, (word, signs) in split.items():
-            self.young[p] = self.young[word] + self.young[signs]
+        self._encode(new)
 
     def _encode(self, new: list[str]):
-        # A word of small ASCII letters comes to the model as it is: no need to prepare it.
-        plain = [p for p in new if p.isascii() and p.isalpha() and p.islower()] if self.direct else []
-        tokenize = self.tokenizer.model.tokenize
-        for p in plain:
-            self.young[p] = np.array([t.id for t in tokenize(p)], "<u4").tobytes()
+        # A word of Latin letters comes to the model in small ones: no need to prepare it otherwise.
+        plain = [p for p in new if p.isalpha() and (p.isascii() or LATIN(p))] if self.direct else []
+        for at in range(0, len(plain), TOGETHER):
+            some = plain[at : at + TOGETHER]
+            ids = np.array(self.bare.encode_batch_fast([" ".join(some).lower()], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            raw = ids.tobytes()
+            self.young.update(zip(some, (raw[a:b] for a, b in zip([0, *ends], ends)), strict=True))
         if plain:
             new = [p for p in new if p not in self.young]
         alone = [p for p in new if self.mark is None or self.mark in p]
@@ -210,11 +235,11 @@ def _write(path: str, folder: str, end_id: int, frame_bytes: int, job: str):
                 system.create_dir(root, recursive=True)
                 out = system.open_output_stream(f"{root}/.{name}.tmp", compression=None)
                 encode, writer = _tokens(path), Writer(out, frame_bytes)
-            for at in range(0, len(b["text"]), 500):
-                ids = [i + end for i in encode(b["text"][at : at + 500].to_pylist())]
+            for run in _runs(b["text"]):
+                ids = [i + end for i in encode(b["text"][run])]
                 places = [writer.add(i) for i in ids]
                 yield {
-                    "doc_id": b["doc_id"][at : at + 500], "part": b["part"][at : at + 500], "file": [name] * len(ids),
+                    "doc_id": b["doc_id"][run], "part": b["part"][run], "file": [name] * len(ids),
                     "frame": [p[0] for p in places], "offset": [p[1] for p in places], "n_tokens": [len(i) // 4 for i in ids],
                 }
         if writer is not None:

@@ -61,6 +61,26 @@ def test_the_older_memory_is_looked_up_not_walked(tokenizer):
     assert got[1:] == [b"", b""] and "older" in own.young and "an" not in own.young
 
 
+def test_case_and_signs_make_no_strings_of_their_own(tokenizer):
+    own = T.Tokens(PATH)
+    text = " ".join(f"{w}{s}" for w in ("word", "Word", "WORD", "\xe9t\xe9", "\xe0\xdf", "end\n") for s in ("", ",", ".", "!?'s", "###", "|>"))
+    assert np.frombuffer(own([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert set(own.young) == {"", "word", "\xe9t\xe9", "\xe0\xdf", "end", ",", ".", "!?'s", "###", "|>"}
+
+
+def test_runs_of_a_column_are_exact(tokenizer, monkeypatch):
+    monkeypatch.setattr(T, "RUN_BYTES", 256)
+    rng = np.random.default_rng(1)
+    texts = ["", "H\u0331, h\u0331 T\u0308.", "<|ENDOFTEXT|> <|endoftext|>,x", "", "=\u0338 A,\u0338b", "I\u0307'S \u0130, \xc9\u0323!"]
+    texts += ["".join(rng.choice(list("aHI\xc9\xe9\xdf\xaa\u03a3\u212a  ,.'s<|=\n1" + "\u0331\u0307" * (i % 2)), 40)) for i in range(300)]
+    column, own, got = pa.array(["first", *texts, ""])[1:], T.Tokens(PATH), []
+    for run in T._runs(column):
+        got += own(column[run])
+    assert len(got) == len(column) and len([*T._runs(column)]) > 20
+    for t, ids in zip(texts, got):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 def test_table(spark, tokenizer):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert rows_of(T.token_digests(docs, PATH)) == want(tokenizer, [(r.doc_id, r.text) for r in docs.collect()])
