@@ -3,7 +3,8 @@
 ``df.write.format("hetgraph_kv").mode("append").option("root", folder).save()`` takes ``key, ttl, value``. A task
 writes one Parquet segment under a name of its own and hands the name over; only when all tasks are done does the
 driver publish the names in one numbered commit file. Segments of failed or repeated tasks are in no
-commit, so nobody reads them. ``root`` is any folder that pyarrow's file systems reach and all executors share.
+commit, so nobody reads them. A job that is aborted leaves an empty file by its name in ``aborted``, for
+tasks that still run. ``root`` is any folder that pyarrow's file systems reach and all executors share.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -48,23 +50,42 @@ class _Writer(DataSourceArrowWriter):
         self.job = uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Staged:
-        """One segment per task, batch by batch; a task without rows leaves none."""
+        """One segment per task, batch by batch; a task that has no rows, fails or outlives an abort leaves none."""
         store, root = _open(self.root)
         folder, name, rows, out = f"{root}/segments/{self.job}", f"{uuid.uuid4().hex}.parquet", 0, None
+        draft, final = f"{folder}/.{name}.tmp", f"{folder}/{name}"
         try:
             for batch in iterator:
                 if not batch.num_rows:
                     continue
                 if out is None:
                     store.create_dir(folder, recursive=True)
-                    out = pq.ParquetWriter(f"{folder}/{name}", _ARROW, filesystem=store, compression="zstd")
+                    out = pq.ParquetWriter(draft, _ARROW, filesystem=store, compression="zstd")
                 out.write_table(pa.Table.from_batches([batch]).select(_ARROW.names).cast(_ARROW))
                 rows += batch.num_rows
-        finally:
             if out is not None:
                 out.close()
+                self._go_on(store, root)
+                store.move(draft, final)
+                # The abort is noted before its folder is deleted: a segment that came too late for that is seen here.
+                self._go_on(store, root)
+        except BaseException:
+            if out is not None:
+                with suppress(Exception):
+                    out.close()
+                for path in (draft, final):
+                    with suppress(OSError):
+                        store.delete_file(path)
+            raise
         return Staged(name if rows else None, rows)
 
+    def _note(self, root: str) -> str:
+        return f"{root}/aborted/{self.job}"
+
+    def _go_on(self, store: fs.FileSystem, root: str) -> None:
+        if store.get_file_info(self._note(root)).type != fs.FileType.NotFound:
+            raise RuntimeError("the write was aborted")
+
     def commit(self, messages: list[Staged | None]) -> None:
         """Publish the segments of all tasks at once, as the next commit."""
         store, root = _open(self.root)
@@ -85,8 +106,10 @@ class _Writer(DataSourceArrowWriter):
         store.move(draft, final)
 
     def abort(self, messages: list[Staged | None]) -> None:
-        """A failed write leaves its segments unnamed; they are removed here."""
+        """A failed write leaves its segments unnamed; they are removed here, or by their tasks if those still run."""
         store, root = _open(self.root)
+        store.create_dir(f"{root}/aborted", recursive=True)
+        store.open_output_stream(self._note(root)).close()
         folder = f"{root}/segments/{self.job}"
         if store.get_file_info(folder).type == fs.FileType.Directory:
             store.delete_dir(folder)

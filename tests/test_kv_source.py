@@ -2,6 +2,7 @@
 
 import glob
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,3 +43,39 @@ def test_a_failed_write_shows_nothing(spark, tmp_path):
     assert len(named) == 1
     spark.createDataFrame([("z", 1, "stray")], K.SCHEMA).coalesce(1).write.parquet(f"{root}/segments/stray")
     assert _rows(spark, root) == [("a", 1, "old")]
+
+
+def test_tasks_that_fail_or_end_after_an_abort_leave_no_segment(tmp_path):
+    root = str(tmp_path)
+    batch = pa.RecordBatch.from_pylist([{"key": "k", "ttl": 1, "value": "v"}], K._ARROW)
+    files = lambda: [f for f in glob.glob(f"{root}/segments/**", recursive=True, include_hidden=True) if f.endswith((".parquet", ".tmp"))]
+
+    def broken(writer):
+        yield batch
+        raise ValueError("broken")
+
+    def late(writer):
+        yield batch
+        writer.abort([])
+        yield batch
+
+    def later(writer):
+        writer.abort([])
+        yield batch
+
+    for rows in (broken, late, later):
+        writer = K._Writer({"root": root})
+        with pytest.raises(Exception):
+            writer.write(rows(writer))
+        assert files() == [], rows.__name__
+    # The abort may come between the last look and the move as well.
+    writer = K._Writer({"root": root})
+    looks = iter([lambda: None, lambda: writer.abort([])])
+    go_on = writer._go_on
+    writer._go_on = lambda *a: (next(looks)(), go_on(*a))
+    with pytest.raises(RuntimeError, match="aborted"):
+        writer.write(iter([batch]))
+    assert files() == []
+    writer = K._Writer({"root": root})
+    staged = writer.write(iter([batch, batch]))
+    assert staged.rows == 2 and files() == [f"{root}/segments/{writer.job}/{staged.segment}"]
