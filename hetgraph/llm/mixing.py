@@ -67,15 +67,18 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST
         capped = exact(F.col("w")) * F.lit(rest) > exact(F.col("source_size")) * F.lit(most * shares)
     if rest is None:
         rest, shares = 0, 1
-    share = F.when(capped, F.col("source_size") * most * shares).otherwise(F.col("w") * F.lit(rest))
-    parts = ranked.withColumn("share", exact(share)).withColumn("whole", exact(F.col("source_size") * shares))
-    copies = F.when(F.col("source_size") > 0, F.floor(F.col("share") / F.col("whole"))).otherwise(0).cast("long")
-    return parts.withColumn("copies", copies).select(
+    # A weight times a sum of words needs more than the 32 bits of both, and a quotient that is rounded may reach the next copy.
+    size = exact(F.col("source_size"))
+    share = F.when(capped, size * F.lit(most * shares)).otherwise(exact(F.col("w")) * F.lit(rest))
+    parts = ranked.withColumn("share", exact(share)).withColumn("whole", exact(size * F.lit(shares)))
+    copies = F.when(F.col("source_size") > 0, F.expr("share div whole")).otherwise(0).cast("long")
+    left = exact(F.col("share") - exact(F.col("copies")) * F.col("whole"))
+    return parts.withColumn("copies", copies).withColumn("left", left).select(
         *KEY,
         "source_size",
         (F.col("share").cast("double") / F.lit(float(shares))).alias("target"),
         "copies",
-        F.floor((F.col("share") - exact(F.col("copies")) * F.col("whole")) / F.lit(shares)).cast("long").alias("rest"),
+        F.expr(f"left div {shares}").alias("rest"),
     )
 
 

@@ -75,3 +75,17 @@ def test_smaller_budgets_are_nested(spark):
         taken.append(chosen)
         assert abs(sum(r["size"] for r in sizes.collect() if r.doc_id in chosen) - rest) < 1500
     assert taken[0] <= taken[1] <= taken[2]
+
+
+def test_targets_of_large_sources(spark):
+    """Sums of words under and over 32 bits, and a source that lacks little of its second copy."""
+    for sizes in ([60_000_000 + i for i in range(20)], [999_999_999, 400_000_000, 1_000_000_000], [10**15] * 40):
+        rows = [(False, f"s{i:02d}", n) for i, n in enumerate(sizes)]
+        w = [i % 3 + 1 for i in range(len(sizes))]
+        total, shares = sum(sizes), sum(w)
+        assert all(a * total <= 3 * n * shares for a, n in zip(w, sizes))
+        got = mixing.targets(spark.createDataFrame(rows, "no_source boolean, source string, size long")).orderBy("source").collect()
+        copies = [a * total // (n * shares) for a, n in zip(w, sizes)]
+        assert [r.copies for r in got] == copies
+        assert [r.rest for r in got] == [(a * total - c * n * shares) // shares for a, n, c in zip(w, sizes, copies)]
+        assert [r.target for r in got] == [float(a * total) / shares for a in w]
