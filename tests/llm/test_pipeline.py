@@ -4,6 +4,7 @@ from types import SimpleNamespace
 
 import public_tokenizers
 import sentencepiece
+from pyspark.sql import functions as F
 from test_minhash import brute as duplicates
 from test_mixing import brute as mix
 
@@ -58,3 +59,13 @@ def test_stages_keep_the_columns(spark):
             alone.collect()
             d = spark.createDataFrame(stage(spark, d, SF).collect(), schema)
         P.STAGES[-1][1](spark, d, SF).collect()
+
+
+def test_mixture_of_as_many_words_as_6_gb_hold(spark, monkeypatch):
+    """Each word counts as many, so that the sum lies between a third of 2^31 and 2^31."""
+    rows = [(i, "w " * (i % 5 + 1), "en", f"s{i % 2}", 9) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    want = sorted(map(tuple, P.mixture(spark, docs, SF).collect()))
+    own = P.mixing.sized
+    monkeypatch.setattr(P.mixing, "sized", lambda d: own(d).withColumn("size", F.col("size") * 10_000_000))
+    assert sorted(map(tuple, P.mixture(spark, docs, SF).collect())) == want
